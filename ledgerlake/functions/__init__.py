@@ -6,6 +6,7 @@ from .calendar import (
     business_days_exact,
     is_business_day,
     is_weekend,
+    national_holidays,
     time_frame,
     week_index,
     weekdays_between,

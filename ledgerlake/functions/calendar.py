@@ -21,6 +21,39 @@ BR_HOLIDAYS_2024 = [
     dt.date(2024, 11, 2), dt.date(2024, 11, 15), dt.date(2024, 12, 25),
 ]
 
+
+
+def easter_sunday(year: int) -> dt.date:
+    """Gregorian Easter (anonymous Gregorian computus)."""
+    a, b, c = year % 19, year // 100, year % 100
+    d, e = b // 4, b % 4
+    g = (8 * b + 13) // 25
+    h = (19 * a + b - d - g + 15) % 30
+    i, k = c // 4, c % 4
+    l_ = (32 + 2 * e + 2 * i - h - k) % 7
+    m = (a + 11 * h + 22 * l_) // 451
+    month = (h + l_ - 7 * m + 114) // 31
+    day = (h + l_ - 7 * m + 114) % 31 + 1
+    return dt.date(year, month, day)
+
+
+# Fixed-date national holidays (month, day) and the Easter
+# offsets of the moveable ones (Carnival Monday/Tuesday, Good Friday,
+# Corpus Christi).
+FIXED_DATE_HOLIDAYS = [(1, 1), (4, 21), (5, 1), (9, 7), (10, 12), (11, 2), (11, 15), (12, 25)]
+EASTER_OFFSETS = [-48, -47, -2, 60]
+
+
+def national_holidays(years: Iterable[int]) -> list[dt.date]:
+    """Holiday calendar generated by rule for the given years."""
+    out: set[dt.date] = set()
+    for y in years:
+        out.update(dt.date(y, m, d) for m, d in FIXED_DATE_HOLIDAYS)
+        easter = easter_sunday(y)
+        out.update(easter + dt.timedelta(days=k) for k in EASTER_OFFSETS)
+    return sorted(out)
+
+
 # A holiday list becomes an array literal evaluated per row; bound its size.
 MAX_HOLIDAYS = 20_000
 

@@ -93,7 +93,7 @@ def safe_divide(num: ColumnOrName, den: ColumnOrName) -> Column:
 def calculate_mdr(gross: ColumnOrName, net: ColumnOrName) -> Column:
     """Merchant discount rate in percent: (gross - net) / gross * 100."""
     g, n = as_col(gross), as_col(net)
-    return safe_divide(g - n, g) * F.lit(100)
+    return safe_divide(g - n, g) * dec(100, 3, 0)
 
 
 def classify_risk_bacen(dpd: ColumnOrName) -> Column:

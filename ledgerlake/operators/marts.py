@@ -15,13 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (
-    calculate_mdr,
     dpd_bucket,
     exact_ratio,
     expected_loss,
     money_per_count,
     money_ratio,
-    safe_divide,
 )
 
 RATE_SUM_TYPE = "decimal(22,4)"
@@ -139,3 +137,168 @@ def mart_risk_credit_portfolio(stg_contracts: DataFrame, stg_customers: DataFram
     if snapshot_date is not None:
         cols.append(F.lit(snapshot_date).cast("date").alias("snapshot_date"))
     return summary.select(*cols)
+
+
+def _money_sums() -> list[Column]:
+    """Approved-only money sums (0 when nothing is approved)."""
+    zero = F.lit(0).cast("decimal(18,2)")
+    return [
+        F.sum(_approved("amount_brl").otherwise(zero)).alias("tpv"),
+        F.sum(_approved("mdr_amount_brl").otherwise(zero)).alias("mdr_revenue"),
+        F.sum(_approved("net_amount_brl").otherwise(zero)).alias("net_amount"),
+    ]
+
+
+def merchant_metrics(stg_transactions: DataFrame, stg_merchants: DataFrame) -> DataFrame:
+    """M8. Per merchant: volume, TPV, MDR revenue and effective MDR.
+
+    Transactions are aggregated to merchant grain *before* the join, so the
+    fact table is shuffled once (partially aggregated) and the join runs on
+    one row per merchant.
+    """
+    per_merchant = stg_transactions.groupBy("merchant_id").agg(
+        F.count(F.lit(1)).alias("total_transactions"),
+        F.count_if(F.col("is_approved")).alias("approved_transactions"),
+        *_money_sums(),
+    )
+    dims = stg_merchants.select("merchant_id", "merchant_segment", "customer_id", "blended_mdr_pct")
+    return per_merchant.join(dims, "merchant_id", "left").select(
+        "merchant_id",
+        "merchant_segment",
+        "customer_id",
+        "total_transactions",
+        "approved_transactions",
+        F.col("tpv").alias("total_tpv_brl"),
+        F.col("mdr_revenue").alias("total_mdr_revenue_brl"),
+        F.col("net_amount").alias("total_net_amount_brl"),
+        money_ratio(F.col("tpv") - F.col("net_amount"), "tpv", 4, times=100).alias("effective_mdr_pct"),
+        "blended_mdr_pct",
+        exact_ratio("approved_transactions", "total_transactions", 2, times=100).alias("approval_rate_pct"),
+    )
+
+
+OPERATIONS_KEYS = ("merchant_id", "acquirer")
+
+
+def _ops_metrics(df: DataFrame, period: Column, granularity: str, additive: bool) -> DataFrame:
+    if additive:  # roll up an already aggregated frame
+        aggs = [F.sum(c).alias(c) for c in
+                ("total_transactions", "approved_transactions", "denied_transactions",
+                 "chargeback_transactions", "tpv_brl", "mdr_revenue_brl")]
+    else:
+        zero = F.lit(0).cast("decimal(18,2)")
+        aggs = [
+            F.count(F.lit(1)).alias("total_transactions"),
+            F.count_if(F.col("is_approved")).alias("approved_transactions"),
+            F.count_if(F.col("status") == "denied").alias("denied_transactions"),
+            F.count_if(F.col("is_chargeback")).alias("chargeback_transactions"),
+            F.sum(_approved("amount_brl").otherwise(zero)).alias("tpv_brl"),
+            F.sum(_approved("mdr_amount_brl").otherwise(zero)).alias("mdr_revenue_brl"),
+        ]
+    return df.groupBy(period.alias("period_start"), *OPERATIONS_KEYS).agg(*aggs).withColumn(
+        "granularity", F.lit(granularity)
+    )
+
+
+def transaction_operations(stg_transactions: DataFrame) -> DataFrame:
+    """M9. Day x merchant x acquirer, plus the monthly roll-up of the same rows.
+
+    ``granularity`` ('daily' / 'monthly') is what the aggregate-only row policy
+    filters on. The monthly rows are summed from the daily aggregate, so both
+    halves share one scan and one shuffle of the transactions.
+    """
+    daily = _ops_metrics(stg_transactions, F.col("transaction_date"), "daily", additive=False)
+    monthly = _ops_metrics(
+        daily, F.date_trunc("month", F.col("period_start")).cast("date"), "monthly", additive=True
+    )
+    both = daily.unionByName(monthly)
+    return both.select(
+        "granularity",
+        "period_start",
+        *OPERATIONS_KEYS,
+        "total_transactions",
+        "approved_transactions",
+        "denied_transactions",
+        "chargeback_transactions",
+        "tpv_brl",
+        "mdr_revenue_brl",
+        exact_ratio("approved_transactions", "total_transactions", 2, times=100).alias("approval_rate_pct"),
+        exact_ratio("chargeback_transactions", "total_transactions", 4, times=100).alias("chargeback_rate_pct"),
+    )
+
+
+def chargeback_metrics(stg_transactions: DataFrame) -> DataFrame:
+    """M10. Month x payment method x acquirer: contested share of transactions."""
+    zero = F.lit(0).cast("decimal(18,2)")
+    return (
+        stg_transactions.groupBy(
+            F.date_trunc("month", "transaction_date").cast("date").alias("month"),
+            "payment_method",
+            "acquirer",
+        )
+        .agg(
+            F.count(F.lit(1)).alias("total_transactions"),
+            F.count_if(F.col("is_chargeback")).alias("chargeback_transactions"),
+            F.sum(F.when(F.col("is_chargeback"), F.col("amount_brl")).otherwise(zero)).alias("chargeback_amount_brl"),
+        )
+        .withColumn(
+            "chargeback_rate_pct",
+            exact_ratio("chargeback_transactions", "total_transactions", 4, times=100),
+        )
+    )
+
+
+def net_revenue(stg_transactions: DataFrame, operating_costs: DataFrame) -> DataFrame:
+    """M11. Month x payment method: MDR revenue minus operating cost.
+
+    ``operating_costs`` is supplied by the caller (cost_month, payment_method,
+    cost_brl); the reference has no cost data. Full outer join: a month with
+    cost and no revenue (or the reverse) still appears, missing side = 0.
+    """
+    zero = F.lit(0).cast("decimal(18,2)")
+    revenue = stg_transactions.groupBy(
+        F.date_trunc("month", "transaction_date").cast("date").alias("month"), "payment_method"
+    ).agg(F.sum(_approved("mdr_amount_brl").otherwise(zero)).alias("mdr_revenue_brl"))
+    costs = operating_costs.groupBy(F.col("cost_month").alias("month"), "payment_method").agg(
+        F.sum("cost_brl").alias("operating_cost_brl")
+    )
+    joined = revenue.join(costs, ["month", "payment_method"], "full_outer")
+    rev = F.coalesce("mdr_revenue_brl", zero)
+    cost = F.coalesce("operating_cost_brl", zero)
+    return joined.select(
+        "month",
+        "payment_method",
+        rev.alias("mdr_revenue_brl"),
+        cost.alias("operating_cost_brl"),
+        (rev - cost).alias("net_revenue_brl"),
+    )
+
+
+def acquisition_cost(stg_customers: DataFrame, marketing_costs: DataFrame) -> DataFrame:
+    """M12. Month: marketing cost / customers registered that month.
+
+    ``marketing_costs`` (cost_month, cost_brl) comes from the caller. CAC is
+    NULL for a month without new customers.
+    """
+    new = stg_customers.groupBy(
+        F.date_trunc("month", "registration_date").cast("date").alias("month")
+    ).agg(F.count(F.lit(1)).alias("new_customers"))
+    cost = marketing_costs.groupBy(F.col("cost_month").alias("month")).agg(
+        F.sum("cost_brl").alias("marketing_cost_brl")
+    )
+    joined = new.join(cost, "month", "full_outer")
+    n = F.coalesce("new_customers", F.lit(0).cast("bigint"))
+    c = F.coalesce("marketing_cost_brl", F.lit(0).cast("decimal(18,2)"))
+    return joined.select(
+        "month",
+        n.alias("new_customers"),
+        c.alias("marketing_cost_brl"),
+        money_per_count(c, n, 2).alias("cac_brl"),
+    )
+
+
+def current_contract_per_customer(stg_contracts: DataFrame) -> DataFrame:
+    """M13 applied: each customer's latest contract (by date, then id)."""
+    from .dedup import dedup_latest
+
+    return dedup_latest(stg_contracts, ["customer_id"], ["contract_date", "contract_id"])

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .edge import to_edge
+from . import functions as fn
 from .operators import marts, staging
 from .session import configure
 from .sources.testviews import AS_OF, TestCatalog
@@ -115,3 +116,144 @@ def _mart_fin_daily_summary(m: Models) -> DataFrame:
 def _mart_risk_credit_portfolio(m: Models) -> DataFrame:
     """M7: credit portfolio by product, class, bucket, segment, collateral."""
     return m.portfolio
+
+
+@register("merchant_metrics")
+def _merchant_metrics(m: Models) -> DataFrame:
+    """M8: per-merchant TPV, MDR revenue and effective MDR."""
+    return marts.merchant_metrics(m.transactions, m.merchants)
+
+
+@register("transaction_operations")
+def _transaction_operations(m: Models) -> DataFrame:
+    """M9: day and month x merchant x acquirer operations."""
+    return marts.transaction_operations(m.transactions)
+
+
+@register("chargeback_metrics")
+def _chargeback_metrics(m: Models) -> DataFrame:
+    """Contested share by month, method and acquirer."""
+    return marts.chargeback_metrics(m.transactions)
+
+
+@register("net_revenue")
+def _net_revenue(m: Models) -> DataFrame:
+    """MDR revenue minus the supplied operating cost."""
+    return marts.net_revenue(m.transactions, m.cat.operating_costs)
+
+
+@register("acquisition_cost")
+def _acquisition_cost(m: Models) -> DataFrame:
+    """Marketing cost per newly registered customer."""
+    return marts.acquisition_cost(m.customers, m.cat.marketing_costs)
+
+
+@register("dedup_latest")
+def _dedup_latest(m: Models) -> DataFrame:
+    """Latest contract per customer."""
+    return marts.current_contract_per_customer(m.contracts).select(
+        "customer_id", "contract_id", "contract_date", "product_type",
+        "outstanding_balance_brl", "risk_classification_bacen", "is_active",
+    )
+
+
+# --- domain functions --------------------------------------------------------
+
+@register("calculate_mdr")
+def _calculate_mdr(m: Models) -> DataFrame:
+    """F13 per transaction, 4 decimals."""
+    t = m.transactions
+    return t.select("transaction_id", F.round(fn.calculate_mdr("amount_brl", "net_amount_brl"), 4).alias("mdr_pct"))
+
+
+@register("classify_risk")
+def _classify_risk(m: Models) -> DataFrame:
+    """F14 from days past due, checked against the stored class."""
+    c = m.contracts
+    cls = fn.classify_risk_bacen("days_past_due")
+    return c.select(
+        "contract_id", "days_past_due", cls.alias("risk_class"),
+        (cls == F.col("risk_classification_bacen")).alias("matches_source"),
+    )
+
+
+@register("provision_rate")
+def _provision_rate(m: Models) -> DataFrame:
+    """provision rate and expected loss per contract."""
+    c = m.contracts
+    return c.select(
+        "contract_id", "risk_classification_bacen",
+        fn.provision_rate("risk_classification_bacen").alias("provision_rate"),
+        F.round(fn.expected_loss("risk_classification_bacen", "outstanding_balance_brl"), 2).alias("expected_loss_brl"),
+    )
+
+
+@register("mask_pii")
+def _mask_pii(m: Models) -> DataFrame:
+    """F16: every mask type over customer text columns."""
+    c = m.cat.customers
+    return c.select(
+        "customer_id",
+        fn.mask_pii("cnpj", "cnpj").alias("cnpj_masked"),
+        fn.mask_pii("cnpj", "cpf").alias("cpf_masked"),
+        fn.mask_pii("account_manager_id", "bank_account").alias("account_masked"),
+        fn.mask_pii("company_name", "email").alias("email_masked"),
+        fn.mask_pii("cnpj", "phone").alias("phone_masked"),
+        fn.mask_pii("company_name").alias("name_hash"),
+    )
+
+
+@register("business_days_macro")
+def _business_days_macro(m: Models) -> DataFrame:
+    """the reference's closed-form weekday approximation."""
+    c = m.contracts
+    return c.select("contract_id", "contract_date", "maturity_date",
+                    fn.business_days_between("contract_date", "maturity_date").alias("business_days"))
+
+
+HOLIDAY_YEARS = range(1990, 2011)
+
+
+@register("business_days_calendar")
+def _business_days_calendar(m: Models) -> DataFrame:
+    """exact business days in [contract, maturity) with holidays."""
+    hol = fn.national_holidays(HOLIDAY_YEARS)
+    c = m.contracts
+    return c.select(
+        "contract_id",
+        fn.weekdays_between("contract_date", "maturity_date").alias("weekdays"),
+        fn.business_days_exact("contract_date", "maturity_date", hol).alias("business_days"),
+        fn.is_business_day("contract_date", hol).alias("starts_on_business_day"),
+    )
+
+
+@register("monthly_to_annual")
+def _monthly_to_annual(m: Models) -> DataFrame:
+    """compounded annual rate, 6 decimals."""
+    c = m.contracts
+    return c.select("contract_id", "monthly_rate_pct",
+                    F.round(fn.monthly_to_annual_rate("monthly_rate_pct"), 6).alias("annual_rate_pct"))
+
+
+@register("surrogate_key")
+def _surrogate_key(m: Models) -> DataFrame:
+    """md5 surrogate key over id, merchant and date."""
+    t = m.transactions
+    return t.select("transaction_id",
+                    fn.surrogate_key("transaction_id", "merchant_id", "transaction_date").alias("surrogate_key"))
+
+
+@register("blended_mdr")
+def _blended_mdr(m: Models) -> DataFrame:
+    """blended MDR from the raw merchant rates."""
+    r = m.cat.merchants
+    return r.select("merchant_id", "merchant_segment",
+                    fn.blended_mdr_pct("mdr_credit", "mdr_debit", "mdr_pix").alias("blended_mdr_pct"))
+
+
+@register("weekend_flag")
+def _weekend_flag(m: Models) -> DataFrame:
+    """Weekend flag (dayofweek 1 = Sunday)."""
+    t = m.transactions
+    return t.select("transaction_id", "transaction_date",
+                    F.dayofweek("transaction_date").alias("day_of_week"), "is_weekend")
