@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .edge import to_edge
 from . import functions as fn
-from .operators import marts, staging
+from .operators import marts, quality, reconcile, staging
 from .session import configure
 from .sources.testviews import AS_OF, TestCatalog
 
@@ -257,3 +257,111 @@ def _weekend_flag(m: Models) -> DataFrame:
     t = m.transactions
     return t.select("transaction_id", "transaction_date",
                     F.dayofweek("transaction_date").alias("day_of_week"), "is_weekend")
+
+
+# --- data quality and reconciliation ---------------------------------------------
+
+@register("dq_transactions")
+def _dq_transactions(m: Models) -> DataFrame:
+    """Every row check on raw transactions in one pass."""
+    return quality.run_row_checks(m.cat.transactions, "transactions",
+                                  quality.source_row_checks("transactions", as_of=m.as_of))
+
+
+@register("dq_unique")
+def _dq_unique(m: Models) -> DataFrame:
+    """Key uniqueness of the five raw tables."""
+    c = m.cat
+    parts = [
+        quality.unique(c.transactions, "transactions", "transaction_id"),
+        quality.unique(c.customers, "customers", "customer_id"),
+        quality.unique(c.merchants, "merchants", "merchant_id"),
+        quality.unique(c.credit_contracts, "credit_contracts", "contract_id"),
+        quality.unique(c.daily_rates, "daily_rates", "rate_date"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("dq_proportion_unique")
+def _dq_proportion_unique(m: Models) -> DataFrame:
+    """Share of distinct dates (>= 0.99) in the mart and in the rates."""
+    return quality.proportion_of_unique(m.daily_summary, "mart_fin_daily_summary", "summary_date", 0.99).unionByName(
+        quality.proportion_of_unique(m.rates, "stg_daily_rates", "rate_date", 0.99))
+
+
+TPV_MAX_BRL = 1_000_000_000
+
+
+@register("dq_sum_between")
+def _dq_sum_between(m: Models) -> DataFrame:
+    """TPV sum within [0, 1e9], for the whole mart and per day."""
+    mart = m.daily_summary
+    return quality.sum_between(mart, "mart_fin_daily_summary", "total_tpv_brl", 0, TPV_MAX_BRL).unionByName(
+        quality.sum_between(mart, "mart_fin_daily_summary", "total_tpv_brl", 0, TPV_MAX_BRL, ["summary_date"]))
+
+
+FRESHNESS_NOW = "2001-11-05 12:00:00"
+
+
+@register("source_freshness")
+def _source_freshness(m: Models) -> DataFrame:
+    """T5: newest event time per source against an injected clock."""
+    c = m.cat
+    return (quality.freshness(c.transactions, "transactions", "transaction_ts", FRESHNESS_NOW)
+            .unionByName(quality.freshness(c.credit_contracts, "credit_contracts", "contract_date", FRESHNESS_NOW))
+            .unionByName(quality.freshness(c.daily_rates, "daily_rates", "rate_date", FRESHNESS_NOW)))
+
+
+@register("reconcile_row")
+def _reconcile_row(m: Models) -> DataFrame:
+    """amount = mdr + net per transaction, and TPV = MDR + net per mart row."""
+    t = reconcile.financial_reconciliation(
+        m.transactions, "stg_transactions", F.col("amount_brl"),
+        F.col("mdr_amount_brl") + F.col("net_amount_brl"), a_name="amount_brl", b_name="mdr_amount_brl + net_amount_brl")
+    s = reconcile.financial_reconciliation(
+        m.daily_summary, "mart_fin_daily_summary", F.col("total_tpv_brl"),
+        F.col("total_mdr_revenue_brl") + F.col("total_net_amount_brl"),
+        a_name="total_tpv_brl", b_name="total_mdr_revenue_brl + total_net_amount_brl")
+    return t.unionByName(s)
+
+
+@register("reconcile_tpv_daily")
+def _reconcile_tpv_daily(m: Models) -> DataFrame:
+    """Mart TPV against staging TPV, per day."""
+    return reconcile.tpv_daily_reconciliation(m.daily_summary, m.transactions)
+
+
+@register("compare_row_counts")
+def _compare_row_counts(m: Models) -> DataFrame:
+    """Raw (old) vs staging (new) row counts per month."""
+    month = lambda c: F.date_trunc("month", F.col(c)).cast("date")
+    return reconcile.compare_row_counts(m.cat.transactions, m.transactions, "transactions", month("transaction_date")
+                                        ).unionByName(
+        reconcile.compare_row_counts(m.cat.credit_contracts, m.contracts, "credit_contracts", month("contract_date")))
+
+
+EARLIER_AS_OF = "2000-01-01"
+
+
+@register("compare_relations")
+def _compare_relations(m: Models) -> DataFrame:
+    """Portfolio-eligible contracts at an earlier date vs at AS_OF."""
+    def eligible(as_of: str) -> DataFrame:
+        c = staging.stg_credit_contracts(m.cat.credit_contracts, as_of=as_of)
+        return c.where(F.col("is_active") | F.col("is_npl")).select(
+            "contract_id", "is_active", "outstanding_balance_brl")
+
+    return reconcile.compare_relations(eligible(EARLIER_AS_OF), eligible(m.as_of), ["contract_id"])
+
+
+@register("fk_coverage")
+def _fk_coverage(m: Models) -> DataFrame:
+    """Orphan foreign keys behind every join of the marts and explores."""
+    t, c, mer, ctr = m.transactions, m.customers, m.merchants, m.contracts
+    return (quality.fk_coverage(t, "transactions", "merchant_id", mer, "merchants", "merchant_id")
+            .unionByName(quality.fk_coverage(t, "transactions", "customer_id", c, "customers", "customer_id"))
+            .unionByName(quality.fk_coverage(ctr, "credit_contracts", "customer_id", c, "customers", "customer_id"))
+            .unionByName(quality.fk_coverage(mer, "merchants", "customer_id", c, "customers", "customer_id")))
