@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from .edge import to_edge
 from . import functions as fn
-from .operators import marts, quality, reconcile, staging
+from .operators import governance, marts, quality, reconcile, staging
+from .plans import dashboard, model
 from .session import configure
 from .sources.testviews import AS_OF, TestCatalog
 
@@ -71,6 +72,18 @@ class Models:
     def portfolio(self) -> DataFrame:
         return marts.mart_risk_credit_portfolio(self.contracts, self.customers, snapshot_date=self.as_of)
 
+    @property
+    def operations(self) -> DataFrame:
+        return marts.transaction_operations(self.transactions)
+
+    @property
+    def merchant_metrics(self) -> DataFrame:
+        return marts.merchant_metrics(self.transactions, self.merchants)
+
+    @property
+    def revenue(self) -> DataFrame:
+        return marts.net_revenue(self.transactions, self.cat.operating_costs)
+
 
 # --- staging ---------------------------------------------------------------
 
@@ -365,3 +378,134 @@ def _fk_coverage(m: Models) -> DataFrame:
             .unionByName(quality.fk_coverage(t, "transactions", "customer_id", c, "customers", "customer_id"))
             .unionByName(quality.fk_coverage(ctr, "credit_contracts", "customer_id", c, "customers", "customer_id"))
             .unionByName(quality.fk_coverage(mer, "merchants", "customer_id", c, "customers", "customer_id")))
+
+
+# --- governance -------------------------------------------------------------------
+
+@register("rls_business_unit")
+def _rls_business_unit(m: Models) -> DataFrame:
+    """Finance sees merchant metrics of business units finance/executive."""
+    df = governance.with_business_unit(m.merchant_metrics, "merchant_segment", model.BUSINESS_UNIT_BY_SEGMENT)
+    return governance.apply_row_policies(df, "fin_merchant_metrics", governance.Principal.of("finance"))
+
+
+@register("rls_monthly_only")
+def _rls_monthly_only(m: Models) -> DataFrame:
+    """Sales sees only the monthly roll-up of operations."""
+    return governance.apply_row_policies(m.operations, "ops_transaction_metrics", governance.Principal.of("sales"))
+
+
+@register("rls_default_deny")
+def _rls_default_deny(m: Models) -> DataFrame:
+    """A principal without a granted policy sees no portfolio row."""
+    return governance.apply_row_policies(m.portfolio, "risk_credit_portfolio", governance.Principal.of("marketing"))
+
+
+# --- semantic layer and dashboard ----------------------------------------------
+
+DASHBOARD_RANGE = ("2000-01-01", "2001-01-01")
+FINANCE = governance.Principal.of("finance")
+EXECUTIVE = governance.Principal.of("executive")
+
+
+@register("explore_financial_with_rates")
+def _explore_financial_with_rates(m: Models) -> DataFrame:
+    """Monthly KPIs by business-day flag of the joined rates."""
+    return model.EXPLORES["daily_financial_summary"].query(
+        m, ["daily_financial_summary.summary_month", "daily_rates.is_business_day",
+            "daily_financial_summary.total_tpv_brl", "daily_financial_summary.total_transactions",
+            "daily_financial_summary.approval_rate_pct", "daily_financial_summary.approval_rate_weighted_pct"],
+        principal=FINANCE, filters={"daily_financial_summary.summary_date": DASHBOARD_RANGE}, as_of=m.as_of)
+
+
+@register("explore_operations_merchant_customer")
+def _explore_operations(m: Models) -> DataFrame:
+    """Operations by customer segment, merchant segment, acquirer."""
+    return model.EXPLORES["transaction_operations"].query(
+        m, ["customers.customer_segment", "merchants.merchant_segment", "transaction_operations.acquirer",
+            "transaction_operations.total_transactions", "transaction_operations.tpv_brl",
+            "transaction_operations.approval_rate_pct", "transaction_operations.approval_rate_weighted_pct"],
+        principal=governance.Principal.of("sales"),
+        filters={"transaction_operations.transaction_date": DASHBOARD_RANGE}, as_of=m.as_of)
+
+
+@register("explore_merchant_performance")
+def _explore_merchant_performance(m: Models) -> DataFrame:
+    """Merchant performance by segment and customer state."""
+    return model.EXPLORES["merchant_performance"].query(
+        m, ["merchants.merchant_segment", "customers.state", "merchant_performance.total_tpv_brl",
+            "merchant_performance.total_mdr_revenue_brl", "merchant_performance.effective_mdr_pct",
+            "merchant_performance.effective_mdr_weighted_pct", "merchant_performance.merchant_count"],
+        principal=FINANCE)
+
+
+@register("explore_portfolio")
+def _explore_portfolio(m: Models) -> DataFrame:
+    """Q3/J3 (re-aimed): contract-grain exposure by customer state and product."""
+    return model.EXPLORES["credit_contracts"].query(
+        m, ["customers.state", "credit_contracts.product_type", "credit_contracts.contract_count",
+            "credit_contracts.exposure_brl", "credit_contracts.npl_balance_brl"],
+        principal=governance.Principal.of("risk"),
+        filters={"credit_contracts.contract_date": ("2000-01-01", None)})
+
+
+@register("tile_tpv")
+def _tile_tpv(m: Models) -> DataFrame:
+    """Q9."""
+    return dashboard.tile_tpv(m, EXECUTIVE, DASHBOARD_RANGE)
+
+
+@register("tile_mdr_revenue")
+def _tile_mdr_revenue(m: Models) -> DataFrame:
+    """Q10."""
+    return dashboard.tile_mdr_revenue(m, EXECUTIVE, DASHBOARD_RANGE)
+
+
+@register("tile_approval_rate_band")
+def _tile_approval_rate_band(m: Models) -> DataFrame:
+    """Q11: average approval rate and its colour band."""
+    return dashboard.tile_approval_rate(m, EXECUTIVE, DASHBOARD_RANGE)
+
+
+@register("tile_npl_rate")
+def _tile_npl_rate(m: Models) -> DataFrame:
+    """Q12."""
+    return dashboard.tile_npl_rate(m, EXECUTIVE)
+
+
+@register("tile_exposure")
+def _tile_exposure(m: Models) -> DataFrame:
+    """Q13."""
+    return dashboard.tile_exposure(m, EXECUTIVE)
+
+
+@register("tile_chargeback_rate")
+def _tile_chargeback_rate(m: Models) -> DataFrame:
+    """Q14."""
+    return dashboard.tile_chargeback_rate(m, EXECUTIVE, DASHBOARD_RANGE)
+
+
+@register("tile_tpv_weekly_pivot")
+def _tile_tpv_weekly_pivot(m: Models) -> DataFrame:
+    """Q15: weekly TPV pivoted by method label."""
+    return dashboard.tile_tpv_weekly(m, EXECUTIVE, DASHBOARD_RANGE)
+
+
+@register("tile_by_risk_class")
+def _tile_by_risk_class(m: Models) -> DataFrame:
+    """Q16: exposure and NPL per class, in AA..H order."""
+    return dashboard.tile_by_risk_class(m, EXECUTIVE)
+
+
+@register("tile_npl_by_segment")
+def _tile_npl_by_segment(m: Models) -> DataFrame:
+    """Q17."""
+    return dashboard.tile_npl_by_segment(m, EXECUTIVE)
+
+
+@register("drill_tpv")
+def _drill_tpv(m: Models) -> DataFrame:
+    """Q18: TPV drilled to date x method for PIX in the dashboard range."""
+    return dashboard.drill(m, "daily_financial_summary", "total_tpv_brl", FINANCE,
+                           {"daily_financial_summary.summary_date": DASHBOARD_RANGE,
+                            "daily_financial_summary.payment_method": ["pix"]})
