@@ -7,6 +7,7 @@ operator over the whole tables and normalises types at the edge
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,10 @@ from .edge import to_edge
 from . import functions as fn
 from .operators import governance, marts, quality, reconcile, staging
 from .plans import dashboard, model
-from .session import configure
+from .schemas import TRANSACTIONS
+from .session import configure, scratch_path
+from .sources import audit, files, sinks
+from .streaming import incremental
 from .sources.testviews import AS_OF, TestCatalog
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -509,3 +513,86 @@ def _drill_tpv(m: Models) -> DataFrame:
     return dashboard.drill(m, "daily_financial_summary", "total_tpv_brl", FINANCE,
                            {"daily_financial_summary.summary_date": DASHBOARD_RANGE,
                             "daily_financial_summary.payment_method": ["pix"]})
+
+
+# --- sources, sinks, layout and streaming -----------------------------------------
+
+def _scratch(m: Models, name: str) -> str:
+    return scratch_path(m.spark, name)
+
+
+@register("csv_roundtrip")
+def _csv_roundtrip(m: Models) -> DataFrame:
+    """S5 + S1: raw transactions written as CSV, read back with the typed schema."""
+    path = _scratch(m, "csv")
+    sinks.write_csv(m.cat.transactions.select(*[f.name for f in TRANSACTIONS.fields]), path)
+    return files.read_typed_csv(m.spark, path, "transactions")
+
+
+@register("partitioned_sink_roundtrip")
+def _partitioned_sink_roundtrip(m: Models) -> DataFrame:
+    """Staging written day-partitioned and clustered, read back."""
+    path = _scratch(m, "partitioned")
+    stg = m.transactions
+    res = sinks.write_table(stg, path, partition_by="transaction_date",
+                            cluster_by=("merchant_id", "payment_method", "status"))
+    back = m.spark.read.schema(stg.schema).parquet(res.path)
+    return back.select(*stg.columns)
+
+
+@register("audit_append")
+def _audit_append(m: Models) -> DataFrame:
+    """One audit row per raw table load, appended and read back."""
+    path = _scratch(m, "audit")
+    c = m.cat
+    rows = None
+    for name in ("transactions", "customers", "merchants", "credit_contracts", "daily_rates"):
+        res = sinks.write_table(getattr(c, name), _scratch(m, f"raw-{name}"))
+        row = audit.audit_row(m.spark, run_id="fixture-run", pipeline_name="ingestion_load", step=f"load_{name}",
+                              status="success", rows_processed=res.rows, started_at=dt.datetime(2001, 8, 1),
+                              finished_at=dt.datetime(2001, 8, 1, 0, 5))
+        rows = row if rows is None else rows.unionByName(row)
+    audit.append_audit(rows, path)
+    return audit.read_audit(m.spark, path).select(
+        "run_id", "pipeline_name", "step", "status", "rows_processed", "rows_failed", "started_date")
+
+
+@register("quarantine_split")
+def _quarantine_split(m: Models) -> DataFrame:
+    """PERMISSIVE read of the transactions CSV split into good / quarantined."""
+    path = _scratch(m, "quarantine-src")
+    sinks.write_csv(m.cat.transactions.select(*[f.name for f in TRANSACTIONS.fields]), path)
+    good, bad = files.read_with_quarantine(m.spark, path, "transactions")
+    return (good.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("good").alias("side"), "rows")
+            .unionByName(bad.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("quarantine").alias("side"), "rows")))
+
+
+INCREMENTAL_START = "2001-01-01"
+
+
+@register("incremental_window")
+def _incremental_window(m: Models) -> DataFrame:
+    """The daily summary recomputed for the processing window only."""
+    return marts.mart_fin_daily_summary(sinks.incremental_window(m.transactions, "transaction_date", INCREMENTAL_START))
+
+
+RETENTION_DAYS = 5 * 365
+
+
+@register("retention_cut")
+def _retention_cut(m: Models) -> DataFrame:
+    """Day partitions of the transactions and whether retention expires them."""
+    return sinks.retention_report(m.transactions, "transaction_date", m.as_of, RETENTION_DAYS)
+
+
+@register("streaming_daily_summary")
+def _streaming_daily_summary(m: Models) -> DataFrame:
+    """Structured Streaming refresh of the daily summary, read back."""
+    landing, mart, ckpt = (_scratch(m, n) for n in ("landing", "stream-mart", "stream-ckpt"))
+    incremental.land(m.cat.transactions.select(*[f.name for f in TRANSACTIONS.fields]), landing)
+    q = incremental.start_refresh(m.spark, landing, mart, ckpt, max_files_per_trigger=25)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    cols = marts.mart_fin_daily_summary(m.transactions).columns
+    return m.spark.read.parquet(mart).select(*cols)
