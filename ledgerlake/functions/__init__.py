@@ -31,6 +31,7 @@ from .finance import (
     risk_level_order,
     exact_ratio,
     money_per_count,
+    money_sum,
     money_ratio,
     safe_divide,
 )

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import (
     dpd_bucket,
+    money_sum,
     exact_ratio,
     expected_loss,
     money_per_count,
@@ -42,12 +43,12 @@ def mart_fin_daily_summary(stg_transactions: DataFrame, *, run_ts: dt.datetime |
         F.count(F.lit(1)).alias("total_transactions"),
         F.count_if(F.col("is_approved")).alias("approved_transactions"),
         F.count_if(F.col("is_chargeback")).alias("chargeback_transactions"),
-        F.sum(_approved("amount_brl").otherwise(zero)).alias("tpv"),
-        F.sum(_approved("mdr_amount_brl").otherwise(zero)).alias("mdr_revenue"),
-        F.sum(_approved("net_amount_brl").otherwise(zero)).alias("net_amount"),
-        F.sum(_approved("amount_brl")).alias("approved_amount_sum"),
+        money_sum(_approved("amount_brl").otherwise(zero)).alias("tpv"),
+        money_sum(_approved("mdr_amount_brl").otherwise(zero)).alias("mdr_revenue"),
+        money_sum(_approved("net_amount_brl").otherwise(zero)).alias("net_amount"),
+        money_sum(_approved("amount_brl")).alias("approved_amount_sum"),
         F.count(_approved("amount_brl")).alias("approved_amount_n"),
-        F.sum(_approved("mdr_rate_pct")).alias("approved_rate_sum"),
+        money_sum(_approved("mdr_rate_pct"), 4).alias("approved_rate_sum"),
         F.count(_approved("mdr_rate_pct")).alias("approved_rate_n"),
         F.count_if(F.col("is_installment") & F.col("is_approved")).alias("installment_transactions"),
     )
@@ -107,14 +108,14 @@ def mart_risk_credit_portfolio(stg_contracts: DataFrame, stg_customers: DataFram
         .agg(
             F.count_distinct("contract_id").alias("total_contracts"),
             F.count_distinct("customer_id").alias("total_customers"),
-            F.sum("principal_brl").alias("principal"),
-            F.sum(ol).alias("outstanding"),
+            money_sum("principal_brl").alias("principal"),
+            money_sum(ol).alias("outstanding"),
             F.count_if(F.col("is_npl")).alias("npl_contracts"),
-            F.sum(F.when(F.col("is_npl"), ol).otherwise(zero)).alias("npl_balance"),
+            money_sum(F.when(F.col("is_npl"), ol).otherwise(zero)).alias("npl_balance"),
             F.count_if(F.col("is_written_off")).alias("written_off_contracts"),
-            F.sum(F.when(F.col("is_written_off"), ol).otherwise(zero)).alias("written_off_balance"),
-            F.sum("expected_loss_brl").alias("expected_loss"),
-            F.sum("collateral_value_brl").alias("collateral"),
+            money_sum(F.when(F.col("is_written_off"), ol).otherwise(zero)).alias("written_off_balance"),
+            money_sum("expected_loss_brl", 5).alias("expected_loss"),
+            money_sum("collateral_value_brl").alias("collateral"),
         )
     )
     cols = [
@@ -143,9 +144,9 @@ def _money_sums() -> list[Column]:
     """Approved-only money sums (0 when nothing is approved)."""
     zero = F.lit(0).cast("decimal(18,2)")
     return [
-        F.sum(_approved("amount_brl").otherwise(zero)).alias("tpv"),
-        F.sum(_approved("mdr_amount_brl").otherwise(zero)).alias("mdr_revenue"),
-        F.sum(_approved("net_amount_brl").otherwise(zero)).alias("net_amount"),
+        money_sum(_approved("amount_brl").otherwise(zero)).alias("tpv"),
+        money_sum(_approved("mdr_amount_brl").otherwise(zero)).alias("mdr_revenue"),
+        money_sum(_approved("net_amount_brl").otherwise(zero)).alias("net_amount"),
     ]
 
 
@@ -180,41 +181,34 @@ def merchant_metrics(stg_transactions: DataFrame, stg_merchants: DataFrame) -> D
 OPERATIONS_KEYS = ("merchant_id", "acquirer")
 
 
-def _ops_metrics(df: DataFrame, period: Column, granularity: str, additive: bool) -> DataFrame:
-    if additive:  # roll up an already aggregated frame
-        aggs = [F.sum(c).alias(c) for c in
-                ("total_transactions", "approved_transactions", "denied_transactions",
-                 "chargeback_transactions", "tpv_brl", "mdr_revenue_brl")]
-    else:
-        zero = F.lit(0).cast("decimal(18,2)")
-        aggs = [
-            F.count(F.lit(1)).alias("total_transactions"),
-            F.count_if(F.col("is_approved")).alias("approved_transactions"),
-            F.count_if(F.col("status") == "denied").alias("denied_transactions"),
-            F.count_if(F.col("is_chargeback")).alias("chargeback_transactions"),
-            F.sum(_approved("amount_brl").otherwise(zero)).alias("tpv_brl"),
-            F.sum(_approved("mdr_amount_brl").otherwise(zero)).alias("mdr_revenue_brl"),
-        ]
-    return df.groupBy(period.alias("period_start"), *OPERATIONS_KEYS).agg(*aggs).withColumn(
-        "granularity", F.lit(granularity)
-    )
-
-
 def transaction_operations(stg_transactions: DataFrame) -> DataFrame:
     """M9. Day x merchant x acquirer, plus the monthly roll-up of the same rows.
 
     ``granularity`` ('daily' / 'monthly') is what the aggregate-only row policy
-    filters on. The monthly rows are summed from the daily aggregate, so both
-    halves share one scan and one shuffle of the transactions.
+    filters on. Both grains come from ONE aggregation with two grouping sets:
+    one scan and one shuffle, each input row feeding a day group and a month
+    group in the map-side partial aggregate.
     """
-    daily = _ops_metrics(stg_transactions, F.col("transaction_date"), "daily", additive=False)
-    monthly = _ops_metrics(
-        daily, F.date_trunc("month", F.col("period_start")).cast("date"), "monthly", additive=True
+    zero = F.lit(0).cast("decimal(18,2)")
+    keyed = stg_transactions.withColumns({
+        "_day": F.col("transaction_date"),
+        "_month": F.date_trunc("month", F.col("transaction_date")).cast("date"),
+    })
+    grouped = keyed.groupingSets(
+        [["_day", *OPERATIONS_KEYS], ["_month", *OPERATIONS_KEYS]], "_day", "_month", *OPERATIONS_KEYS
+    ).agg(
+        F.grouping("_day").alias("_g"),
+        F.count(F.lit(1)).alias("total_transactions"),
+        F.count_if(F.col("is_approved")).alias("approved_transactions"),
+        F.count_if(F.col("status") == "denied").alias("denied_transactions"),
+        F.count_if(F.col("is_chargeback")).alias("chargeback_transactions"),
+        money_sum(_approved("amount_brl").otherwise(zero)).alias("tpv_brl"),
+        money_sum(_approved("mdr_amount_brl").otherwise(zero)).alias("mdr_revenue_brl"),
     )
-    both = daily.unionByName(monthly)
-    return both.select(
-        "granularity",
-        "period_start",
+    daily = F.col("_g") == 0
+    return grouped.select(
+        F.when(daily, "daily").otherwise("monthly").alias("granularity"),
+        F.when(daily, F.col("_day")).otherwise(F.col("_month")).alias("period_start"),
         *OPERATIONS_KEYS,
         "total_transactions",
         "approved_transactions",
@@ -239,7 +233,7 @@ def chargeback_metrics(stg_transactions: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("total_transactions"),
             F.count_if(F.col("is_chargeback")).alias("chargeback_transactions"),
-            F.sum(F.when(F.col("is_chargeback"), F.col("amount_brl")).otherwise(zero)).alias("chargeback_amount_brl"),
+            money_sum(F.when(F.col("is_chargeback"), F.col("amount_brl")).otherwise(zero)).alias("chargeback_amount_brl"),
         )
         .withColumn(
             "chargeback_rate_pct",
@@ -258,7 +252,7 @@ def net_revenue(stg_transactions: DataFrame, operating_costs: DataFrame) -> Data
     zero = F.lit(0).cast("decimal(18,2)")
     revenue = stg_transactions.groupBy(
         F.date_trunc("month", "transaction_date").cast("date").alias("month"), "payment_method"
-    ).agg(F.sum(_approved("mdr_amount_brl").otherwise(zero)).alias("mdr_revenue_brl"))
+    ).agg(money_sum(_approved("mdr_amount_brl").otherwise(zero)).alias("mdr_revenue_brl"))
     costs = operating_costs.groupBy(F.col("cost_month").alias("month"), "payment_method").agg(
         F.sum("cost_brl").alias("operating_cost_brl")
     )

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import money_sum
 from ..functions._util import ColumnOrName, as_col
 from ..functions.finance import RECONCILIATION_TOLERANCE_BRL
 
@@ -52,7 +53,7 @@ def tpv_daily_reconciliation(mart: DataFrame, stg_transactions: DataFrame,
     source_day = (
         stg_transactions.where(F.col("status") == "approved")
         .groupBy(F.to_date("transaction_date").alias("summary_date"))
-        .agg(F.sum("amount_brl").alias("source_tpv"))
+        .agg(money_sum("amount_brl").alias("source_tpv"))
     )
     div = F.abs(F.col("mart_tpv") - F.col("source_tpv"))
     return mart_day.join(source_day, "summary_date", "inner").select(
