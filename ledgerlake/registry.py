@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,43 +49,43 @@ class Models:
         self.cat = TestCatalog(spark, sf_dir)
         self.as_of = as_of
 
-    @property
+    @cached_property
     def transactions(self) -> DataFrame:
         return staging.stg_transactions(self.cat.transactions)
 
-    @property
+    @cached_property
     def contracts(self) -> DataFrame:
         return staging.stg_credit_contracts(self.cat.credit_contracts, as_of=self.as_of)
 
-    @property
+    @cached_property
     def merchants(self) -> DataFrame:
         return staging.stg_merchants(self.cat.merchants)
 
-    @property
+    @cached_property
     def customers(self) -> DataFrame:
         return staging.stg_customers(self.cat.customers)
 
-    @property
+    @cached_property
     def rates(self) -> DataFrame:
         return staging.stg_daily_rates(self.cat.daily_rates)
 
-    @property
+    @cached_property
     def daily_summary(self) -> DataFrame:
         return marts.mart_fin_daily_summary(self.transactions)
 
-    @property
+    @cached_property
     def portfolio(self) -> DataFrame:
         return marts.mart_risk_credit_portfolio(self.contracts, self.customers, snapshot_date=self.as_of)
 
-    @property
+    @cached_property
     def operations(self) -> DataFrame:
         return marts.transaction_operations(self.transactions)
 
-    @property
+    @cached_property
     def merchant_metrics(self) -> DataFrame:
         return marts.merchant_metrics(self.transactions, self.merchants)
 
-    @property
+    @cached_property
     def revenue(self) -> DataFrame:
         return marts.net_revenue(self.transactions, self.cat.operating_costs)
 

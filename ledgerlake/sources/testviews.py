@@ -201,6 +201,11 @@ VIEWS: dict[str, ViewSpec] = {
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
+# Analysed DataFrames of the (read-only) driver tables and views, per session
+# and folder: building them costs footer reads and plan analysis, not data.
+_PLAN_CACHE: dict[tuple[int, str, str], DataFrame] = {}
+
+
 class TestCatalog:
     """Name -> lazy DataFrame over one driver folder (the `source()` role)."""
 
@@ -208,10 +213,19 @@ class TestCatalog:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
 
+    def _cached(self, kind: str, name: str, build) -> DataFrame:
+        key = (id(self.spark._jsparkSession), f"{kind}:{self.sf_dir}", name)
+        if key not in _PLAN_CACHE:
+            _PLAN_CACHE[key] = build()
+        return _PLAN_CACHE[key]
+
     def driver(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._cached("driver", name, lambda: self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
 
     def table(self, name: str) -> DataFrame:
+        return self._cached("view", name, lambda: self._build(name))
+
+    def _build(self, name: str) -> DataFrame:
         spec = VIEWS[name]
         # Each view gets its own uniquely named temp views for its inputs, so
         # SQL text resolves without touching the caller's catalog names.
