@@ -52,8 +52,9 @@ def write_table(df: DataFrame, path: str, *, mode: str = "overwrite", partition_
     ``dynamic=True`` only the partitions present in ``df`` are replaced.
     """
     obs = Observation("write")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    out = clustered(observed, partition_by, cluster_by, num_partitions)
+    # Observed above the range shuffle: its sampling job re-reads the input,
+    # so an observation below it would count rows twice.
+    out = clustered(df, partition_by, cluster_by, num_partitions).observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = out.write.mode(mode).format(fmt).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
