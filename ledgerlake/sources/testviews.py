@@ -214,7 +214,7 @@ class TestCatalog:
         self.sf_dir = sf_dir.rstrip("/")
 
     def _cached(self, kind: str, name: str, build) -> DataFrame:
-        key = (id(self.spark._jsparkSession), f"{kind}:{self.sf_dir}", name)
+        key = (id(self.spark), f"{kind}:{self.sf_dir}", name)
         if key not in _PLAN_CACHE:
             _PLAN_CACHE[key] = build()
         return _PLAN_CACHE[key]
