@@ -200,14 +200,19 @@ def fk_coverage(child: DataFrame, child_name: str, fk: str,
                 parent: DataFrame, parent_name: str, pk: str) -> DataFrame:
     """Rows whose non-NULL foreign key has no parent row; one result row.
 
-    The parent keys are de-duplicated first, so the left join cannot fan
-    out; AQE broadcasts them when they turn out small, else shuffles both.
+    The child is first reduced to one row per foreign-key value (a partial
+    aggregate, so a key holding a third of the rows collapses inside each
+    task and the shuffle carries distinct keys, not rows). Parent keys are
+    de-duplicated, so the left join cannot fan out; AQE broadcasts them when
+    they turn out small and sort-merges otherwise.
     """
+    per_key = child.groupBy(F.col(fk).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
     keys = parent.select(F.col(pk).alias("_k")).distinct().withColumn("_hit", F.lit(True))
-    joined = child.select(F.col(fk).alias("_k")).join(keys, "_k", "left")
+    joined = per_key.join(keys, "_k", "left")
+    orphan = F.col("_k").isNotNull() & F.col("_hit").isNull()
     return joined.agg(
-        F.count_if(F.col("_k").isNotNull() & F.col("_hit").isNull()).cast("bigint").alias("orphan_rows"),
-        F.count(F.lit(1)).cast("bigint").alias("total_rows"),
+        F.coalesce(F.sum(F.when(orphan, F.col("_n"))), F.lit(0)).cast("bigint").alias("orphan_rows"),
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("total_rows"),
     ).select(
         F.lit(child_name).alias("child_table"),
         F.lit(fk).alias("fk_column"),

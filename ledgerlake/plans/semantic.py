@@ -22,8 +22,9 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions import exact_ratio
+from ..functions import exact_ratio, money_sum
 from ..functions.calendar import TIME_FRAMES, time_frame
 from ..operators.governance import SERVICE_GROUP, Principal, RowPolicy, has_grant, require_grants, row_filter
 
@@ -218,19 +219,39 @@ class Explore:
                 base = base.where(row_filter(v.policy_table, querying, policies))
             return base.select(*[c.alias(n) for n, c in per_view.get(vname, {"__one": F.lit(1)}).items()])
 
+        measures_from_base = all(v == self.base.name for _, v, _ in meas)
+        eager = bool(joins) and bool(meas) and measures_from_base and all(f.agg in DECOMPOSABLE for _, _, f in meas)
+
         df = frame(self.base.name)
+        if eager:
+            # Eager aggregation: filters on the base view first, then collapse
+            # base rows to (dimensions, filter columns, join keys) before the
+            # many-to-one joins, so the joins see one row per group, not per
+            # fact row. Measures are re-aggregated after the joins.
+            for (v, f), value in filter_refs:
+                if v == self.base.name:
+                    df = df.where(_filter(F.col(prefixed(v, f)), value, as_of))
+            measure_cols = {prefixed(v, f) for _, v, f in meas}
+            measure_cols |= {c + "__den" for c in measure_cols}
+            keys = [c for c in df.columns if c not in measure_cols]
+            partial = []
+            for _, v, f in meas:
+                partial += _partial(f, prefixed(v, f), df.schema)
+            df = df.groupBy(*keys).agg(*partial)
         for j in joins:
             lv, lc = j.left.split(".", 1)
             right = frame(j.view.name)
             df = df.join(right, F.col(f"{lv}__{lc}") == F.col(f"{j.view.name}__{j.right}"), j.how)
 
         for (v, f), value in filter_refs:
-            df = df.where(_filter(F.col(prefixed(v, f)), value, as_of))
+            if not (eager and v == self.base.name):
+                df = df.where(_filter(F.col(prefixed(v, f)), value, as_of))
 
         out_names = _output_names([(v, f) for _, v, f in wanted])
         group_cols = [F.col(prefixed(v, f)).alias(out_names[(v, f.name)]) for _, v, f in dims]
         group_cols += [F.col(prefixed(v, f)).alias(f"__hidden__{f.name}") for v, f in hidden]
-        aggs = [_aggregate(f, prefixed(v, f)).alias(out_names[(v, f.name)]) for _, v, f in meas]
+        final = _final if eager else _aggregate
+        aggs = [final(f, prefixed(v, f)).alias(out_names[(v, f.name)]) for _, v, f in meas]
         if pivot_ref:
             if pivot_values is None:
                 raise ValueError("pivot needs an explicit list of values")
@@ -267,6 +288,45 @@ def _output_names(fields: Sequence[tuple[str, Dimension | Measure]]) -> dict[tup
 
 
 AVERAGE_SUM_TYPE = "decimal(24,4)"
+DECOMPOSABLE = {"sum", "average", "count", "min", "max", "ratio"}
+
+
+def _sum(col: str, schema: T.StructType | None = None) -> Column:
+    """SUM; exact BIGINT accumulation for narrow decimals (see money_sum)."""
+    if schema is not None and col in schema.fieldNames():
+        t = schema[col].dataType
+        if isinstance(t, T.DecimalType) and t.precision <= 18 and t.scale <= 6:
+            return money_sum(col, t.scale)
+    return F.sum(col)
+
+
+def _partial(m: Measure, col: str, schema: T.StructType) -> list[Column]:
+    """Per-group partial state of a decomposable measure (eager aggregation)."""
+    c = F.col(col)
+    if m.agg == "sum":
+        return [_sum(col, schema).alias(col)]
+    if m.agg == "count":
+        return [F.count(F.lit(1)).alias(col)]
+    if m.agg == "average":
+        return [_sum(col, schema).alias(col + "__s"), F.count(c).alias(col + "__c")]
+    if m.agg == "ratio":
+        return [_sum(col, schema).alias(col), _sum(col + "__den", schema).alias(col + "__den")]
+    if m.agg in ("min", "max"):
+        return [getattr(F, m.agg)(c).alias(col)]
+    raise ValueError(f"{m.agg!r} is not decomposable")
+
+
+def _final(m: Measure, col: str) -> Column:
+    """Combine partial states after the joins."""
+    c = F.col(col)
+    if m.agg in ("sum", "count"):
+        return F.sum(c)
+    if m.agg == "average":
+        return exact_ratio(F.sum(col + "__s"), F.sum(col + "__c"), m.scale, num_type=AVERAGE_SUM_TYPE)
+    if m.agg == "ratio":
+        return exact_ratio(F.sum(c), F.sum(col + "__den"), m.scale, times=m.times,
+                           num_type=AVERAGE_SUM_TYPE, den_type=AVERAGE_SUM_TYPE)
+    return getattr(F, m.agg)(c)
 
 
 def _aggregate(m: Measure, col: str) -> Column:

@@ -74,3 +74,22 @@ def test_operations_scan_transactions_once(spark, stored):
     raw = spark.read.parquet(f"{stored}/transactions")
     plan = _plan(marts.transaction_operations(staging.stg_transactions(raw)))
     assert plan.count("FileScan parquet") == 1 and "Expand" in plan
+
+
+def test_explore_aggregates_before_dimension_joins(spark):
+    from ledgerlake.plans.model import EXPLORES
+
+    df = EXPLORES["credit_contracts"].query(
+        Models(spark, SF), ["customers.state", "credit_contracts.contract_count", "credit_contracts.exposure_brl"],
+        principal=g.Principal.of("risk"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    join_at = plan.index("Join LeftOuter")
+    assert "Aggregate" in plan[join_at:]  # the contract rows are collapsed below the join
+
+
+def test_fk_coverage_shuffles_keys_not_rows(spark):
+    from ledgerlake.operators import quality
+
+    m = Models(spark, SF)
+    plan = _plan(quality.fk_coverage(m.transactions, "t", "merchant_id", m.merchants, "m", "merchant_id"))
+    assert "partial_count(1)" in plan
