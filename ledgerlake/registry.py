@@ -25,6 +25,7 @@ from .streaming import incremental
 from .sources.testviews import AS_OF, TestCatalog
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+BUILDERS: dict[str, Callable[["Models"], DataFrame]] = {}  # the same queries over any Models
 
 
 def register(name: str):
@@ -36,17 +37,32 @@ def register(name: str):
         run.__name__ = f"q_{name}"
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
+        BUILDERS[name] = fn
         return fn
 
     return deco
 
 
+class LakeSources:
+    """Raw tables of a ``Catalog`` (stored typed parquet) by attribute name."""
+
+    def __init__(self, catalog):
+        self.catalog = catalog
+
+    def __getattr__(self, name: str) -> DataFrame:
+        return self.catalog.source(name)
+
+
 class Models:
-    """Staging and mart DataFrames over one driver folder (lazy, rebuilt per use)."""
+    """Staging and mart DataFrames over one source of raw tables (lazy).
+
+    ``cat`` defaults to the fixture views over a driver folder; pass
+    ``LakeSources(catalog)`` to run over a stored raw layer instead.
+    """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = AS_OF):
+    def __init__(self, spark: SparkSession, sf_dir: str | None = None, as_of: str = AS_OF, cat=None):
         self.spark = spark
-        self.cat = TestCatalog(spark, sf_dir)
+        self.cat = cat if cat is not None else TestCatalog(spark, sf_dir)
         self.as_of = as_of
 
     @cached_property
