@@ -146,3 +146,14 @@ def stg_daily_rates(raw: DataFrame) -> DataFrame:
         F.col("eur_brl").cast(RATE).alias("eur_brl"),
         F.col("is_business_day").cast("boolean").alias("is_business_day"),
     )
+
+
+def stg_chargebacks(raw: DataFrame) -> DataFrame:
+    """S20 (schema ours): cleaned chargebacks."""
+    return raw.where(F.col("chargeback_id").isNotNull()).select(
+        clean("chargeback_id").alias("chargeback_id"),
+        clean("transaction_id").alias("transaction_id"),
+        F.col("opened_at").cast("date").alias("opened_at"),
+        clean_lower("reason").alias("reason"),
+        F.col("amount_brl").cast(MONEY).alias("amount_brl"),
+    )

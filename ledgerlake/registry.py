@@ -613,3 +613,34 @@ def _streaming_daily_summary(m: Models) -> DataFrame:
         raise q.exception()
     cols = marts.mart_fin_daily_summary(m.transactions).columns
     return m.spark.read.parquet(mart).select(*cols)
+
+
+# --- further inventory items ------------------------------------------------------
+
+@register("stg_chargebacks")
+def _stg_chargebacks(m: Models) -> DataFrame:
+    """The chargebacks source (our schema) with days to open."""
+    cb = staging.stg_chargebacks(m.cat.chargebacks)
+    tx = m.transactions.select("transaction_id", "transaction_date")
+    return cb.join(tx, "transaction_id", "left").select(
+        *cb.columns, F.datediff("opened_at", "transaction_date").alias("days_to_open"))
+
+
+@register("mdr_recompute")
+def _mdr_recompute(m: Models) -> DataFrame:
+    """MDR amount recomputed from the rate, net amount from the MDR."""
+    t = m.transactions
+    mdr = fn.mdr_amount("amount_brl", "mdr_rate_pct")
+    return t.select(
+        "transaction_id", mdr.alias("mdr_recomputed_brl"),
+        fn.net_amount("amount_brl", mdr).alias("net_recomputed_brl"),
+        (mdr == F.col("mdr_amount_brl")).alias("mdr_matches"),
+    )
+
+
+@register("explore_net_revenue")
+def _explore_net_revenue(m: Models) -> DataFrame:
+    """Q21: net revenue measure (finance grant) by quarter and method."""
+    return model.EXPLORES["fin_revenue"].query(
+        m, ["fin_revenue.revenue_quarter", "fin_revenue.payment_method", "fin_revenue.net_revenue",
+            "fin_revenue.mdr_revenue"], principal=FINANCE)

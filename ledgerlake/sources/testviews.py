@@ -203,7 +203,7 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
 
 # Analysed DataFrames of the (read-only) driver tables and views, per session
 # and folder: building them costs footer reads and plan analysis, not data.
-_PLAN_CACHE: dict[tuple[int, str, str], DataFrame] = {}
+_PLAN_CACHE: dict[tuple[str, int, str, str], DataFrame] = {}
 
 
 class TestCatalog:
@@ -214,7 +214,7 @@ class TestCatalog:
         self.sf_dir = sf_dir.rstrip("/")
 
     def _cached(self, kind: str, name: str, build) -> DataFrame:
-        key = (id(self.spark), f"{kind}:{self.sf_dir}", name)
+        key = (self.spark.sparkContext.applicationId, id(self.spark), f"{kind}:{self.sf_dir}", name)
         if key not in _PLAN_CACHE:
             _PLAN_CACHE[key] = build()
         return _PLAN_CACHE[key]
