@@ -8,8 +8,10 @@ from .calendar import (
     is_weekend,
     national_holidays,
     time_frame,
+    holiday_calendar,
     week_index,
     weekdays_between,
+    with_business_days,
 )
 from .finance import (
     blended_mdr_pct,

@@ -8,7 +8,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._util import ColumnOrName, as_col
@@ -54,7 +54,7 @@ def national_holidays(years: Iterable[int]) -> list[dt.date]:
     return sorted(out)
 
 
-# A holiday list becomes an array literal evaluated per row; bound its size.
+# A holiday list becomes an array literal; bound its size.
 MAX_HOLIDAYS = 20_000
 
 
@@ -94,10 +94,15 @@ def weekdays_between(start: ColumnOrName, end: ColumnOrName) -> Column:
     return (full * 5 + head + tail).cast("bigint")
 
 
-def _holiday_array(holidays: Iterable[dt.date]) -> Column:
+def _checked(holidays: Iterable[dt.date]) -> list[dt.date]:
     days = sorted(set(holidays))
     if len(days) > MAX_HOLIDAYS:
         raise ValueError(f"holiday list too long ({len(days)} > {MAX_HOLIDAYS})")
+    return days
+
+
+def _holiday_array(holidays: Iterable[dt.date]) -> Column:
+    days = _checked(holidays)
     if not days:
         return F.array().cast("array<date>")
     return F.array(*[F.lit(d) for d in days])
@@ -106,7 +111,11 @@ def _holiday_array(holidays: Iterable[dt.date]) -> Column:
 def business_days_exact(
     start: ColumnOrName, end: ColumnOrName, holidays: Iterable[dt.date] = BR_HOLIDAYS_2024
 ) -> Column:
-    """Weekdays in [start, end) that are not holidays."""
+    """Weekdays in [start, end) that are not holidays (per-row expression).
+
+    Fine for short holiday lists; for large tables prefer
+    ``with_business_days`` (calendar table + broadcast hash join).
+    """
     s, e = as_col(start), as_col(end)
     on_weekday_in_range = F.filter(
         _holiday_array(holidays), lambda h: (h >= s) & (h < e) & (F.weekday(h) < 5)
@@ -119,6 +128,55 @@ def is_business_day(d: ColumnOrName, holidays: Iterable[dt.date] = BR_HOLIDAYS_2
     return (F.weekday(c) < 5) & ~F.array_contains(_holiday_array(holidays), c)
 
 
+# The calendar covers whole years; bound it so the broadcast side is small.
+MAX_CALENDAR_YEARS = 400
+
+
+def holiday_calendar(spark: SparkSession, holidays: Iterable[dt.date]) -> tuple[DataFrame, dt.date, dt.date]:
+    """One row per day over the holiday years: (cal_date, holidays_before).
+
+    ``holidays_before`` counts weekday holidays strictly before the day. The
+    table has at most MAX_CALENDAR_YEARS * 366 + 1 rows, checked here, so
+    broadcasting it is safe. Returns (calendar, first day, last day).
+    """
+    weekday_days = [h for h in _checked(holidays) if h.weekday() < 5]
+    span = weekday_days or [dt.date(2000, 1, 1)]  # no holidays: any one-year range, count 0 everywhere
+    first, last = dt.date(span[0].year, 1, 1), dt.date(span[-1].year + 1, 1, 1)
+    if last.year - first.year > MAX_CALENDAR_YEARS:
+        raise ValueError(f"holiday calendar spans more than {MAX_CALENDAR_YEARS} years")
+    n = (last - first).days + 1
+    arr = F.array(*[F.lit(h) for h in weekday_days]) if weekday_days else F.array().cast("array<date>")
+    cal = spark.range(n).select(F.date_add(F.lit(first), F.col("id").cast("int")).alias("cal_date"))
+    cal = cal.select("cal_date", F.size(F.filter(arr, lambda h: h < F.col("cal_date"))).cast("bigint")
+                     .alias("holidays_before"))
+    return cal, first, last
+
+
+def with_business_days(df: DataFrame, start: str, end: str, holidays: Iterable[dt.date],
+                       out: str = "business_days") -> DataFrame:
+    """Add exact business days in [start, end) via a calendar join.
+
+    Start and end are clamped into the calendar range (outside it the
+    running holiday count is constant), then looked up with two equi-joins
+    against the size-checked, broadcast calendar: per row this is two hash
+    probes and closed-form weekday arithmetic, all in generated code.
+    """
+    cal, first, last = holiday_calendar(df.sparkSession, holidays)
+    cal = F.broadcast(cal)
+    lo, hi = F.lit(first), F.lit(last)
+
+    def clamp(c: str) -> Column:
+        return F.least(F.greatest(F.col(c), lo), hi)
+
+    cs = cal.select(F.col("cal_date").alias("_cs_date"), F.col("holidays_before").alias("_cs_n"))
+    ce = cal.select(F.col("cal_date").alias("_ce_date"), F.col("holidays_before").alias("_ce_n"))
+    joined = (df.join(cs, clamp(start) == F.col("_cs_date"), "left")
+              .join(ce, clamp(end) == F.col("_ce_date"), "left"))
+    in_range = F.when(F.col(end) > F.col(start), F.col("_ce_n") - F.col("_cs_n")).otherwise(F.lit(0))
+    result = (weekdays_between(start, end) - in_range).cast("bigint")
+    return joined.withColumn(out, result).drop("_cs_date", "_cs_n", "_ce_date", "_ce_n")
+
+
 TIME_FRAMES = ("date", "week", "month", "quarter", "year")
 
 

@@ -250,13 +250,17 @@ HOLIDAY_YEARS = range(1990, 2011)
 
 @register("business_days_calendar")
 def _business_days_calendar(m: Models) -> DataFrame:
-    """exact business days in [contract, maturity) with holidays."""
+    """exact business days in [contract, maturity) with holidays.
+
+    Calendar-table form (two broadcast hash lookups per row) for the count;
+    the per-row expression form for the start-day flag.
+    """
     hol = fn.national_holidays(HOLIDAY_YEARS)
-    c = m.contracts
-    return c.select(
+    c = m.contracts.select("contract_id", "contract_date", "maturity_date")
+    return fn.with_business_days(c, "contract_date", "maturity_date", hol).select(
         "contract_id",
         fn.weekdays_between("contract_date", "maturity_date").alias("weekdays"),
-        fn.business_days_exact("contract_date", "maturity_date", hol).alias("business_days"),
+        "business_days",
         fn.is_business_day("contract_date", hol).alias("starts_on_business_day"),
     )
 

@@ -173,3 +173,14 @@ def test_small_formulas(spark):
     assert r.sk == __import__("hashlib").md5(b"a-_dbt_utils_surrogate_key_null_").hexdigest()
     assert r.blend == Decimal("1.5250")
     assert r.fmt == "R$ 1,234.50"
+
+
+def test_calendar_join_matches_expression_form(spark):
+    hol = fn.national_holidays(range(2023, 2026))
+    rows = [("2024-02-09", "2024-02-16"), ("2022-12-30", "2023-01-03"), ("2026-12-30", "2027-01-05"),
+            ("2024-03-01", "2024-02-01"), (None, "2024-01-01")]
+    df = spark.createDataFrame(rows, "a string, b string").select(F.to_date("a").alias("a"), F.to_date("b").alias("b"))
+    got = fn.with_business_days(df, "a", "b", hol).select(
+        "business_days", fn.business_days_exact("a", "b", hol).alias("expr")).collect()
+    assert [r.business_days for r in got] == [r.expr for r in got]
+    assert got[0].business_days == 3
