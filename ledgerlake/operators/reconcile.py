@@ -81,29 +81,34 @@ def compare_row_counts(old: DataFrame, new: DataFrame, table_name: str, period:
 
 def compare_relations(a: DataFrame, b: DataFrame, keys: Sequence[str],
                       compare: Sequence[str] | None = None) -> DataFrame:
-    """Per key: only_in_a / only_in_b / changed / same (NULL-safe compare).
+    """Per key: only_in_a / only_in_b / changed / same / duplicate_key.
 
-    One full outer join on the key; a changed row lists the differing
-    columns in ``changed_columns``.
+    Each side is first reduced to one row per key (count + the greatest
+    compared values), so a key repeated on both sides can never multiply
+    into all its pairs; such a key is reported as ``duplicate_key``. Then one
+    full outer join on the key with NULL-safe comparisons; a changed row lists
+    the differing columns in ``changed_columns``.
     """
     keys = list(keys)
     compare = list(compare) if compare is not None else [c for c in a.columns if c not in keys]
-    a2 = a.select(*keys, *[F.col(c).alias(f"_a_{c}") for c in compare], F.lit(True).alias("_in_a"))
-    b2 = b.select(*keys, *[F.col(c).alias(f"_b_{c}") for c in compare], F.lit(True).alias("_in_b"))
-    j = a2.join(b2, keys, "full_outer")
+
+    def per_key(df: DataFrame, side: str) -> DataFrame:
+        vals = F.max(F.struct(*[F.col(c).alias(c) for c in compare])) if compare else F.lit(None)
+        out = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"_n_{side}"), vals.alias("_v"))
+        return out.select(*keys, f"_n_{side}", *[F.col(f"_v.{c}").alias(f"_{side}_{c}") for c in compare])
+
+    j = per_key(a, "a").join(per_key(b, "b"), keys, "full_outer")
     diffs = [F.when(~F.col(f"_a_{c}").eqNullSafe(F.col(f"_b_{c}")), F.lit(c)) for c in compare]
     changed = F.concat_ws(",", *diffs) if diffs else F.lit("")
+    both = F.col("_n_a").isNotNull() & F.col("_n_b").isNotNull()
     status = (
-        F.when(F.col("_in_a").isNull(), "only_in_b")
-        .when(F.col("_in_b").isNull(), "only_in_a")
+        F.when(F.col("_n_a").isNull(), "only_in_b")
+        .when(F.col("_n_b").isNull(), "only_in_a")
+        .when((F.col("_n_a") > 1) | (F.col("_n_b") > 1), "duplicate_key")
         .when(changed != "", "changed")
         .otherwise("same")
     )
-    return j.select(
-        *keys,
-        status.alias("status"),
-        F.when(F.col("_in_a") & F.col("_in_b"), changed).alias("changed_columns"),
-    )
+    return j.select(*keys, status.alias("status"), F.when(both, changed).alias("changed_columns"))
 
 
 def relation_diff_counts(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -156,7 +156,11 @@ class Explore:
     def query(self, ctx: Any, fields: Sequence[str], *, principal: Principal,
               filters: Mapping[str, Any] | None = None, pivot: str | None = None,
               pivot_values: Sequence[Any] | None = None, sorts: Sequence[tuple[str, str]] = (),
-              policies: Sequence[RowPolicy] | None = None, as_of: dt.date | str | None = None) -> DataFrame:
+              policies: Sequence[RowPolicy] | None = None, as_of: dt.date | str | None = None,
+              check_fanout: bool = False) -> DataFrame:
+        """Build the query. ``check_fanout=True`` first verifies (one small
+        aggregate per joined view) that every many-to-one join key is unique
+        on the "one" side, raising ``FanOutError`` instead of double counting."""
         from ..operators.governance import default_policies
 
         require_grants(principal, self.required_grants, f"explore {self.name}")
@@ -241,6 +245,8 @@ class Explore:
         for j in joins:
             lv, lc = j.left.split(".", 1)
             right = frame(j.view.name)
+            if check_fanout:
+                _assert_unique(right, f"{j.view.name}__{j.right}", j.view.name)
             df = df.join(right, F.col(f"{lv}__{lc}") == F.col(f"{j.view.name}__{j.right}"), j.how)
 
         for (v, f), value in filter_refs:
@@ -280,6 +286,17 @@ class Explore:
             return False
 
 
+class FanOutError(ValueError):
+    """A many-to-one join's "one" side repeats a key."""
+
+
+def _assert_unique(df: DataFrame, key: str, view: str) -> None:
+    dupes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(
+        F.col(key).isNotNull() & (F.col("_n") > 1)).count()
+    if dupes:
+        raise FanOutError(f"join key {key!r} of view {view!r} repeats for {dupes} value(s)")
+
+
 def _output_names(fields: Sequence[tuple[str, Dimension | Measure]]) -> dict[tuple[str, str], str]:
     counts: dict[str, int] = {}
     for _, f in fields:

@@ -99,3 +99,30 @@ def test_tags_and_restricted_masking(spark):
     tagged = g.tag_columns(df, {"cnpj": {"sensitivity": "restricted", "mask": "cnpj"}})
     assert g.columns_at_or_above(tagged, "confidential") == ["cnpj"]
     assert g.mask_restricted(tagged).first().cnpj == "12.***.***/001-90"
+
+
+def test_fanout_check(spark):
+    from ledgerlake.plans.semantic import FanOutError
+
+    class Ctx:
+        as_of = "2001-08-01"
+        def __init__(self, m):
+            self.daily_summary = m.daily_summary
+            self.rates = m.rates.unionByName(m.rates)  # every rate date twice
+
+    ex = EXPLORES["daily_financial_summary"]
+    fields = ["daily_rates.is_business_day", "daily_financial_summary.total_tpv_brl"]
+    flt = {"daily_financial_summary.summary_date": (None, None)}
+    ctx = Ctx(Models(spark, SF))
+    with pytest.raises(FanOutError):
+        ex.query(ctx, fields, principal=g.Principal.of("finance"), filters=flt, check_fanout=True)
+    ex.query(Models(spark, SF), fields, principal=g.Principal.of("finance"), filters=flt, check_fanout=True)
+
+
+def test_compare_relations_duplicate_keys_do_not_multiply(spark):
+    from ledgerlake.operators.reconcile import compare_relations
+
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, "y"), (3, "z")], "k int, v string")
+    b = spark.createDataFrame([(1, "x"), (1, "x"), (2, "w"), (4, "q")], "k int, v string")
+    got = {r.k: (r.status, r.changed_columns) for r in compare_relations(a, b, ["k"]).collect()}
+    assert got == {1: ("duplicate_key", ""), 2: ("changed", "v"), 3: ("only_in_a", None), 4: ("only_in_b", None)}
