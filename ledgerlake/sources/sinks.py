@@ -1,10 +1,10 @@
 """Sinks: CSV, truncate-and-load tables, day-partitioned and clustered layout,
 dynamic partition overwrite, retention, and row counts observed on the write.
 
-Layout for a partitioned table: range-partition the rows on (partition
-column, cluster columns) so a day holding a third of all rows is spread
-over many tasks, then sort within each task so parquet row groups carry
-tight min/max statistics for the cluster columns (block skipping).
+Layout for a partitioned table: rebalance on the day (AQE sizes the write
+tasks and splits a day holding a third of all rows), then sort within each
+task so parquet row groups carry tight min/max statistics for the cluster
+columns (block skipping). See ``clustered``.
 """
 
 from __future__ import annotations
@@ -35,12 +35,27 @@ def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite") -> bool:
 
 def clustered(df: DataFrame, partition_by: str | None, cluster_by: Sequence[str] = (),
               num_partitions: int | None = None) -> DataFrame:
-    """Balanced, sorted layout for the write (no single-task hot day)."""
+    """Balanced, sorted layout for the write.
+
+    Day-partitioned tables use the REBALANCE hint on the partition column:
+    AQE sizes the write tasks at runtime (advisory partition size), splits a
+    day that holds a third of all rows into several tasks and coalesces small
+    days, with no sampling pass. Tables without a partition column are
+    range-partitioned on the cluster columns, so every file covers a
+    disjoint key range (file-level min/max skipping). Rows are then sorted
+    within each task for tight row-group statistics. ``num_partitions`` pins
+    the task count instead (no adaptive resizing).
+    """
     keys = ([partition_by] if partition_by else []) + list(cluster_by)
     if not keys:
         return df
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    if num_partitions is not None:
+        out = df.repartitionByRange(num_partitions, *keys)
+    elif partition_by:
+        out = df.hint("rebalance", partition_by)
+    else:
+        out = df.repartitionByRange(*keys)
+    return out.sortWithinPartitions(*keys)
 
 
 def write_table(df: DataFrame, path: str, *, mode: str = "overwrite", partition_by: str | None = None,
@@ -52,8 +67,8 @@ def write_table(df: DataFrame, path: str, *, mode: str = "overwrite", partition_
     ``dynamic=True`` only the partitions present in ``df`` are replaced.
     """
     obs = Observation("write")
-    # Observed above the range shuffle: its sampling job re-reads the input,
-    # so an observation below it would count rows twice.
+    # Observed above the layout shuffle: a range shuffle's sampling job
+    # re-reads the input, so an observation below it would count rows twice.
     out = clustered(df, partition_by, cluster_by, num_partitions).observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = out.write.mode(mode).format(fmt).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     if dynamic:

@@ -38,7 +38,11 @@ def refresh_batch(spark: SparkSession, batch: DataFrame, landing_path: str, mart
     landed = spark.read.schema(LANDING_SCHEMA).parquet(landing_path)
     affected = landed.join(months, MONTH_COL, "left_semi").drop(MONTH_COL)
     mart = mart_fin_daily_summary(stg_transactions(affected))
-    write_table(mart, mart_path, partition_by="summary_date", dynamic=True)
+    # A micro-batch is small (bounded by maxFilesPerTrigger) but touches many
+    # day partitions: spread its write over the cluster instead of letting
+    # AQE coalesce it into one task that creates every file in turn.
+    write_table(mart, mart_path, partition_by="summary_date", dynamic=True,
+                num_partitions=spark.sparkContext.defaultParallelism)
 
 
 def start_refresh(spark: SparkSession, landing_path: str, mart_path: str, checkpoint_path: str, *,
