@@ -7,7 +7,6 @@ finds the shared folder used for written intermediates and sinks.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -78,15 +77,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(path.removeprefix("file:"), exist_ok=True)
-
-
 def cluster_settings(total_cores: int, *, advisory_mb: int = 256) -> dict[str, str]:
     """Starting settings for a large cluster (e.g. 1000 executors, 100 TB).
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,11 +13,10 @@ from ..schemas import PIPELINE_RUNS
 def audit_row(spark: SparkSession, *, run_id: str, pipeline_name: str, step: str, status: str,
               rows_processed: int | None, started_at: dt.datetime, finished_at: dt.datetime | None,
               rows_failed: int | None = 0, error_message: str | None = None,
-              triggered_by: str | None = None, git_commit_sha: str | None = None) -> DataFrame:
+              triggered_by: str = "manual", git_commit_sha: str | None = None) -> DataFrame:
     """One audit row with the fixed schema, real start and finish times."""
     row = (run_id, pipeline_name, step, status, rows_processed, rows_failed, started_at, finished_at,
-           error_message, triggered_by or os.environ.get("TRIGGERED_BY", "manual"),
-           git_commit_sha or os.environ.get("GIT_SHA", "local"))
+           error_message, triggered_by, git_commit_sha)
     return spark.createDataFrame([row], PIPELINE_RUNS)
 
 
