@@ -1,9 +1,10 @@
 """Batch jobs: ingest raw CSVs, build the marts behind a blocking check gate.
 
 ``ingest``: per table, typed FAILFAST scan -> REQUIRED guard -> load stamp ->
-partitioned/clustered write (rows observed on the write) -> audit row. A
-failing table is recorded and the others continue; the job raises at the
-end. Only one metrics row per table reaches the driver.
+partitioned/clustered write (rows observed on the write) -> audit row; the
+tables load as concurrent jobs. A failing table is recorded and the others
+continue; the job raises at the end. Only one metrics row per table
+reaches the driver.
 
 ``build_mart``: compute -> write to a staging folder (this also cuts the
 lineage, so a lost executor re-reads files instead of recomputing the
@@ -16,6 +17,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,39 +37,48 @@ def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
+def _load_one(spark: SparkSession, catalog: Catalog, csv_root: str, name: str, *, run_id: str,
+              load_ts: dt.datetime, pipeline_name: str) -> tuple[str, int | None, DataFrame]:
+    spec = RAW_TABLES[name]
+    started = _now()
+    try:
+        df = read_typed_csv(spark, f"{csv_root.rstrip('/')}/{name}", name)
+        check_required(df, name)
+        res = write_table(with_loaded_at(df, load_ts), catalog.location("raw", name),
+                          partition_by=spec.partition_by, cluster_by=spec.cluster_by)
+        row = audit_row(spark, run_id=run_id, pipeline_name=pipeline_name, step=f"load_{name}",
+                        status="success", rows_processed=res.rows, started_at=started, finished_at=_now())
+        return name, res.rows, row
+    except Exception as e:  # noqa: BLE001 - recorded in the audit, re-raised as a summary
+        row = audit_row(spark, run_id=run_id, pipeline_name=pipeline_name, step=f"load_{name}",
+                        status="failed", rows_processed=None, started_at=started, finished_at=_now(),
+                        error_message=str(e)[:2000])
+        return name, None, row
+
+
 def ingest(spark: SparkSession, catalog: Catalog, csv_root: str, tables: Sequence[str] | None = None, *,
            audit_path: str, run_id: str | None = None, load_ts: dt.datetime | None = None,
-           pipeline_name: str = "ingestion_load") -> dict[str, int]:
-    """Load each raw table, isolate failures."""
+           pipeline_name: str = "ingestion_load", max_parallel: int = 4) -> dict[str, int]:
+    """Load each raw table, isolate failures.
+
+    Tables load as concurrent Spark jobs (``max_parallel`` driver threads),
+    so one table's tail does not leave the cluster idle; each load is
+    independent and a failure only marks its own audit row.
+    """
     run_id = run_id or str(uuid.uuid4())
     load_ts = load_ts or _now()
-    loaded: dict[str, int] = {}
-    failures: list[str] = []
-    audits = []
-    for name in tables or list(RAW_TABLES):
-        spec = RAW_TABLES[name]
-        started = _now()
-        try:
-            df = read_typed_csv(spark, f"{csv_root.rstrip('/')}/{name}", name)
-            check_required(df, name)
-            res = write_table(with_loaded_at(df, load_ts), catalog.location("raw", name),
-                              partition_by=spec.partition_by, cluster_by=spec.cluster_by)
-            loaded[name] = res.rows
-            audits.append(audit_row(spark, run_id=run_id, pipeline_name=pipeline_name, step=f"load_{name}",
-                                    status="success", rows_processed=res.rows, started_at=started,
-                                    finished_at=_now()))
-        except Exception as e:  # noqa: BLE001 - recorded, then re-raised as a summary
-            failures.append(name)
-            audits.append(audit_row(spark, run_id=run_id, pipeline_name=pipeline_name, step=f"load_{name}",
-                                    status="failed", rows_processed=None, started_at=started,
-                                    finished_at=_now(), error_message=str(e)[:2000]))
-    batch = audits[0]
-    for a in audits[1:]:
-        batch = batch.unionByName(a)
+    names = list(tables or RAW_TABLES)
+    with ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(names)))) as pool:
+        results = list(pool.map(lambda n: _load_one(spark, catalog, csv_root, n, run_id=run_id,
+                                                    load_ts=load_ts, pipeline_name=pipeline_name), names))
+    batch = results[0][2]
+    for _, _, row in results[1:]:
+        batch = batch.unionByName(row)
     append_audit(batch, audit_path)
+    failures = [n for n, rows, _ in results if rows is None]
     if failures:
         raise LoadFailed(f"load failed for: {', '.join(failures)}")
-    return loaded
+    return {n: rows for n, rows, _ in results}
 
 
 def build_mart(spark: SparkSession, mart: DataFrame, *, name: str, publish_path: str, staging_path: str,
