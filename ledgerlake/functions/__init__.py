@@ -33,7 +33,9 @@ from .finance import (
     risk_level_order,
     exact_ratio,
     money_per_count,
+    from_unscaled,
     money_sum,
+    unscaled,
     money_ratio,
     safe_divide,
 )

@@ -178,6 +178,16 @@ def payment_method_label(method: ColumnOrName) -> Column:
     return lookup(m, {k: F.lit(v) for k, v in PAYMENT_METHOD_LABELS.items()}, default=m)
 
 
+def unscaled(c: ColumnOrName, scale: int = 2) -> Column:
+    """A DECIMAL(p, scale) value as its exact unscaled BIGINT (ANSI raises on overflow)."""
+    return (as_col(c) * dec(10**scale, scale + 1, 0)).cast("bigint")
+
+
+def from_unscaled(c: ColumnOrName, scale: int = 2) -> Column:
+    """Back from an unscaled BIGINT (e.g. its SUM) to DECIMAL(38, scale)."""
+    return as_col(c).cast("decimal(38,0)") * dec(f"{10**-scale:.{scale}f}", scale + 1, scale)
+
+
 def money_sum(c: ColumnOrName, scale: int = 2) -> Column:
     """Exact SUM of a DECIMAL(p, scale) column, accumulated as unscaled BIGINT.
 
@@ -187,8 +197,7 @@ def money_sum(c: ColumnOrName, scale: int = 2) -> Column:
     units) raises instead of wrapping. Result: DECIMAL(38, scale); NULL when
     every input is NULL, like SUM.
     """
-    unscaled = (as_col(c) * dec(10**scale, scale + 1, 0)).cast("bigint")
-    return F.sum(unscaled).cast("decimal(38,0)") * dec(f"{10**-scale:.{scale}f}", scale + 1, scale)
+    return from_unscaled(F.sum(unscaled(c, scale)), scale)
 
 
 COUNT_TYPE = "decimal(20,0)"

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from ..functions import (
     dpd_bucket,
+    from_unscaled,
     money_sum,
+    unscaled,
     exact_ratio,
     expected_loss,
     money_per_count,
@@ -194,20 +196,26 @@ def transaction_operations(stg_transactions: DataFrame) -> DataFrame:
     group in the map-side partial aggregate.
     """
     zero = F.lit(0).cast("decimal(18,2)")
-    keyed = stg_transactions.withColumns({
-        "_day": F.col("transaction_date"),
-        "_month": F.date_trunc("month", F.col("transaction_date")).cast("date"),
-    })
+    # Per-row inputs are computed once, below the Expand that feeds each row
+    # to both grouping sets.
+    keyed = stg_transactions.select(
+        *OPERATIONS_KEYS,
+        F.col("transaction_date").alias("_day"),
+        F.date_trunc("month", F.col("transaction_date")).cast("date").alias("_month"),
+        "is_approved", "is_chargeback", (F.col("status") == "denied").alias("_denied"),
+        unscaled(_approved("amount_brl").otherwise(zero)).alias("_tpv"),
+        unscaled(_approved("mdr_amount_brl").otherwise(zero)).alias("_mdr"),
+    )
     grouped = keyed.groupingSets(
         [["_day", *OPERATIONS_KEYS], ["_month", *OPERATIONS_KEYS]], "_day", "_month", *OPERATIONS_KEYS
     ).agg(
         F.grouping("_day").alias("_g"),
         F.count(F.lit(1)).alias("total_transactions"),
         F.count_if(F.col("is_approved")).alias("approved_transactions"),
-        F.count_if(F.col("status") == "denied").alias("denied_transactions"),
+        F.count_if(F.col("_denied")).alias("denied_transactions"),
         F.count_if(F.col("is_chargeback")).alias("chargeback_transactions"),
-        money_sum(_approved("amount_brl").otherwise(zero)).alias("tpv_brl"),
-        money_sum(_approved("mdr_amount_brl").otherwise(zero)).alias("mdr_revenue_brl"),
+        from_unscaled(F.sum("_tpv")).alias("tpv_brl"),
+        from_unscaled(F.sum("_mdr")).alias("mdr_revenue_brl"),
     )
     daily = F.col("_g") == 0
     return grouped.select(
