@@ -104,18 +104,29 @@ def source_row_checks(table: str, as_of: dt.date | str | None = None) -> list[Ro
 def unique(df: DataFrame, table_name: str, key: str | Sequence[str]) -> DataFrame:
     """Key values (non-NULL) that occur more than once; one result row.
 
-    Shuffles once by key after a map-side partial count, so a hot key costs
-    one row per task.
+    Two stages so a near-unique key (billions of ids) never shuffles its
+    full text: (1) count rows per 64-bit hash of the key (map-side partial
+    counts, 8-byte shuffle keys); (2) only rows whose hash repeats (true
+    duplicates plus rare collisions, a tiny set AQE broadcasts) are
+    semi-joined back and counted by the exact key. Exact result.
     """
     keys = [key] if isinstance(key, str) else list(key)
     key_present = F.lit(True)
     for k in keys:
         key_present = key_present & F.col(k).isNotNull()
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counted.agg(
-        F.count_if(key_present & (F.col("_n") > 1)).cast("bigint").alias("failing_rows"),
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("total_rows"),
-    ).select(
+    hashed = df.select(*keys, F.xxhash64(*keys).alias("_h"))
+    per_hash = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
+    candidates = per_hash.where(F.col("_n") > 1).select("_h")
+    dup_keys = (hashed.join(candidates, "_h", "left_semi")
+                .groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+                .where(key_present & (F.col("_n") > 1)))
+    failing = dup_keys.agg(F.count(F.lit(1)).cast("bigint").alias("failing_rows"),
+                           F.lit(None).cast("bigint").alias("total_rows"))
+    total = per_hash.agg(F.lit(None).cast("bigint").alias("failing_rows"),
+                         F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("total_rows"))
+    both = failing.unionByName(total).agg(F.max("failing_rows").alias("failing_rows"),
+                                          F.max("total_rows").alias("total_rows"))
+    return both.select(
         F.lit(table_name).alias("table_name"),
         F.lit("unique").alias("check_name"),
         F.lit(",".join(keys)).alias("column_name"),

@@ -93,3 +93,12 @@ def test_fk_coverage_shuffles_keys_not_rows(spark):
     m = Models(spark, SF)
     plan = _plan(quality.fk_coverage(m.transactions, "t", "merchant_id", m.merchants, "m", "merchant_id"))
     assert "partial_count(1)" in plan
+
+
+def test_unique_check_exact_with_duplicates_and_nulls(spark):
+    from ledgerlake.operators import quality
+
+    df = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,), ("c",), ("c",), ("c",)], "k string")
+    r = quality.unique(df, "t", "k").first()
+    assert (r.failing_rows, r.total_rows, r.status) == (2, 8, "error")
+    assert quality.unique(df.where("k = 'b'"), "t", "k").first().failing_rows == 0
