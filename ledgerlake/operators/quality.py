@@ -207,6 +207,25 @@ def freshness(df: DataFrame, source_name: str, loaded_at: str, now: dt.datetime
     )
 
 
+def _coverage(per_key: DataFrame, child_name: str, fk: str, parent: DataFrame, parent_name: str,
+              pk: str) -> DataFrame:
+    """Orphan rows from per-key row counts (``_k``, ``_n``) of the child."""
+    keys = parent.select(F.col(pk).alias("_k")).distinct().withColumn("_hit", F.lit(True))
+    joined = per_key.join(keys, "_k", "left")
+    orphan = F.col("_k").isNotNull() & F.col("_hit").isNull()
+    return joined.agg(
+        F.coalesce(F.sum(F.when(orphan, F.col("_n"))), F.lit(0)).cast("bigint").alias("orphan_rows"),
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("total_rows"),
+    ).select(
+        F.lit(child_name).alias("child_table"),
+        F.lit(fk).alias("fk_column"),
+        F.lit(parent_name).alias("parent_table"),
+        "orphan_rows",
+        "total_rows",
+        F.when(F.col("orphan_rows") > 0, "error").otherwise("pass").alias("status"),
+    )
+
+
 def fk_coverage(child: DataFrame, child_name: str, fk: str,
                 parent: DataFrame, parent_name: str, pk: str) -> DataFrame:
     """Rows whose non-NULL foreign key has no parent row; one result row.
@@ -218,16 +237,49 @@ def fk_coverage(child: DataFrame, child_name: str, fk: str,
     they turn out small and sort-merges otherwise.
     """
     per_key = child.groupBy(F.col(fk).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-    keys = parent.select(F.col(pk).alias("_k")).distinct().withColumn("_hit", F.lit(True))
-    joined = per_key.join(keys, "_k", "left")
+    return _coverage(per_key, child_name, fk, parent, parent_name, pk)
+
+
+def fk_coverage_many(child: DataFrame, child_name: str,
+                     refs: Sequence[tuple[str, DataFrame, str, str]]) -> DataFrame:
+    """Several foreign keys of one child table: (fk, parent, parent_name, pk).
+
+    One pass over the child: a grouping-sets aggregate counts rows per value
+    of every foreign key (tagged with the key's index), one left join checks
+    them against the tagged, de-duplicated union of the parents' keys, and one
+    final aggregate per index yields orphan and total rows. Keys are compared
+    as text.
+    """
+    fks = [r[0] for r in refs]
+    per_fk = child.groupingSets([[fk] for fk in fks], *fks).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.grouping(fk).alias(f"_g{i}") for i, fk in enumerate(fks)])
+    index = None
+    for i in range(len(fks)):
+        index = (F.when(F.col(f"_g{i}") == 0, F.lit(i)) if index is None
+                 else index.when(F.col(f"_g{i}") == 0, F.lit(i)))
+    per_key = per_fk.select(index.alias("_i"), F.coalesce(*[F.col(fk).cast("string") for fk in fks]).alias("_k"), "_n")
+    parents = None
+    for i, (_, parent, _, pk) in enumerate(refs):
+        p = parent.select(F.lit(i).alias("_i"), F.col(pk).cast("string").alias("_k"))
+        parents = p if parents is None else parents.unionByName(p)
+    hits = parents.distinct().withColumn("_hit", F.lit(True))
     orphan = F.col("_k").isNotNull() & F.col("_hit").isNull()
-    return joined.agg(
+    per_index = per_key.join(hits, ["_i", "_k"], "left").groupBy("_i").agg(
         F.coalesce(F.sum(F.when(orphan, F.col("_n"))), F.lit(0)).cast("bigint").alias("orphan_rows"),
         F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("total_rows"),
-    ).select(
+    )
+
+    def label(pos: int) -> Column:
+        expr = None
+        for i, r in enumerate(refs):
+            expr = (F.when(F.col("_i") == i, F.lit(r[pos])) if expr is None
+                    else expr.when(F.col("_i") == i, F.lit(r[pos])))
+        return expr
+
+    return per_index.select(
         F.lit(child_name).alias("child_table"),
-        F.lit(fk).alias("fk_column"),
-        F.lit(parent_name).alias("parent_table"),
+        label(0).alias("fk_column"),
+        label(2).alias("parent_table"),
         "orphan_rows",
         "total_rows",
         F.when(F.col("orphan_rows") > 0, "error").otherwise("pass").alias("status"),

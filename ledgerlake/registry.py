@@ -399,8 +399,8 @@ def _compare_relations(m: Models) -> DataFrame:
 def _fk_coverage(m: Models) -> DataFrame:
     """Orphan foreign keys behind every join of the marts and explores."""
     t, c, mer, ctr = m.transactions, m.customers, m.merchants, m.contracts
-    return (quality.fk_coverage(t, "transactions", "merchant_id", mer, "merchants", "merchant_id")
-            .unionByName(quality.fk_coverage(t, "transactions", "customer_id", c, "customers", "customer_id"))
+    return (quality.fk_coverage_many(t, "transactions", [("merchant_id", mer, "merchants", "merchant_id"),
+                                                         ("customer_id", c, "customers", "customer_id")])
             .unionByName(quality.fk_coverage(ctr, "credit_contracts", "customer_id", c, "customers", "customer_id"))
             .unionByName(quality.fk_coverage(mer, "merchants", "customer_id", c, "customers", "customer_id")))
 

@@ -102,3 +102,15 @@ def test_unique_check_exact_with_duplicates_and_nulls(spark):
     r = quality.unique(df, "t", "k").first()
     assert (r.failing_rows, r.total_rows, r.status) == (2, 8, "error")
     assert quality.unique(df.where("k = 'b'"), "t", "k").first().failing_rows == 0
+
+
+def test_fk_coverage_many_single_scan_and_exact(spark):
+    from ledgerlake.operators import quality
+
+    child = spark.createDataFrame([("m1", "c1"), ("m1", "cX"), ("mX", None), (None, "c1")], "m string, c string")
+    merchants = spark.createDataFrame([("m1",), ("m1",)], "m string")
+    customers = spark.createDataFrame([("c1",)], "c string")
+    out = quality.fk_coverage_many(child, "t", [("m", merchants, "merchants", "m"), ("c", customers, "customers", "c")])
+    got = {r.fk_column: (r.orphan_rows, r.total_rows) for r in out.collect()}
+    assert got == {"m": (1, 4), "c": (1, 4)}
+    assert _plan(out).count("Expand") == 1
