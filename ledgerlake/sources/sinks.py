@@ -10,6 +10,7 @@ columns (block skipping). See ``clustered``.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -66,7 +67,7 @@ def write_table(df: DataFrame, path: str, *, mode: str = "overwrite", partition_
     The row count is observed during the write (no second scan). With
     ``dynamic=True`` only the partitions present in ``df`` are replaced.
     """
-    obs = Observation("write")
+    obs = Observation(f"write-{uuid.uuid4().hex}")  # unique: writes may run concurrently
     # Observed above the layout shuffle: a range shuffle's sampling job
     # re-reads the input, so an observation below it would count rows twice.
     out = clustered(df, partition_by, cluster_by, num_partitions).observe(obs, F.count(F.lit(1)).alias("rows"))
