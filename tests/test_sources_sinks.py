@@ -149,3 +149,19 @@ def test_streaming_refresh_is_incremental_and_idempotent(spark, tmp_dir):
     assert got == {dt.date(2024, 1, 2): Decimal("17.00"), dt.date(2024, 2, 1): Decimal("5.00")}
     expected = marts.mart_fin_daily_summary(staging.stg_transactions(first.unionByName(second)))
     assert expected.count() == 2
+
+
+def test_concurrent_ingest_counts_each_table(spark, tmp_dir):
+    csv_root = f"{tmp_dir}/csv"
+    _write(f"{csv_root}/transactions", "t.csv", [TX_HEADER, *GOOD_TX])
+    _write(f"{csv_root}/daily_rates", "r.csv", ["rate_date,cdi_annual_pct,selic_annual_pct,usd_brl,eur_brl,is_business_day",
+                                                 "2024-01-02,10.5,10.6,4.9,5.3,True", "2024-01-03,10.5,10.6,4.9,5.3,True",
+                                                 "2024-01-06,10.5,10.6,4.9,5.3,False"])
+    _write(f"{csv_root}/merchants", "m.csv", ["merchant_id,merchant_name,merchant_segment,mdr_credit,mdr_debit,mdr_pix,activated_at,is_active,customer_id",
+                                               "M1,Loja,retail,2.5,1.2,0.5,2023-01-01,True,C1"])
+    cat = Catalog(spark, root=f"{tmp_dir}/lake")
+    loaded = jobs.ingest(spark, cat, csv_root, ["transactions", "daily_rates", "merchants"],
+                         audit_path=f"{tmp_dir}/audit", run_id="r2", max_parallel=3)
+    assert loaded == {"transactions": 2, "daily_rates": 3, "merchants": 1}
+    assert {r.step: r.rows_processed for r in audit.read_audit(spark, f"{tmp_dir}/audit").collect()} == {
+        "load_transactions": 2, "load_daily_rates": 3, "load_merchants": 1}
