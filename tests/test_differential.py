@@ -103,3 +103,38 @@ def test_portfolio_mart_matches_sql_on_random_rows(spark, rows):
            + f"\nSELECT {M7_COLUMNS}, '2024-06-01' AS snapshot_date FROM mart_risk_credit_portfolio")
     want = con.execute(sql).df()
     assert compare(got, want) == []
+
+
+ops_row = st.fixed_dictionaries({
+    "transaction_id": st.sampled_from(["a", "b"]),
+    "merchant_id": st.one_of(st.none(), st.sampled_from(["M1", "M2"])),
+    "acquirer": st.one_of(st.none(), st.sampled_from(["cielo", " Rede "])),
+    "amount_brl": st.decimals(min_value=Decimal("0.01"), max_value=Decimal("300"), places=2),
+    "mdr_amount_brl": money,
+    "status": st.one_of(st.none(), st.sampled_from(["approved", "denied", "chargeback"])),
+    "transaction_date": st.dates(dt.date(2024, 1, 30), dt.date(2024, 2, 2)),
+})
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(ops_row, min_size=1, max_size=40))
+def test_operations_mart_matches_sql_on_random_rows(spark, rows):
+    names = [f.name for f in TRANSACTIONS.fields]
+    nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in TRANSACTIONS.fields])
+    df = spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], nullable)
+    got = to_edge(marts.transaction_operations(staging.stg_transactions(df))).toPandas()
+
+    con = duckdb.connect()
+    con.register("transactions_src", df.toPandas())
+    con.execute("CREATE TABLE transactions AS SELECT transaction_id, merchant_id, customer_id, "
+                "CAST(amount_brl AS DECIMAL(18,2)) AS amount_brl, CAST(mdr_rate_pct AS DECIMAL(9,4)) AS mdr_rate_pct, "
+                "CAST(mdr_amount_brl AS DECIMAL(18,2)) AS mdr_amount_brl, CAST(net_amount_brl AS DECIMAL(18,2)) AS net_amount_brl, "
+                "payment_method, status, CAST(transaction_date AS DATE) AS transaction_date, "
+                "CAST(transaction_ts AS TIMESTAMP) AS transaction_ts, CAST(installments AS BIGINT) AS installments, "
+                "authorization_code, acquirer FROM transactions_src")
+    from ledgerlake.oracle_sql import _OPS_COLS
+
+    sql = ("WITH " + STG["stg_transactions"] + ",\n" + MART_SQL["transaction_operations"]
+           + f"\nSELECT {_OPS_COLS} FROM transaction_operations")
+    want = con.execute(sql).df()
+    assert compare(got, want) == []
