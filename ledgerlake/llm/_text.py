@@ -8,12 +8,14 @@ than the bound is a run of its own; nothing is ever cut or skipped.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 U64 = np.uint64
 SLICE_BYTES = 2 << 20
@@ -146,6 +148,17 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
         i = j
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Python workers import this package from where the driver has it, whatever their folder.
+
+    A cluster that ships the package itself (``--py-files``) is not affected.
+    """
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def map_runs(docs: DataFrame, columns: list[str], fn: Callable, schema: str, setup: Callable | None = None) -> DataFrame:
     """``fn(batch, run[, state])`` -> columns of ``schema`` for every run of documents.
 
@@ -161,6 +174,7 @@ def map_runs(docs: DataFrame, columns: list[str], fn: Callable, schema: str, set
                 if out is not None:
                     yield out
 
+    workers_find_package(docs.sparkSession)
     return docs.select(*columns).mapInArrow(task, schema)
 
 

@@ -7,13 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import quality_rules, url_reputation
+from ledgerlake.llm import pii, quality_rules, toxicity, url_reputation
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fitted on the labels outside the held-out fold; every document scored."""
+    fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").where(fold != 0).select("doc_id", "toxic")
+    scored = toxicity.score(docs, toxicity.fit_classifier(docs, labels))
+    return scored.select("doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find_pii(docs, pii.fit_scorer(docs))
+
+
 def op7_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page judged; a page's outcome is the label row of the same number, bad if low quality or toxic."""
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
@@ -28,6 +42,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
+    "op5_pii": op5_pii,
     "op7_url_reputation": op7_url_reputation,
     "op10_quality_rules": op10_quality_rules,
 }
