@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import near_dedup, pii, quality_rules, toxicity, url_reputation
+from ledgerlake.llm import mixing, near_dedup, packing, pii, quality_rules, toxicity, url_reputation
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -27,11 +33,19 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.weigh(_table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.find_pii(docs, pii.fit_scorer(docs))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+
+
 def op7_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page judged; a page's outcome is the label row of the same number, bad if low quality or toxic."""
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
@@ -48,7 +62,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_toxicity": op2_toxicity,
+    "op4_mixing": op4_mixing,
     "op5_pii": op5_pii,
+    "op6_packing": op6_packing,
     "op7_url_reputation": op7_url_reputation,
     "op10_quality_rules": op10_quality_rules,
 }
