@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import mixing, near_dedup, packing, pii, quality_rules, toxicity, url_reputation
+from ledgerlake.llm import mixing, near_dedup, packing, pii, quality_rules, substring_dedup, toxicity, url_reputation
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.find_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.weigh(_table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
 
@@ -62,6 +66,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_toxicity": op2_toxicity,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_mixing": op4_mixing,
     "op5_pii": op5_pii,
     "op6_packing": op6_packing,
