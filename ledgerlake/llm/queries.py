@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import mixing, near_dedup, packing, pii, quality_rules, substring_dedup, suffix_dedup, toxicity, url_reputation
+from ledgerlake.llm import fingerprints, mixing, near_dedup, packing, pii, quality_rules, substring_dedup, suffix_dedup, toxicity, url_reputation
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,10 @@ def op7_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judge_urls(pages, outcomes).select("page_id", "host", "path", "rule", "verdict", "n_labelled", "n_bad")
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.find_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pii": op5_pii,
     "op6_packing": op6_packing,
     "op7_url_reputation": op7_url_reputation,
+    "op8_fingerprints": op8_fingerprints,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
