@@ -1,51 +1,15 @@
 from __future__ import annotations
 
 import random
-import re
-from collections import defaultdict
 
 import numpy as np
 import pytest
+from brute import near_brute
 
 from ledgerlake.llm import near_dedup as n
 from ledgerlake.llm._store import components
 from ledgerlake.llm.queries import QUERIES
 
-WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-
-
-def shingle_set(text: str | None) -> frozenset:
-    words = WORD.findall((text or "").encode().lower())  # bytes.lower() changes A-Z only
-    return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4)) if len(words) >= 5 else frozenset([tuple(words)] if words else [])
-
-
-def brute(rows) -> dict:
-    """doc_id -> (set size, component, kept) by comparing every pair that shares a shingle."""
-    sets = {i: shingle_set(t) for i, t in rows}
-    by = defaultdict(list)
-    for i, s in sets.items():
-        for x in s:
-            by[x].append(i)
-    root = {i: i for i in sets}
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    tested = set()
-    for ids in by.values():
-        for k, a in enumerate(ids):
-            for b in ids[:k]:
-                if (a, b) not in tested and find(a) != find(b):
-                    tested.add((a, b))
-                    both = len(sets[a] & sets[b])
-                    if 100 * both >= 85 * len(sets[a] | sets[b]):
-                        x, y = find(a), find(b)
-                        root[max(x, y)] = min(x, y)
-    return {i: (len(s), find(i), find(i) == i) for i, s in sets.items()}
-
-
 def got(frame) -> dict:
     rows = frame.collect()
     assert len({r.doc_id for r in rows}) == len(rows)
@@ -53,7 +17,7 @@ def got(frame) -> dict:
 
 
 def test_matches_brute_force(docs, corpus):
-    assert got(n.near_duplicates(docs)) == brute(corpus)
+    assert got(n.near_duplicates(docs)) == near_brute(corpus)
 
 
 def test_chains_and_mixed_buckets(spark):
@@ -74,13 +38,13 @@ def test_chains_and_mixed_buckets(spark):
             words[r.randrange(200)] = f"e{r.randrange(9000)}"
         rows.append((r.randrange(10**9), " ".join(words)))
     rows = list({i: (i, t) for i, t in rows}.values())
-    assert got(n.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+    assert got(n.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == near_brute(rows)
 
 
 def test_sample_tables(spark):
     d = "/root/testdata/sf0.01"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{d}/documents.parquet").collect()]
-    assert got(QUERIES["op1_near_dedup"](spark, d)) == brute(rows)
+    assert got(QUERIES["op1_near_dedup"](spark, d)) == near_brute(rows)
 
 
 def test_null_ids_and_repeated_rows(spark):
@@ -94,7 +58,7 @@ def test_null_ids_and_repeated_rows(spark):
 def test_drop_keeps_columns(docs, corpus):
     out = n.drop_near_duplicates(docs)
     assert out.columns == docs.columns
-    assert {r.doc_id for r in out.collect()} == {i for i, (_, _, kept) in brute(corpus).items() if kept}
+    assert {r.doc_id for r in out.collect()} == {i for i, (_, _, kept) in near_brute(corpus).items() if kept}
 
 
 def test_empty_table(no_docs):
