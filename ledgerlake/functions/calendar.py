@@ -117,15 +117,35 @@ def business_days_exact(
     ``with_business_days`` (calendar table + broadcast hash join).
     """
     s, e = as_col(start), as_col(end)
+    days = _checked(holidays)
     on_weekday_in_range = F.filter(
-        _holiday_array(holidays), lambda h: (h >= s) & (h < e) & (F.weekday(h) < 5)
+        _holiday_array(days), lambda h: (h >= s) & (h < e) & (F.weekday(h) < 5)
     )
-    return (weekdays_between(s, e) - F.size(on_weekday_in_range)).cast("bigint")
+    count = (weekdays_between(s, e) - F.size(on_weekday_in_range)).cast("bigint")
+    return F.when(_covered(s, days) & _covered(e, days), count)
+
+
+def _years(days: list[dt.date]) -> tuple[dt.date, dt.date] | None:
+    """First day covered by a holiday list and the first one after it (whole years)."""
+    return (dt.date(days[0].year, 1, 1), dt.date(days[-1].year + 1, 1, 1)) if days else None
+
+
+def _covered(d: Column, days: list[dt.date]) -> Column:
+    """Whether the list knows the holidays up to ``d``; without holidays every day is known."""
+    span = _years(days)
+    return F.lit(True) if span is None else (d >= F.lit(span[0])) & (d <= F.lit(span[1]))
 
 
 def is_business_day(d: ColumnOrName, holidays: Iterable[dt.date] = BR_HOLIDAYS_2024) -> Column:
+    """Weekday that is no holiday; NULL outside the years of the list.
+
+    Fine for short lists; ``with_business_days`` has the same flag from its calendar join.
+    """
     c = as_col(d)
-    return (F.weekday(c) < 5) & ~F.array_contains(_holiday_array(holidays), c)
+    days = _checked(holidays)
+    span = _years(days)
+    known = F.lit(True) if span is None else (c >= F.lit(span[0])) & (c < F.lit(span[1]))
+    return F.when(known, (F.weekday(c) < 5) & ~F.array_contains(_holiday_array(days), c))
 
 
 # The calendar covers whole years; bound it so the broadcast side is small.
@@ -133,48 +153,54 @@ MAX_CALENDAR_YEARS = 400
 
 
 def holiday_calendar(spark: SparkSession, holidays: Iterable[dt.date]) -> tuple[DataFrame, dt.date, dt.date]:
-    """One row per day over the holiday years: (cal_date, holidays_before).
+    """One row per day over the holiday years: (cal_date, holidays_before, is_holiday).
 
     ``holidays_before`` counts weekday holidays strictly before the day. The
     table has at most MAX_CALENDAR_YEARS * 366 + 1 rows, checked here, so
     broadcasting it is safe. Returns (calendar, first day, last day).
     """
-    weekday_days = [h for h in _checked(holidays) if h.weekday() < 5]
-    span = weekday_days or [dt.date(2000, 1, 1)]  # no holidays: any one-year range, count 0 everywhere
-    first, last = dt.date(span[0].year, 1, 1), dt.date(span[-1].year + 1, 1, 1)
+    days = _checked(holidays)
+    weekday_days = [h for h in days if h.weekday() < 5]
+    first, last = _years(days) or (dt.date(2000, 1, 1), dt.date(2001, 1, 1))  # no holidays: count 0 everywhere
     if last.year - first.year > MAX_CALENDAR_YEARS:
         raise ValueError(f"holiday calendar spans more than {MAX_CALENDAR_YEARS} years")
     n = (last - first).days + 1
     arr = F.array(*[F.lit(h) for h in weekday_days]) if weekday_days else F.array().cast("array<date>")
     cal = spark.range(n).select(F.date_add(F.lit(first), F.col("id").cast("int")).alias("cal_date"))
     cal = cal.select("cal_date", F.size(F.filter(arr, lambda h: h < F.col("cal_date"))).cast("bigint")
-                     .alias("holidays_before"))
+                     .alias("holidays_before"), F.array_contains(arr, F.col("cal_date")).alias("is_holiday"))
     return cal, first, last
 
 
 def with_business_days(df: DataFrame, start: str, end: str, holidays: Iterable[dt.date],
-                       out: str = "business_days") -> DataFrame:
-    """Add exact business days in [start, end) via a calendar join.
+                       out: str = "business_days", start_flag: str | None = None) -> DataFrame:
+    """Add exact business days in [start, end) via a calendar join, and, as
+    ``start_flag``, whether the start is a business day.
 
-    Start and end are clamped into the calendar range (outside it the
-    running holiday count is constant), then looked up with two equi-joins
-    against the size-checked, broadcast calendar: per row this is two hash
+    Outside the years of the holiday list nothing is known: the result is
+    NULL. Start and end are looked up with two equi-joins against the size-checked, broadcast calendar: per row this is two hash
     probes and closed-form weekday arithmetic, all in generated code.
     """
+    holidays = _checked(holidays)
     cal, first, last = holiday_calendar(df.sparkSession, holidays)
     cal = F.broadcast(cal)
     lo, hi = F.lit(first), F.lit(last)
 
-    def clamp(c: str) -> Column:
-        return F.least(F.greatest(F.col(c), lo), hi)
+    def clamp(c: str) -> Column:  # without holidays any day of the calendar stands for all
+        return F.col(c) if holidays else F.least(F.greatest(F.col(c), lo), hi)
 
-    cs = cal.select(F.col("cal_date").alias("_cs_date"), F.col("holidays_before").alias("_cs_n"))
+    cs = cal.select(F.col("cal_date").alias("_cs_date"), F.col("holidays_before").alias("_cs_n"), F.col("is_holiday").alias("_cs_off"))
     ce = cal.select(F.col("cal_date").alias("_ce_date"), F.col("holidays_before").alias("_ce_n"))
     joined = (df.join(cs, clamp(start) == F.col("_cs_date"), "left")
               .join(ce, clamp(end) == F.col("_ce_date"), "left"))
+    known = F.col("_cs_n").isNotNull() & F.col("_ce_n").isNotNull()
     in_range = F.when(F.col(end) > F.col(start), F.col("_ce_n") - F.col("_cs_n")).otherwise(F.lit(0))
-    result = (weekdays_between(start, end) - in_range).cast("bigint")
-    return joined.withColumn(out, result).drop("_cs_date", "_cs_n", "_ce_date", "_ce_n")
+    result = F.when(known, (weekdays_between(start, end) - in_range).cast("bigint"))
+    joined = joined.withColumn(out, result)
+    if start_flag:
+        of_year = F.col(start) < hi if holidays else F.lit(True)  # the calendar's last day opens an unknown year
+        joined = joined.withColumn(start_flag, F.when(F.col("_cs_n").isNotNull() & of_year, (F.weekday(start) < 5) & ~F.col("_cs_off")))
+    return joined.drop("_cs_date", "_cs_n", "_cs_off", "_ce_date", "_ce_n")
 
 
 TIME_FRAMES = ("date", "week", "month", "quarter", "year")

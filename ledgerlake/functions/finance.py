@@ -179,8 +179,15 @@ def payment_method_label(method: ColumnOrName) -> Column:
 
 
 def unscaled(c: ColumnOrName, scale: int = 2) -> Column:
-    """A DECIMAL(p, scale) value as its exact unscaled BIGINT (ANSI raises on overflow)."""
-    return (as_col(c) * dec(10**scale, scale + 1, 0)).cast("bigint")
+    """A DECIMAL(p, scale) value as its exact unscaled BIGINT (ANSI raises on overflow).
+
+    A column of finer scale would lose its last digits, so it raises. The type is known
+    before the query runs: the condition is folded away and costs nothing per row.
+    """
+    value = as_col(c)
+    exact = F.typeof(value).rlike(rf"^(decimal\(\d+,[0-{scale}]\)|bigint|int|smallint|tinyint|void)$")
+    wrong = F.raise_error(F.concat(F.lit(f"more than {scale} decimal places in a "), F.typeof(value)))
+    return F.when(exact, (value * dec(10**scale, scale + 1, 0)).cast("bigint")).otherwise(wrong.cast("bigint"))
 
 
 def from_unscaled(c: ColumnOrName, scale: int = 2) -> Column:
@@ -192,8 +199,8 @@ def money_sum(c: ColumnOrName, scale: int = 2) -> Column:
     """Exact SUM of a DECIMAL(p, scale) column, accumulated as unscaled BIGINT.
 
     Spark widens sum(decimal(18,2)) to DECIMAL(28,2), whose aggregation buffer
-    is a BigDecimal; summing the unscaled value as a long is several times
-    faster and still exact. Under ANSI mode an overflow (beyond 9.2e18
+    is a BigDecimal; summing the unscaled value as a long takes
+    about two thirds of the time and is exact. Under ANSI mode an overflow (beyond 9.2e18
     units) raises instead of wrapping. Result: DECIMAL(38, scale); NULL when
     every input is NULL, like SUM.
     """

@@ -1,10 +1,10 @@
 """Latest-row-per-key deduplication (the intermediate layer's job).
 
-Written as an aggregate, not a window: ``max(struct(order..., payload...))``
-per key is partially aggregated on the map side, so a key holding a third of
-all rows is reduced inside every input task and never lands whole in one
-sort or one task. Every column takes part in the struct comparison after
-the ordering columns, so ties are broken deterministically.
+Written as aggregates, not a window, so that a key holding a third of all rows
+never lands whole in one task. First the greatest ordering value of each key
+is found by a hash aggregate on that column alone (partially aggregated, no
+sort). Rows that hold it, about one a key, are then reduced by
+``max(struct(...))``, which decides ties by all other columns.
 """
 
 from __future__ import annotations
@@ -23,9 +23,16 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) ->
     """
     keys, order_by = list(keys), list(order_by)
     rest = [c for c in df.columns if c not in keys and c not in order_by]
+    # Keys may be NULL and so may the ordering value: both sides are compared NULL-safely.
+    head = order_by[0]
+    top = df.groupBy(*keys).agg(F.max(head).alias("_top")).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_top")
+    match = F.col(head).eqNullSafe(F.col("_top"))
+    for i, k in enumerate(keys):
+        match = match & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    latest = df.join(top, match, "left_semi")
     fields = [F.col(c).alias(f"o{i}") for i, c in enumerate(order_by)]
     fields += [F.col(c).alias(f"p{i}") for i, c in enumerate(rest)]
-    best = df.groupBy(*keys).agg(F.max(F.struct(*fields)).alias("_best"))
+    best = latest.groupBy(*keys).agg(F.max(F.struct(*fields)).alias("_best"))
     out = [F.col(k) for k in keys]
     out += [F.col(f"_best.o{i}").alias(c) for i, c in enumerate(order_by)]
     out += [F.col(f"_best.p{i}").alias(c) for i, c in enumerate(rest)]

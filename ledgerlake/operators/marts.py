@@ -191,36 +191,27 @@ def transaction_operations(stg_transactions: DataFrame) -> DataFrame:
     """M9. Day x merchant x acquirer, plus the monthly roll-up of the same rows.
 
     ``granularity`` ('daily' / 'monthly') is what the aggregate-only row policy
-    filters on. Both grains come from ONE aggregation with two grouping sets:
-    one scan and one shuffle, each input row feeding a day group and a month
-    group in the map-side partial aggregate.
+    filters on. Transactions are aggregated once, by day; months add up the daily
+    rows (every measure is a sum). A filter on one granularity removes the
+    other branch, and a date filter on the daily rows reaches the scan.
     """
     zero = F.lit(0).cast("decimal(18,2)")
-    # Per-row inputs are computed once, below the Expand that feeds each row
-    # to both grouping sets.
-    keyed = stg_transactions.select(
-        *OPERATIONS_KEYS,
-        F.col("transaction_date").alias("_day"),
-        F.date_trunc("month", F.col("transaction_date")).cast("date").alias("_month"),
-        "is_approved", "is_chargeback", (F.col("status") == "denied").alias("_denied"),
-        unscaled(_approved("amount_brl").otherwise(zero)).alias("_tpv"),
-        unscaled(_approved("mdr_amount_brl").otherwise(zero)).alias("_mdr"),
-    )
-    grouped = keyed.groupingSets(
-        [["_day", *OPERATIONS_KEYS], ["_month", *OPERATIONS_KEYS]], "_day", "_month", *OPERATIONS_KEYS
-    ).agg(
-        F.grouping("_day").alias("_g"),
+    daily = stg_transactions.groupBy(F.col("transaction_date").alias("period_start"), *OPERATIONS_KEYS).agg(
         F.count(F.lit(1)).alias("total_transactions"),
         F.count_if(F.col("is_approved")).alias("approved_transactions"),
-        F.count_if(F.col("_denied")).alias("denied_transactions"),
+        F.count_if(F.col("status") == "denied").alias("denied_transactions"),
         F.count_if(F.col("is_chargeback")).alias("chargeback_transactions"),
-        from_unscaled(F.sum("_tpv")).alias("tpv_brl"),
-        from_unscaled(F.sum("_mdr")).alias("mdr_revenue_brl"),
+        F.sum(unscaled(_approved("amount_brl").otherwise(zero))).alias("_tpv"),
+        F.sum(unscaled(_approved("mdr_amount_brl").otherwise(zero))).alias("_mdr"),
     )
-    daily = F.col("_g") == 0
-    return grouped.select(
-        F.when(daily, "daily").otherwise("monthly").alias("granularity"),
-        F.when(daily, F.col("_day")).otherwise(F.col("_month")).alias("period_start"),
+    sums = ("total_transactions", "approved_transactions", "denied_transactions", "chargeback_transactions", "_tpv", "_mdr")
+    month = F.date_trunc("month", F.col("period_start")).cast("date")
+    monthly = daily.groupBy(month.alias("period_start"), *OPERATIONS_KEYS).agg(*[F.sum(c).alias(c) for c in sums])
+    both = daily.withColumn("granularity", F.lit("daily")).unionByName(monthly.withColumn("granularity", F.lit("monthly")))
+    both = both.withColumns({"tpv_brl": from_unscaled("_tpv"), "mdr_revenue_brl": from_unscaled("_mdr")})
+    return both.select(
+        "granularity",
+        "period_start",
         *OPERATIONS_KEYS,
         "total_transactions",
         "approved_transactions",

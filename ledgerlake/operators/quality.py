@@ -104,28 +104,17 @@ def source_row_checks(table: str, as_of: dt.date | str | None = None) -> list[Ro
 def unique(df: DataFrame, table_name: str, key: str | Sequence[str]) -> DataFrame:
     """Key values (non-NULL) that occur more than once; one result row.
 
-    Two stages so a near-unique key (billions of ids) never shuffles its
-    full text: (1) count rows per 64-bit hash of the key (map-side partial
-    counts, 8-byte shuffle keys); (2) only rows whose hash repeats (true
-    duplicates plus rare collisions, a tiny set AQE broadcasts) are
-    semi-joined back and counted by the exact key. Exact result.
+    One scan and one shuffle: rows are counted per key, partially before the
+    shuffle, so a repeated key is one row per task. Keys with a NULL part
+    count towards the total only.
     """
     keys = [key] if isinstance(key, str) else list(key)
     key_present = F.lit(True)
     for k in keys:
         key_present = key_present & F.col(k).isNotNull()
-    hashed = df.select(*keys, F.xxhash64(*keys).alias("_h"))
-    per_hash = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
-    candidates = per_hash.where(F.col("_n") > 1).select("_h")
-    dup_keys = (hashed.join(candidates, "_h", "left_semi")
-                .groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-                .where(key_present & (F.col("_n") > 1)))
-    failing = dup_keys.agg(F.count(F.lit(1)).cast("bigint").alias("failing_rows"),
-                           F.lit(None).cast("bigint").alias("total_rows"))
-    total = per_hash.agg(F.lit(None).cast("bigint").alias("failing_rows"),
-                         F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("total_rows"))
-    both = failing.unionByName(total).agg(F.max("failing_rows").alias("failing_rows"),
-                                          F.max("total_rows").alias("total_rows"))
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    both = per_key.agg(F.count_if(key_present & (F.col("_n") > 1)).cast("bigint").alias("failing_rows"),
+                       F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("total_rows"))
     return both.select(
         F.lit(table_name).alias("table_name"),
         F.lit("unique").alias("check_name"),
@@ -170,7 +159,7 @@ def sum_between(df: DataFrame, table_name: str, column: str, min_value, max_valu
     sums = (df.groupBy(*group_by) if group_by else df.groupBy()).agg(F.sum(column).alias("_s"))
     return sums.agg(
         F.count(F.lit(1)).cast("bigint").alias("groups"),
-        F.count_if(~F.col("_s").between(lo, hi)).cast("bigint").alias("failing_groups"),
+        F.count_if(F.col("_s").isNull() | ~F.col("_s").between(lo, hi)).cast("bigint").alias("failing_groups"),
         F.min("_s").alias("min_sum"),
         F.max("_s").alias("max_sum"),
     ).select(
@@ -269,6 +258,13 @@ def fk_coverage_many(child: DataFrame, child_name: str,
         F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("total_rows"),
     )
 
+    # a child without rows still gets its result rows
+    spark = child.sparkSession
+    none = spark.range(len(refs)).select(F.col("id").cast("int").alias("_i"), F.lit(0).cast("bigint").alias("orphan_rows"),
+                                         F.lit(0).cast("bigint").alias("total_rows"))
+    per_index = per_index.unionByName(none).groupBy("_i").agg(F.sum("orphan_rows").alias("orphan_rows"),
+                                                             F.sum("total_rows").alias("total_rows"))
+
     def label(pos: int) -> Column:
         expr = None
         for i, r in enumerate(refs):

@@ -46,8 +46,8 @@ def tpv_daily_reconciliation(mart: DataFrame, stg_transactions: DataFrame,
 
     The mart is date x payment method, so it is rolled up to the day before
     the join (joining it to a per-day total directly would compare one
-    method's TPV to the whole day). Inner join on the day; every day is
-    returned with its divergence and an ``is_divergent`` flag.
+    method's TPV to the whole day). Full outer join on the day: a day that one
+    side lacks, or holds without a sum, diverges. ``status`` is what the gate reads.
     """
     mart_day = mart.groupBy("summary_date").agg(F.sum("total_tpv_brl").alias("mart_tpv"))
     source_day = (
@@ -55,10 +55,15 @@ def tpv_daily_reconciliation(mart: DataFrame, stg_transactions: DataFrame,
         .groupBy(F.to_date("transaction_date").alias("summary_date"))
         .agg(money_sum("amount_brl").alias("source_tpv"))
     )
-    div = F.abs(F.col("mart_tpv") - F.col("source_tpv"))
-    return mart_day.join(source_day, "summary_date", "inner").select(
-        "summary_date", "mart_tpv", "source_tpv", div.alias("divergence_brl"),
-        (div > _tol(tolerance)).alias("is_divergent"),
+    # A day without any approved transaction is on the mart's side only, with a sum of 0.
+    zero = F.lit(0).cast("decimal(38,2)")
+    present = F.col("_mart").isNotNull() & (F.col("_source").isNotNull() | (F.col("mart_tpv") == zero))
+    div = F.abs(F.coalesce("mart_tpv", zero) - F.coalesce("source_tpv", zero))
+    divergent = ~present | (div > _tol(tolerance))
+    both = mart_day.withColumn("_mart", F.lit(1)).join(source_day.withColumn("_source", F.lit(1)), "summary_date", "full_outer")
+    return both.select(
+        "summary_date", "mart_tpv", "source_tpv", div.alias("divergence_brl"), divergent.alias("is_divergent"),
+        F.when(divergent, "error").otherwise("pass").alias("status"),
     )
 
 

@@ -65,17 +65,21 @@ def tile_chargeback_rate(ctx, principal: Principal, date_range: Any = DEFAULT_DA
                       "daily_financial_summary.chargeback_rate_weighted_pct"], principal, date_range, methods)
 
 
+OTHER_LABEL = "Outros"
+
+
 def tile_tpv_weekly(ctx, principal: Principal, date_range: Any = DEFAULT_DATE_RANGE,
                     methods: Sequence[str] = ()) -> DataFrame:
     """Weekly TPV pivoted by the Portuguese method label, oldest week first.
 
     The pivot values are the fixed label list, so Spark needs no extra job
-    to discover them; an unknown method label is left out of the pivot.
+    to discover them; all other labels share the column ``OTHER_LABEL``, so that
+    a row's columns add up to the week's TPV.
     """
     return _fin(ctx, ["daily_financial_summary.summary_week", "daily_financial_summary.total_tpv_brl"],
                 principal, date_range, methods,
                 pivot="daily_financial_summary.payment_method_label",
-                pivot_values=list(PAYMENT_METHOD_LABELS.values()),
+                pivot_values=list(PAYMENT_METHOD_LABELS.values()), pivot_other=OTHER_LABEL,
                 sorts=[("daily_financial_summary.summary_week", "asc")])
 
 

@@ -1,7 +1,8 @@
 """Batch jobs: ingest raw CSVs, build the marts behind a blocking check gate.
 
-``ingest``: per table, typed FAILFAST scan -> REQUIRED guard -> load stamp ->
-partitioned/clustered write (rows observed on the write) -> audit row; the
+``ingest``: per table, typed FAILFAST scan -> load stamp -> partitioned/clustered
+write that observes rows and NULLs of REQUIRED columns -> rename into place if there
+are none -> audit row; the
 tables load as concurrent jobs. A failing table is recorded and the others
 continue; the job raises at the end. Only one metrics row per table
 reaches the driver.
@@ -9,7 +10,9 @@ reaches the driver.
 ``build_mart``: compute -> write to a staging folder (this also cuts the
 lineage, so a lost executor re-reads files instead of recomputing the
 whole plan) -> run the checks on the staged copy -> write the check results
--> raise if any failed (the published mart is left untouched) -> publish.
+-> raise if any failed (the published mart is left untouched) -> publish by
+renaming the staged folder into place: the mart is written once, and a
+crash leaves either the old or the new mart, beside a folder to clean up.
 """
 
 from __future__ import annotations
@@ -25,8 +28,9 @@ from ..operators.reconcile import CheckFailed, assert_passed
 from ..schemas import RAW_TABLES
 from ..sources.audit import append_audit, audit_row
 from ..sources.catalog import Catalog
-from ..sources.files import check_required, read_typed_csv, with_loaded_at
-from ..sources.sinks import WriteResult, write_table
+from ..session import scratch_path
+from ..sources.files import raise_required, read_typed_csv, with_loaded_at
+from ..sources.sinks import WriteResult, move_into_place, write_table
 
 
 class LoadFailed(RuntimeError):
@@ -43,16 +47,20 @@ def _load_one(spark: SparkSession, catalog: Catalog, csv_root: str, name: str, *
     started = _now()
     try:
         df = read_typed_csv(spark, f"{csv_root.rstrip('/')}/{name}", name)
-        check_required(df, name)
-        res = write_table(with_loaded_at(df, load_ts), catalog.location("raw", name),
-                          partition_by=spec.partition_by, cluster_by=spec.cluster_by)
+        # One pass over the CSV: it is parsed into a load folder while NULLs of the
+        # required columns are counted; only a clean load replaces the table.
+        loading = scratch_path(spark, f"load-{name}")
+        res = write_table(with_loaded_at(df, load_ts), loading, partition_by=spec.partition_by,
+                          cluster_by=spec.cluster_by, count_nulls=spec.required)
+        raise_required(name, res.nulls)
+        catalog.publish("raw", name, loading)
         row = audit_row(spark, run_id=run_id, pipeline_name=pipeline_name, step=f"load_{name}",
                         status="success", rows_processed=res.rows, started_at=started, finished_at=_now())
         return name, res.rows, row
     except Exception as e:  # noqa: BLE001 - recorded in the audit, re-raised as a summary
         row = audit_row(spark, run_id=run_id, pipeline_name=pipeline_name, step=f"load_{name}",
                         status="failed", rows_processed=None, started_at=started, finished_at=_now(),
-                        error_message=str(e)[:2000])
+                        error_message=str(e))
         return name, None, row
 
 
@@ -96,6 +104,5 @@ def build_mart(spark: SparkSession, mart: DataFrame, *, name: str, publish_path:
             assert_passed(results)
         except CheckFailed as e:
             raise CheckFailed(f"{name}: {e}; not published") from e
-    published = write_table(staged_df, publish_path, partition_by=partition_by, cluster_by=cluster_by)
-    assert published.rows == staged.rows
-    return published
+    move_into_place(spark, staging_path, publish_path)
+    return WriteResult(publish_path, staged.rows)

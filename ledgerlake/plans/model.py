@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import payment_method_label, risk_level_order
-from ..operators.governance import with_business_unit
+from ..operators.governance import aggregate_only, with_business_unit
 from .semantic import Dimension, Explore, Join, Measure, View
 
 RISK = ("risk_team_only",)
@@ -140,7 +140,8 @@ CREDIT_CONTRACTS = View(
 
 TRANSACTION_OPERATIONS = View(
     "transaction_operations",
-    lambda ctx: ctx.operations,
+    # One grain: days and months of one table must never be added together.
+    lambda ctx: aggregate_only(ctx.operations),
     dimensions=tuple(Dimension(c, c) for c in ("granularity", "merchant_id", "acquirer")),
     measures=(
         Measure("total_transactions", "sum", "total_transactions"),

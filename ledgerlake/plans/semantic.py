@@ -157,7 +157,7 @@ class Explore:
               filters: Mapping[str, Any] | None = None, pivot: str | None = None,
               pivot_values: Sequence[Any] | None = None, sorts: Sequence[tuple[str, str]] = (),
               policies: Sequence[RowPolicy] | None = None, as_of: dt.date | str | None = None,
-              check_fanout: bool = False) -> DataFrame:
+              check_fanout: bool = False, pivot_other: str | None = None) -> DataFrame:
         """Build the query. ``check_fanout=True`` first verifies (one small
         aggregate per joined view) that every many-to-one join key is unique
         on the "one" side, raising ``FanOutError`` instead of double counting."""
@@ -181,6 +181,10 @@ class Explore:
             if isinstance(f, Dimension) and f.order_by:
                 hidden.append((vname, self._views()[vname].field(f.order_by)))
         filter_refs = [(self.resolve(k), v) for k, v in filters.items()]
+        # A field that may not be read may not be learnt by filtering, sorting or pivoting either.
+        used = [f for (_, f), _ in filter_refs] + [f for (_, f), _ in sort_refs] + ([pivot_ref[1]] if pivot_ref else [])
+        for f in used:
+            require_grants(principal, f.grants, f"field {f.name}")
 
         needed = {w[1] for w in wanted} | {v for (v, _), _ in filter_refs} | {v for v, _ in hidden}
         needed |= {pivot_ref[0]} if pivot_ref else set()
@@ -261,7 +265,11 @@ class Explore:
         if pivot_ref:
             if pivot_values is None:
                 raise ValueError("pivot needs an explicit list of values")
-            grouped = df.groupBy(*group_cols).pivot(prefixed(*pivot_ref), list(pivot_values))
+            values, name = list(pivot_values), prefixed(*pivot_ref)
+            if pivot_other is not None:  # values outside the list, and NULL, share one column
+                df = df.withColumn(name, F.when(F.col(name).isin(values), F.col(name)).otherwise(F.lit(pivot_other)))
+                values.append(pivot_other)
+            grouped = df.groupBy(*group_cols).pivot(name, values)
             result = grouped.agg(*aggs) if len(aggs) > 1 else grouped.agg(aggs[0])
         elif group_cols:
             result = df.groupBy(*group_cols).agg(*aggs) if aggs else df.select(*group_cols).distinct()
@@ -336,7 +344,9 @@ def _partial(m: Measure, col: str, schema: T.StructType) -> list[Column]:
 def _final(m: Measure, col: str) -> Column:
     """Combine partial states after the joins."""
     c = F.col(col)
-    if m.agg in ("sum", "count"):
+    if m.agg == "count":
+        return F.coalesce(F.sum(c), F.lit(0).cast("bigint"))  # no rows: 0, as a plain count gives
+    if m.agg == "sum":
         return F.sum(c)
     if m.agg == "average":
         return exact_ratio(F.sum(col + "__s"), F.sum(col + "__c"), m.scale, num_type=AVERAGE_SUM_TYPE)

@@ -252,16 +252,16 @@ HOLIDAY_YEARS = range(1990, 2011)
 def _business_days_calendar(m: Models) -> DataFrame:
     """exact business days in [contract, maturity) with holidays.
 
-    Calendar-table form (two broadcast hash lookups per row) for the count;
-    the per-row expression form for the start-day flag.
+    Count and start-day flag both come from the calendar table (two broadcast
+    hash lookups per row). The holiday years span the contracts' dates.
     """
     hol = fn.national_holidays(HOLIDAY_YEARS)
     c = m.contracts.select("contract_id", "contract_date", "maturity_date")
-    return fn.with_business_days(c, "contract_date", "maturity_date", hol).select(
+    return fn.with_business_days(c, "contract_date", "maturity_date", hol, start_flag="starts_on_business_day").select(
         "contract_id",
         fn.weekdays_between("contract_date", "maturity_date").alias("weekdays"),
         "business_days",
-        fn.is_business_day("contract_date", hol).alias("starts_on_business_day"),
+        "starts_on_business_day",
     )
 
 
@@ -306,6 +306,16 @@ def _dq_transactions(m: Models) -> DataFrame:
                                   quality.source_row_checks("transactions", as_of=m.as_of))
 
 
+@register("dq_source_tables")
+def _dq_source_tables(m: Models) -> DataFrame:
+    """Declared key and value checks of the other four raw tables."""
+    out = None
+    for name in ("customers", "merchants", "credit_contracts", "daily_rates"):
+        part = quality.run_row_checks(getattr(m.cat, name), name, quality.source_row_checks(name))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @register("dq_unique")
 def _dq_unique(m: Models) -> DataFrame:
     """Key uniqueness of the five raw tables."""
@@ -372,6 +382,14 @@ def _reconcile_tpv_daily(m: Models) -> DataFrame:
     return reconcile.tpv_daily_reconciliation(m.daily_summary, m.transactions)
 
 
+@register("reconcile_tpv_lost_days")
+def _reconcile_tpv_lost_days(m: Models) -> DataFrame:
+    """The same check when the mart lost every third day of the month and staging every fifth."""
+    day = F.dayofmonth
+    return reconcile.tpv_daily_reconciliation(
+        m.daily_summary.where(day("summary_date") % 3 != 0), m.transactions.where(day("transaction_date") % 5 != 0))
+
+
 @register("compare_row_counts")
 def _compare_row_counts(m: Models) -> DataFrame:
     """Raw (old) vs staging (new) row counts per month."""
@@ -386,11 +404,10 @@ EARLIER_AS_OF = "2000-01-01"
 
 @register("compare_relations")
 def _compare_relations(m: Models) -> DataFrame:
-    """Portfolio-eligible contracts at an earlier date vs at AS_OF."""
+    """Portfolio-eligible contracts, all columns, at an earlier date vs at AS_OF."""
     def eligible(as_of: str) -> DataFrame:
         c = staging.stg_credit_contracts(m.cat.credit_contracts, as_of=as_of)
-        return c.where(F.col("is_active") | F.col("is_npl")).select(
-            "contract_id", "is_active", "outstanding_balance_brl")
+        return c.where(F.col("is_active") | F.col("is_npl"))
 
     return reconcile.compare_relations(eligible(EARLIER_AS_OF), eligible(m.as_of), ["contract_id"])
 
@@ -420,10 +437,21 @@ def _rls_monthly_only(m: Models) -> DataFrame:
     return governance.apply_row_policies(m.operations, "ops_transaction_metrics", governance.Principal.of("sales"))
 
 
+DEPARTMENTS = ("finance", "executive", "risk", "sales", "marketing")
+
+
 @register("rls_default_deny")
 def _rls_default_deny(m: Models) -> DataFrame:
-    """A principal without a granted policy sees no portfolio row."""
-    return governance.apply_row_policies(m.portfolio, "risk_credit_portfolio", governance.Principal.of("marketing"))
+    """Portfolio rows and exposure that each department sees and does not see; without a granted policy, none."""
+    policies = governance.default_policies()
+    rows = m.portfolio
+    seen = {d: governance.row_filter("risk_credit_portfolio", governance.Principal.of(d), policies) for d in DEPARTMENTS}
+    sums = rows.agg(*[a for d, see in seen.items() for a in (
+        F.count_if(see).alias(f"{d}_rows"), F.count_if(~see).alias(f"{d}_hidden"),
+        F.coalesce(F.sum(F.when(see, F.col("total_outstanding_brl"))), F.lit(0)).alias(f"{d}_brl"))])
+    return sums.select(F.inline(F.array(*[F.struct(
+        F.lit(d).alias("department"), F.col(f"{d}_rows").alias("visible_rows"), F.col(f"{d}_hidden").alias("hidden_rows"),
+        F.col(f"{d}_brl").alias("visible_outstanding_brl")) for d in DEPARTMENTS])))
 
 
 # --- semantic layer and dashboard ----------------------------------------------
@@ -470,8 +498,7 @@ def _explore_portfolio(m: Models) -> DataFrame:
     return model.EXPLORES["credit_contracts"].query(
         m, ["customers.state", "credit_contracts.product_type", "credit_contracts.contract_count",
             "credit_contracts.exposure_brl", "credit_contracts.npl_balance_brl"],
-        principal=governance.Principal.of("risk"),
-        filters={"credit_contracts.contract_date": ("2000-01-01", None)})
+        principal=governance.Principal.of("risk"))
 
 
 @register("tile_tpv")
@@ -580,12 +607,22 @@ def _audit_append(m: Models) -> DataFrame:
 
 @register("quarantine_split")
 def _quarantine_split(m: Models) -> DataFrame:
-    """PERMISSIVE read of the transactions CSV split into good / quarantined."""
+    """PERMISSIVE read of a transactions CSV split into good / quarantined, by reason.
+
+    Every transaction whose order number ends in 7, 8 or 9 is written with a broken
+    amount, a broken date or no id.
+    """
     path = _scratch(m, "quarantine-src")
-    sinks.write_csv(m.cat.transactions.select(*[f.name for f in TRANSACTIONS.fields]), path)
+    raw = m.cat.transactions.select(*[F.col(f.name).cast("string") for f in TRANSACTIONS.fields])
+    last = F.substring(F.split("transaction_id", "-")[1], -1, 1)
+    planted = raw.withColumns({
+        "amount_brl": F.when(last == "7", F.lit("12,50 reais")).otherwise(F.col("amount_brl")),
+        "transaction_date": F.when(last == "8", F.lit("yesterday")).otherwise(F.col("transaction_date")),
+        "transaction_id": F.when(last == "9", F.lit(None)).otherwise(F.col("transaction_id"))})
+    sinks.write_csv(planted, path)
     good, bad = files.read_with_quarantine(m.spark, path, "transactions")
-    return (good.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("good").alias("side"), "rows")
-            .unionByName(bad.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("quarantine").alias("side"), "rows")))
+    return (good.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("good").alias("side"), F.lit("").alias("reason"), "rows")
+            .unionByName(bad.groupBy("reason").agg(F.count(F.lit(1)).alias("rows")).select(F.lit("quarantine").alias("side"), "reason", "rows")))
 
 
 INCREMENTAL_START = "2001-01-01"
@@ -597,13 +634,21 @@ def _incremental_window(m: Models) -> DataFrame:
     return marts.mart_fin_daily_summary(sinks.incremental_window(m.transactions, "transaction_date", INCREMENTAL_START))
 
 
-RETENTION_DAYS = 5 * 365
-
-
 @register("retention_cut")
 def _retention_cut(m: Models) -> DataFrame:
-    """Day partitions of the transactions and whether retention expires them."""
-    return sinks.retention_report(m.transactions, "transaction_date", m.as_of, RETENTION_DAYS)
+    """Day partitions of the transactions and whether the marts' retention expires them."""
+    return sinks.retention_report(m.transactions, "transaction_date", m.as_of, **sinks.RETENTION["marts"])
+
+
+@register("retention_layers")
+def _retention_layers(m: Models) -> DataFrame:
+    """Days and rows of the transactions that each layer's retention keeps and expires."""
+    out = None
+    for layer, keep in sinks.RETENTION.items():
+        report = sinks.retention_report(m.transactions, "transaction_date", m.as_of, **keep)
+        part = report.groupBy("action").agg(F.count("*").alias("days"), F.sum("rows").alias("rows")).select(F.lit(layer).alias("layer"), "action", "days", "rows")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @register("streaming_daily_summary")

@@ -7,6 +7,7 @@ finds the shared folder used for written intermediates and sinks.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -58,16 +59,18 @@ def build_session(
 def shared_dir(spark: SparkSession) -> str:
     """Folder for written intermediates: the cluster's ``spark.checkpoint.dir``.
 
-    On a cluster this setting names shared storage. Only when it is unset (a
-    local test session) do we create one and register it with the session.
+    On a cluster this setting names shared storage and must be set. Only a local
+    session without it gets a folder of its own, registered with the session.
     """
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if not configured:
         configured = spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
     if not configured:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"{CHECKPOINT_CONF} must name a shared folder on master {master!r}")
         configured = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, configured)
-    spark.sparkContext.setCheckpointDir(configured)
     return configured
 
 

@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import RAW_TABLES
+from .sinks import move_into_place
 
 
 @dataclass
@@ -39,6 +40,10 @@ class Catalog:
             reader = reader.schema(RAW_TABLES[name].schema)
         return reader.parquet(loc)
 
+    def publish(self, layer: str, name: str, written: str) -> None:
+        """Make a finished folder the table's content, by renaming."""
+        move_into_place(self.spark, written, self.location(layer, name))
+
     def register(self, name: str, fn: Callable[[Catalog], DataFrame]) -> None:
         self.models[name] = fn
 

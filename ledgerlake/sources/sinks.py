@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +24,7 @@ MAX_RECORDS_PER_FILE = 5_000_000
 class WriteResult:
     path: str
     rows: int
+    nulls: dict[str, int] = field(default_factory=dict)  # of the columns asked for
 
 
 def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite") -> bool:
@@ -55,29 +56,62 @@ def clustered(df: DataFrame, partition_by: str | None, cluster_by: Sequence[str]
     elif partition_by:
         out = df.hint("rebalance", partition_by)
     else:
-        out = df.repartitionByRange(*keys)
+        # A cluster value that holds much of the table is spread by the rows' hash within its range.
+        return df.repartitionByRange(*keys, F.xxhash64(*df.columns)).sortWithinPartitions(*keys)
     return out.sortWithinPartitions(*keys)
 
 
 def write_table(df: DataFrame, path: str, *, mode: str = "overwrite", partition_by: str | None = None,
                 cluster_by: Sequence[str] = (), dynamic: bool = False, fmt: str = "parquet",
-                num_partitions: int | None = None) -> WriteResult:
+                num_partitions: int | None = None, count_nulls: Sequence[str] = (),
+                arrange: bool = True) -> WriteResult:
     """Write a table and return the rows written.
 
-    The row count is observed during the write (no second scan). With
+    The row count, and NULLs of ``count_nulls``, are observed during the write (no second scan). With
     ``dynamic=True`` only the partitions present in ``df`` are replaced.
+    ``arrange=False`` writes the partitions of ``df`` as they are.
     """
     obs = Observation(f"write-{uuid.uuid4().hex}")  # unique: writes may run concurrently
     # Observed above the layout shuffle: a range shuffle's sampling job
     # re-reads the input, so an observation below it would count rows twice.
-    out = clustered(df, partition_by, cluster_by, num_partitions).observe(obs, F.count(F.lit(1)).alias("rows"))
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in count_nulls]
+    laid_out = clustered(df, partition_by, cluster_by, num_partitions) if arrange else df
+    out = laid_out.observe(obs, F.count(F.lit(1)).alias("rows"), *nulls)
     writer = out.write.mode(mode).format(fmt).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.save(path)
-    return WriteResult(path, int(obs.get["rows"]))
+    seen = obs.get
+    return WriteResult(path, int(seen["rows"]), {c: int(seen[f"nulls_{c}"]) for c in count_nulls})
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def move_into_place(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a finished folder to ``target``; an earlier one steps aside first and is then deleted.
+
+    Nothing is copied. Between the two renames there is no table at
+    ``target``; readers that must not see that use a catalog table per version.
+    """
+    jvm, new, fs = _file_system(spark, source)
+    place = jvm.org.apache.hadoop.fs.Path(target)
+    aside = jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}.old-{uuid.uuid4().hex[:12]}")
+    fs.mkdirs(place.getParent())
+    had = fs.exists(place)
+    if had and not fs.rename(place, aside):
+        raise OSError(f"{target} could not be set aside")
+    if not fs.rename(new, place):
+        if had:
+            fs.rename(aside, place)
+        raise OSError(f"{source} could not be moved to {target}")
+    if had:
+        fs.delete(aside, True)
 
 
 def incremental_window(df: DataFrame, date_col: str, start_date: dt.date | str) -> DataFrame:
@@ -86,40 +120,70 @@ def incremental_window(df: DataFrame, date_col: str, start_date: dt.date | str)
 
 
 def write_incremental(df: DataFrame, path: str, date_col: str, start_date: dt.date | str, **kw) -> WriteResult:
-    """Recompute the window and replace only its day partitions."""
-    return write_table(incremental_window(df, date_col, start_date), path, partition_by=date_col,
-                       dynamic=True, **kw)
+    """Recompute the window and replace its day partitions, and those only.
+
+    A day of the window that has become empty loses its partition. The window is
+    computed once, into a folder beside the table; its day names (one a day)
+    tell which old partitions to drop.
+    """
+    spark = df.sparkSession
+    staged = f"{path.rstrip('/')}.window-{uuid.uuid4().hex[:12]}"
+    result = write_table(incremental_window(df, date_col, start_date), staged, partition_by=date_col, **kw)
+    days = _days(spark, staged, date_col)
+    start = str(start_date)
+    for day, folder in _days(spark, path, date_col).items():
+        if day >= start and day not in days:
+            _file_system(spark, folder)[2].delete(_file_system(spark, folder)[1], True)
+    for day, folder in days.items():
+        move_into_place(spark, folder, f"{path.rstrip('/')}/{date_col}={day}")
+    _file_system(spark, staged)[2].delete(_file_system(spark, staged)[1], True)
+    return WriteResult(path, result.rows)
+
+
+def _days(spark: SparkSession, path: str, date_col: str) -> dict[str, str]:
+    """Day -> folder of a day-partitioned table (folder names only)."""
+    _, folder, fs = _file_system(spark, path)
+    if not fs.exists(folder):
+        return {}
+    found = [str(s.getPath()) for s in fs.listStatus(folder)]
+    return {f.rsplit("=", 1)[1]: f for f in found if f.rsplit("/", 1)[1].startswith(f"{date_col}=")}
+
+
+# How long each layer keeps its rows, in months or days.
+RETENTION = {"raw": {"keep_months": 84}, "staging": {"keep_days": 90}, "marts": {"keep_months": 60}, "audit": {"keep_months": 84}}
 
 
-def retention_cutoff(as_of: dt.date | str, keep_days: int):
-    return F.date_sub(F.lit(as_of).cast("date"), keep_days)
+def retention_cutoff(as_of: dt.date | str, keep_days: int = 0, keep_months: int = 0):
+    return F.date_sub(F.add_months(F.lit(as_of).cast("date"), -keep_months), keep_days)
 
 
-def retention_report(df: DataFrame, date_col: str, as_of: dt.date | str, keep_days: int) -> DataFrame:
+def retention_report(df: DataFrame, date_col: str, as_of: dt.date | str, keep_days: int = 0, keep_months: int = 0) -> DataFrame:
     """Per partition date, its rows and whether it expires."""
-    cutoff = retention_cutoff(as_of, keep_days)
+    cutoff = retention_cutoff(as_of, keep_days, keep_months)
     return df.groupBy(F.col(date_col).alias("partition_date")).agg(
         F.count(F.lit(1)).alias("rows")
     ).withColumn("action", F.when(F.col("partition_date") < cutoff, "expire").otherwise("keep"))
 
 
-def retained(df: DataFrame, date_col: str, as_of: dt.date | str, keep_days: int) -> DataFrame:
-    """The rows a retention run keeps."""
-    return df.where(F.col(date_col) >= retention_cutoff(as_of, keep_days))
+def retained(df: DataFrame, date_col: str, as_of: dt.date | str, keep_days: int = 0, keep_months: int = 0) -> DataFrame:
+    """The rows a retention run keeps; rows without a date stay."""
+    return df.where(F.col(date_col).isNull() | (F.col(date_col) >= retention_cutoff(as_of, keep_days, keep_months)))
 
 
 def drop_expired_partitions(spark: SparkSession, table: str, date_col: str,
-                            as_of: dt.date | str, keep_days: int) -> list[str]:
+                            as_of: dt.date | str, keep_days: int = 0, keep_months: int = 0) -> list[str]:
     """S18 on a catalog table: drop day partitions older than the cutoff.
 
     Only partition *names* (catalog metadata) reach the driver.
     """
-    cutoff = (dt.date.fromisoformat(str(as_of)) - dt.timedelta(days=keep_days)).isoformat()
+    cutoff = spark.range(1).select(retention_cutoff(as_of, keep_days, keep_months).cast("string")).first()[0]
     dropped = []
     for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
         spec = dict(part.split("=", 1) for part in row[0].split("/"))
         value = spec.get(date_col)
         if value is not None and value < cutoff:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({date_col} = DATE '{value}')")
             dropped.append(value)
+    for k in range(0, len(dropped), 500):  # a statement for many partitions, not one each
+        some = ", ".join(f"PARTITION ({date_col} = DATE '{v}')" for v in dropped[k : k + 500])
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {some}")
     return dropped

@@ -21,6 +21,14 @@ _DPD = (
     "else 1 + cast(floor(o_orderkey/8) as bigint) % 240 end"
 )
 
+
+
+def _id(prefix: str, key: str, width: int) -> str:
+    """An id with its number padded to ``width`` at least; a longer number stays whole."""
+    text = f"cast({key} as string)"
+    return f"concat('{prefix}', lpad({text}, cast(greatest(length({text}), {width}) as int), '0'))"
+
+
 _TERM = (
     "case cast(o_orderkey % 6 as int) when 0 then 6 when 1 then 12 when 2 then 18 "
     "when 3 then 24 when 4 then 36 else 48 end"
@@ -57,8 +65,8 @@ TRANSACTIONS = ViewSpec(
     "lineitem JOIN orders ON l_orderkey = o_orderkey",
     (
         ("transaction_id", "concat('TXN-', cast(l_orderkey as string), '-', cast(l_partkey as string), '-', cast(l_suppkey as string), '-', cast(l_linenumber as string))"),
-        ("merchant_id", "concat('MER', lpad(cast(l_suppkey as string), 5, '0'))"),
-        ("customer_id", "concat('CUS', lpad(cast(o_custkey as string), 6, '0'))"),
+        ("merchant_id", _id("MER", "l_suppkey", 5)),
+        ("customer_id", _id("CUS", "o_custkey", 6)),
         ("amount_brl", "cast(l_extendedprice as decimal(18,2))"),
         ("mdr_rate_pct", "cast(cast(l_discount as decimal(9,2)) * 100 as decimal(9,4))"),
         ("mdr_amount_brl", "cast(round(cast(l_extendedprice as decimal(18,2)) * cast(l_discount as decimal(9,2)), 2) as decimal(18,2))"),
@@ -78,7 +86,7 @@ CUSTOMERS = ViewSpec(
     ("customer", "nation", "region"),
     "customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey",
     (
-        ("customer_id", "concat('CUS', lpad(cast(c_custkey as string), 6, '0'))"),
+        ("customer_id", _id("CUS", "c_custkey", 6)),
         ("company_name", "c_name"),
         ("cnpj", "concat(lpad(cast(10 + c_custkey % 90 as string), 2, '0'), '.', lpad(cast(c_custkey % 1000 as string), 3, '0'), '.', lpad(cast((c_custkey * 7) % 1000 as string), 3, '0'), '/0001-', lpad(cast(10 + (c_custkey * 3) % 90 as string), 2, '0'))"),
         ("customer_segment", "case c_mktsegment when 'AUTOMOBILE' then 'startup' when 'BUILDING' then 'sme' when 'FURNITURE' then 'enterprise' when 'HOUSEHOLD' then 'micro' else 'sme' end"),
@@ -97,7 +105,7 @@ MERCHANTS = ViewSpec(
     ("supplier",),
     "supplier",
     (
-        ("merchant_id", "concat('MER', lpad(cast(s_suppkey as string), 5, '0'))"),
+        ("merchant_id", _id("MER", "s_suppkey", 5)),
         ("merchant_name", "s_name"),
         ("merchant_segment", "case cast(s_suppkey % 6 as int) when 0 then 'food_delivery' when 1 then 'retail' when 2 then 'saas' when 3 then 'healthcare' when 4 then 'education' else 'logistics' end"),
         ("mdr_credit", "cast(cast(1500 + s_suppkey % 1700 as decimal(9,0)) * cast(0.001 as decimal(4,3)) as decimal(9,4))"),
@@ -105,7 +113,7 @@ MERCHANTS = ViewSpec(
         ("mdr_pix", "cast(cast(400 + s_suppkey % 200 as decimal(9,0)) * cast(0.001 as decimal(4,3)) as decimal(9,4))"),
         ("activated_at", "cast(date '1995-01-01' + cast(s_suppkey % 181 as int) as date)"),
         ("is_active", "s_suppkey % 12 <> 0"),
-        ("customer_id", "concat('CUS', lpad(cast(s_suppkey as string), 6, '0'))"),
+        ("customer_id", _id("CUS", "s_suppkey", 6)),
     ),
 )
 
@@ -114,8 +122,8 @@ CREDIT_CONTRACTS = ViewSpec(
     ("orders",),
     "orders",
     (
-        ("contract_id", "concat('CTR', lpad(cast(o_orderkey as string), 7, '0'))"),
-        ("customer_id", "concat('CUS', lpad(cast(o_custkey as string), 6, '0'))"),
+        ("contract_id", _id("CTR", "o_orderkey", 7)),
+        ("customer_id", _id("CUS", "o_custkey", 6)),
         ("product_type", "case cast(cast(floor(o_orderkey/3) as bigint) % 4 as int) when 0 then 'working_capital' when 1 then 'credit_line' when 2 then 'equipment_finance' else 'trade_finance' end"),
         ("principal_brl", "cast(o_totalprice as decimal(18,2))"),
         ("outstanding_balance_brl", "cast(round(cast(o_totalprice as decimal(18,2)) * cast(o_orderkey % 101 as decimal(9,0)) * cast(0.01 as decimal(3,2)), 2) as decimal(18,2))"),

@@ -1,10 +1,10 @@
 """Incremental refresh of the daily summary mart with Structured Streaming.
 
 New transaction files landing in a month-partitioned folder are picked up
-by a file stream. Each micro-batch finds the months it touches, re-reads
-those months from the landing folder (dynamic partition pruning limits the
-scan to them, since rows of one day can arrive in several batches),
-recomputes their daily summary and replaces exactly those day partitions
+by a file stream. Each micro-batch finds the days it touches, re-reads
+those days from the landing folder (dynamic partition pruning limits the
+scan to their months; rows of one day can arrive in several batches),
+recomputes their summary and replaces exactly those day partitions
 of the mart (dynamic partition overwrite). Replaying a batch after a
 failure rewrites the same partitions, so the sink is idempotent; the
 checkpoint folder records which files were consumed.
@@ -34,15 +34,15 @@ def land(df: DataFrame, landing_path: str, mode: str = "append") -> None:
 
 
 def refresh_batch(spark: SparkSession, batch: DataFrame, landing_path: str, mart_path: str) -> None:
-    months = batch.select(MONTH_COL).distinct()
+    days = batch.select(MONTH_COL, "transaction_date").distinct()
     landed = spark.read.schema(LANDING_SCHEMA).parquet(landing_path)
-    affected = landed.join(months, MONTH_COL, "left_semi").drop(MONTH_COL)
+    affected = landed.join(days, [MONTH_COL, "transaction_date"], "left_semi").drop(MONTH_COL)
     mart = mart_fin_daily_summary(stg_transactions(affected))
     # A micro-batch is small (bounded by maxFilesPerTrigger) but touches many
     # day partitions: spread its write over the cluster instead of letting
     # AQE coalesce it into one task that creates every file in turn.
-    write_table(mart, mart_path, partition_by="summary_date", dynamic=True,
-                num_partitions=spark.sparkContext.defaultParallelism)
+    spread = mart.repartition(spark.sparkContext.defaultParallelism, "summary_date")
+    write_table(spread, mart_path, partition_by="summary_date", dynamic=True, arrange=False)
 
 
 def start_refresh(spark: SparkSession, landing_path: str, mart_path: str, checkpoint_path: str, *,

@@ -98,7 +98,7 @@ def test_portfolio_mart_matches_sql_on_random_rows(spark, rows):
     con.execute(f"CREATE TABLE credit_contracts AS SELECT {casts} FROM contracts_src")
     con.execute("CREATE TABLE customers AS SELECT * FROM customers_src")
     stg = STG["stg_credit_contracts"].replace("DATE '2001-08-01'", "DATE '2024-08-01'")
-    sql = ("WITH " + stg + ",\n" + STG["stg_customers"] + ",\n" + MART_SQL["enriched_contracts"] + ",\n"
+    sql = ("WITH " + stg + ",\n" + STG["stg_customers"] + ",\n" + MART_SQL["rated_contracts"] + ",\n"
            + MART_SQL["mart_risk_credit_portfolio"]
            + f"\nSELECT {M7_COLUMNS}, '2024-06-01' AS snapshot_date FROM mart_risk_credit_portfolio")
     want = con.execute(sql).df()

@@ -72,8 +72,20 @@ def test_dedup_is_an_aggregate_not_a_window(spark):
 
 def test_operations_scan_transactions_once(spark, stored):
     raw = spark.read.parquet(f"{stored}/transactions")
-    plan = _plan(marts.transaction_operations(staging.stg_transactions(raw)))
-    assert plan.count("FileScan parquet") == 1 and "Expand" in plan
+    ops = marts.transaction_operations(staging.stg_transactions(raw))
+    ops.collect()
+    plan = _plan(ops)  # the final plan: months reuse the days' aggregate
+    final = plan[: plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+    assert "Expand" not in plan and ("ReusedExchange" in final or final.count("FileScan parquet") == 1)
+
+
+def test_operations_policies_and_dates_reach_the_scan(spark, stored):
+    raw = spark.read.parquet(f"{stored}/transactions").withColumn("transaction_date", F.col("transaction_date").cast("date"))
+    ops = marts.transaction_operations(staging.stg_transactions(raw))
+    month_only = _plan(g.aggregate_only(ops))
+    assert month_only.count("FileScan parquet") == 1
+    days = _plan(ops.where((F.col("granularity") == "daily") & (F.col("period_start") >= "2001-01-01")))
+    assert days.count("FileScan parquet") == 1 and "2001-01-01" in days[days.index("PartitionFilters"):]
 
 
 def test_explore_aggregates_before_dimension_joins(spark):
