@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 from .edge import to_edge
 from . import functions as fn
 from .operators import governance, marts, quality, reconcile, staging
-from .plans import dashboard, model
-from .schemas import TRANSACTIONS
+from .plans import dashboard, jobs, model
+from .schemas import RAW_TABLES, TRANSACTIONS
 from .session import configure, scratch_path
 from .sources import audit, files, sinks
+from .sources.catalog import Catalog
 from .streaming import incremental
 from .sources.testviews import AS_OF, TestCatalog
 
@@ -563,6 +564,58 @@ def _drill_tpv(m: Models) -> DataFrame:
                             "daily_financial_summary.payment_method": ["pix"]})
 
 
+@register("explore_default_window")
+def _explore_default_window(m: Models) -> DataFrame:
+    """Q6: no filter given, so the explore's own 90 days apply."""
+    return model.EXPLORES["daily_financial_summary"].query(
+        m, ["daily_financial_summary.payment_method", "daily_financial_summary.total_tpv_brl",
+            "daily_financial_summary.total_transactions"], principal=FINANCE, as_of=WINDOW_AS_OF)
+
+
+WINDOW_AS_OF = "2000-06-30"
+
+
+@register("presentation_values")
+def _presentation_values(m: Models) -> DataFrame:
+    """merchant measures rounded for display and as text."""
+    return m.merchant_metrics.select(
+        "merchant_id", fn.format_brl("total_tpv_brl", 0).alias("tpv_rounded"),
+        fn.format_value("total_tpv_brl", "brazilian_real").alias("tpv_text"),
+        fn.format_value("total_transactions", "decimal_0").alias("transactions_text"),
+        fn.format_value("approval_rate_pct", "percentage_2dp").alias("approval_text"))
+
+
+@register("npl_rules")
+def _npl_rules(m: Models) -> DataFrame:
+    """NPL and write-off by the day thresholds, against the stored flags."""
+    npl, lost = fn.is_npl("days_past_due"), fn.is_written_off_by_rule("days_past_due")
+    return m.contracts.select("contract_id", npl.alias("npl_by_rule"), lost.alias("written_off_by_rule"),
+                              (npl == F.col("is_npl")).alias("npl_matches"), (lost == F.col("is_written_off")).alias("written_off_matches"))
+
+
+@register("granted_fields")
+def _granted_fields(m: Models) -> DataFrame:
+    """Contracts and exposure by product as each department may read them; a column without a grant is gone."""
+    out = None
+    for d in DEPARTMENTS:
+        visible = governance.select_granted(m.contracts.select("product_type", "outstanding_balance_brl"),
+                                            {"outstanding_balance_brl": model.RISK}, governance.Principal.of(d))
+        money = F.sum("outstanding_balance_brl") if "outstanding_balance_brl" in visible.columns else F.lit(None).cast("decimal(28,2)")
+        part = visible.groupBy("product_type").agg(F.count("*").alias("contracts"), money.cast("decimal(28,2)").alias("exposure_brl"))
+        part = part.select(F.lit(d).alias("department"), "product_type", "contracts", "exposure_brl")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("masked_by_tag")
+def _masked_by_tag(m: Models) -> DataFrame:
+    """Columns tagged restricted are masked, others pass."""
+    c = m.cat.customers.select("customer_id", "cnpj", "company_name", "state")
+    tagged = governance.tag_columns(c, {"cnpj": {"sensitivity": "restricted", "mask": "cnpj"}, "company_name": {"sensitivity": "restricted"},
+                                        "state": {"sensitivity": "internal"}})
+    return governance.mask_restricted(tagged)
+
+
 # --- sources, sinks, layout and streaming -----------------------------------------
 
 def _scratch(m: Models, name: str) -> str:
@@ -651,6 +704,35 @@ def _retention_layers(m: Models) -> DataFrame:
     return out
 
 
+@register("ingest_roundtrip")
+def _ingest_roundtrip(m: Models) -> DataFrame:
+    """The ingest job over CSVs of all raw tables, read back through the catalog."""
+    csv, names = _scratch(m, "ingest-csv"), list(RAW_TABLES)
+    for name in names:
+        sinks.write_csv(getattr(m.cat, name).select(*[f.name for f in RAW_TABLES[name].schema.fields]), f"{csv}/{name}")
+    lake = Catalog(m.spark, root=_scratch(m, "lake"))
+    path = _scratch(m, "ingest-audit")
+    jobs.ingest(m.spark, lake, csv, audit_path=path, run_id="fixture-run", load_ts=dt.datetime(2001, 8, 1))
+    logged = audit.read_audit(m.spark, path).select(F.regexp_replace("step", "^load_", "").alias("table_name"), "status", "rows_processed")
+    out = None
+    for name in names:
+        loaded = m.spark.read.parquet(lake.location("raw", name))
+        part = loaded.agg(F.count("*").alias("rows"), F.count(RAW_TABLES[name].key).alias("keys"),
+                          F.count_if(F.col("_loaded_at") == F.lit(dt.datetime(2001, 8, 1))).alias("stamped")).select(F.lit(name).alias("table_name"), "rows", "keys", "stamped")
+        out = part if out is None else out.unionByName(part)
+    return out.join(logged, "table_name")
+
+
+@register("incremental_write")
+def _incremental_write(m: Models) -> DataFrame:
+    """The mart stored, then its window recomputed from transactions that lost every fifth day."""
+    path = _scratch(m, "incremental")
+    sinks.write_table(m.daily_summary, path, partition_by="summary_date")
+    fewer = marts.mart_fin_daily_summary(m.transactions.where(F.dayofmonth("transaction_date") % 5 != 0))
+    sinks.write_incremental(fewer, path, "summary_date", INCREMENTAL_START)
+    return m.spark.read.parquet(path).select(*m.daily_summary.columns)
+
+
 @register("streaming_daily_summary")
 def _streaming_daily_summary(m: Models) -> DataFrame:
     """Structured Streaming refresh of the daily summary, read back."""

@@ -12,7 +12,8 @@ from ledgerlake.registry import QUERIES, Models
 from ledgerlake.sources import sinks
 
 SF = "/root/testdata/sf0.001"
-WRITES = {"csv_roundtrip", "partitioned_sink_roundtrip", "audit_append", "quarantine_split", "streaming_daily_summary"}
+WRITES = {"csv_roundtrip", "partitioned_sink_roundtrip", "audit_append", "quarantine_split", "streaming_daily_summary",
+          "ingest_roundtrip", "incremental_write"}
 
 
 def _plan(df) -> str:
