@@ -18,12 +18,13 @@ from pyspark.sql import functions as F
 
 U64 = np.uint64
 OPEN, REPEATED, MARKED = 0, 1, 2  # of an entry: its key was met once in its run; several times; not sent again
-PACKED = "bucket int, rows binary, ids binary, counts binary, keys binary, at binary, state binary"
+PACKED = "bucket int, rows binary, ids binary, counts binary, keys binary, at binary"
+STATE_BITS = 30  # a position shares its number with its entry's state
 
 
 def bucket_count(spark: SparkSession) -> int:
     """Key buckets: several a shuffle partition, so that one is small even when partitions are large."""
-    return 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def with_row(docs: DataFrame) -> DataFrame:
@@ -37,32 +38,40 @@ def split(order_key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge, np.diff(np.concatenate([edge, [len(order_key)]]))
 
 
-def packed(row: np.ndarray, ids: np.ndarray, doc: np.ndarray, key: np.ndarray, at: np.ndarray, state: np.ndarray, bucket: np.ndarray) -> pa.RecordBatch | None:
+def packed(row: np.ndarray, ids: np.ndarray | None, doc: np.ndarray, key: np.ndarray, at: np.ndarray, state: np.ndarray, bucket: np.ndarray) -> pa.RecordBatch | None:
     """One row per bucket from entries; ``row`` and ``ids`` are by document number."""
     if not len(doc):
         return None
+    if int(at.max()) >> STATE_BITS:
+        raise ValueError(f"a document has positions beyond 2**{STATE_BITS}")
     order = np.lexsort((at, doc, bucket))
-    doc, key, at, state, bucket = doc[order], key[order], at[order], state[order], bucket[order]
-    key = np.where(state == MARKED, U64(0), key)
-    out: list[list] = [[] for _ in range(7)]
+    doc, key, bucket = doc[order], key[order], bucket[order]
+    at = (at[order].astype(np.uint32)) | (state[order].astype(np.uint32) << np.uint32(STATE_BITS))
+    key = np.where(state[order] == MARKED, U64(0), key)
+    out: list[list] = [[] for _ in range(6)]
     for b, n in zip(*split(bucket), strict=True):
         d = doc[b : b + n]
         first, count = split(d)
-        whole = (int(bucket[b]), row[d[first]].tobytes(), ids[d[first]].tobytes(), count.astype(np.uint32).tobytes(), key[b : b + n].tobytes(), at[b : b + n].astype(np.uint32).tobytes(), state[b : b + n].astype(np.uint8).tobytes())
+        if count.max() > 0xFFFF:  # a document of very many entries is listed several times
+            pieces = -(-count // 0xFFFF)
+            nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            first, count = np.repeat(first, pieces) + nth * 0xFFFF, np.minimum(np.repeat(count, pieces) - nth * 0xFFFF, 0xFFFF)
+        whole = (int(bucket[b]), row[d[first]].tobytes(), b"" if ids is None else ids[d[first]].tobytes(), count.astype(np.uint16).tobytes(), key[b : b + n].tobytes(), at[b : b + n].tobytes())
         for column, value in zip(out, whole, strict=True):
             column.append(value)
-    kinds = [pa.int32(), *[pa.binary()] * 6]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["bucket", "rows", "ids", "counts", "keys", "at", "state"])
+    kinds = [pa.int32(), *[pa.binary()] * 5]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["bucket", "rows", "ids", "counts", "keys", "at"])
 
 
 def unpacked(table: pa.Table) -> tuple[np.ndarray, ...]:
-    """row, id, key, position and state of every entry of a bucket."""
+    """row, id, key, position and state of every entry of a bucket; without ids, rows stand for them."""
 
     def joined(name: str, kind: type) -> np.ndarray:
         return np.frombuffer(b"".join(x.as_py() for x in table.column(name)), dtype=kind)
 
-    counts = joined("counts", np.uint32)
-    return np.repeat(joined("rows", np.int64), counts), np.repeat(joined("ids", np.int64), counts), joined("keys", U64), joined("at", np.uint32), joined("state", np.uint8)
+    counts, rows, ids, at = joined("counts", np.uint16), joined("rows", np.int64), joined("ids", np.int64), joined("at", np.uint32)
+    state = (at >> np.uint32(STATE_BITS)).astype(np.uint8)
+    return np.repeat(rows, counts), np.repeat(ids if len(ids) else rows, counts), joined("keys", U64), at & np.uint32((1 << STATE_BITS) - 1), state
 
 
 def local_state(key: np.ndarray) -> np.ndarray:

@@ -182,7 +182,7 @@ def _symbols_of(buckets: int):
         fresh = np.concatenate([[True], (doc[order][1:] != doc[order][:-1]) | (code[order][1:] != code[order][:-1])]) if len(order) else np.zeros(0, bool)
         take = order[fresh]
         doc, code, key = doc[take], code[take], key[take]
-        return rep.packed(part.column(2).to_numpy(), _ids(part.column(0)), doc, key, code, rep.local_state(key), (key % U64(buckets)).astype(np.int64))
+        return rep.packed(part.column(2).to_numpy(), None, doc, key, code, rep.local_state(key), (key % U64(buckets)).astype(np.int64))
 
     return task
 

@@ -82,7 +82,7 @@ def _grams_of(buckets: int):
         first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
         doc, gram = doc[first], gram[first]
         key = run.hashes(gram, gram + GRAM)
-        return rep.packed(part.column(1).to_numpy(), part.column(1).to_numpy(), doc, key, gram - run.offsets[doc], rep.local_state(key), (key % U64(buckets)).astype(np.int64))
+        return rep.packed(part.column(1).to_numpy(), None, doc, key, gram - run.offsets[doc], rep.local_state(key), (key % U64(buckets)).astype(np.int64))
 
     return task
 
@@ -116,7 +116,7 @@ def _stretches_of(buckets: int):
             o = order[b : b + k]
             sent = o[state[o] != rep.MARKED]
             columns = (
-                int(bucket[o[0]]), rows[doc[o]].tobytes(), (begin - run.offsets[doc])[o].astype(np.int64).tobytes(), (end - begin)[o].astype(np.uint32).tobytes(), key[o].tobytes(), state[o].tobytes(),
+                int(bucket[o[0]]), rows[doc[o]].tobytes(), (begin - run.offsets[doc])[o].astype(np.uint32).tobytes(), (end - begin)[o].astype(np.uint32).tobytes(), key[o].tobytes(), state[o].tobytes(),
                 b"".join(raw[x:y].tobytes() for x, y in zip(begin[sent].tolist(), end[sent].tolist(), strict=True)),
             )
             for column, value in zip(out, columns, strict=True):
@@ -209,7 +209,7 @@ def _covered(table: pa.Table) -> pa.Table:
     def joined(name: str, kind: type) -> np.ndarray:
         return np.frombuffer(b"".join(x.as_py() for x in table.column(name)), dtype=kind)
 
-    row, start, size, key, state = joined("rows", np.int64), joined("starts", np.int64), joined("sizes", np.uint32).astype(np.int64), joined("keys", U64), joined("state", np.uint8)
+    row, start, size, key, state = joined("rows", np.int64), joined("starts", np.uint32).astype(np.int64), joined("sizes", np.uint32).astype(np.int64), joined("keys", U64), joined("state", np.uint8)
     raw = joined("bytes", np.uint8)
     sent = np.flatnonzero(state != rep.MARKED)
     at = np.zeros(len(row), np.int64)
