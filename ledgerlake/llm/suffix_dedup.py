@@ -44,7 +44,7 @@ from ledgerlake.llm._text import Run, map_runs, mix, powers, workers_find_packag
 
 U64 = np.uint64
 LENGTH = 200
-GRAM = 64
+GRAM = 40
 PART = 1 << 18
 STRETCHES = "bucket int, rows binary, starts binary, sizes binary, keys binary, state binary, bytes binary"
 
@@ -94,6 +94,16 @@ def _listed(part: pa.RecordBatch, column: int) -> tuple[np.ndarray, pa.Array]:
     return np.repeat(np.arange(len(sizes)), sizes), marks.flatten()
 
 
+def _packed_bytes(raw: bytes) -> bytes:
+    """Size and zstd form: stretches are most of what is shuffled."""
+    return len(raw).to_bytes(8, "little") + (pa.compress(raw, codec="zstd", asbytes=True) if raw else b"")
+
+
+def _unpacked_bytes(packed: bytes) -> bytes:
+    size = int.from_bytes(packed[:8], "little")
+    return pa.decompress(packed[8:], decompressed_size=size, codec="zstd", asbytes=True) if size else b""
+
+
 def _stretches_of(buckets: int):
     def task(part: pa.RecordBatch, run: Run) -> pa.RecordBatch | None:
         start, doc, gram = windows(run)
@@ -117,7 +127,7 @@ def _stretches_of(buckets: int):
             sent = o[state[o] != rep.MARKED]
             columns = (
                 int(bucket[o[0]]), rows[doc[o]].tobytes(), (begin - run.offsets[doc])[o].astype(np.uint32).tobytes(), (end - begin)[o].astype(np.uint32).tobytes(), key[o].tobytes(), state[o].tobytes(),
-                b"".join(raw[x:y].tobytes() for x, y in zip(begin[sent].tolist(), end[sent].tolist(), strict=True)),
+                _packed_bytes(b"".join(raw[x:y].tobytes() for x, y in zip(begin[sent].tolist(), end[sent].tolist(), strict=True))),
             )
             for column, value in zip(out, columns, strict=True):
                 column.append(value)
@@ -210,7 +220,7 @@ def _covered(table: pa.Table) -> pa.Table:
         return np.frombuffer(b"".join(x.as_py() for x in table.column(name)), dtype=kind)
 
     row, start, size, key, state = joined("rows", np.int64), joined("starts", np.uint32).astype(np.int64), joined("sizes", np.uint32).astype(np.int64), joined("keys", U64), joined("state", np.uint8)
-    raw = joined("bytes", np.uint8)
+    raw = np.frombuffer(b"".join(_unpacked_bytes(x.as_py()) for x in table.column("bytes")), dtype=np.uint8)
     sent = np.flatnonzero(state != rep.MARKED)
     at = np.zeros(len(row), np.int64)
     at[sent] = np.cumsum(size[sent]) - size[sent]
