@@ -7,15 +7,18 @@
    after a few ranks.
 2. Equal sets (by two 64-bit set hashes) become one representative, the smallest doc_id.
 3. Slots are banded (``BANDS`` of ``ROWS``). In each bucket every
-   representative is compared with the bucket's smallest one: a star, linear in the bucket.
-   A pair survives the length bound and a 128-bit sketch of the signature
-   (over six standard deviations away from any true link).
-4. Surviving pairs are verified on their full shingle sets; union-find
-   grouping (``_store.components``) merges them.
+   representative is compared with one member taken at random: a star, linear in the
+   bucket. A pair survives exact bounds (set sizes, and shingles that no
+   other candidate holds) and a 128-bit sketch of the signature (over six standard
+   deviations away from any true link).
+4. Each document's likeliest centre (by sketch) is verified on full shingle
+   sets and union-find grouping (``_store.components``) merges the links;
+   then its likeliest centre outside its group.
 5. Exact rest: buckets that still hold several groups are searched in blocks:
-   members outside the bucket's largest group, against all its members. New
-   pairs are verified and merged. So a bucket that is one group of copies costs no
-   pairs beyond its star, and no candidate of any bucket is left out.
+   members outside the bucket's largest group, against all its members; again the
+   likeliest pair of each is verified first, then all whose ends are still
+   apart. So a group of copies costs about two verifications a member however large
+   it is, and no candidate of any bucket is left out.
 
 A linked pair of similarity 0.85 shares no band with probability
 (1 - 0.85 ** ROWS) ** BANDS, 4e-7.
@@ -25,8 +28,8 @@ with nothing; fewer words than a shingle give one shingle; a null doc_id has
 null component and is not kept; rows of equal doc_id are one document for
 links; other columns are ignored. An empty table gives an empty result.
 
-Scale: texts are read twice, the second time only for documents in candidate pairs; about
-250 bytes a document are written and 25 small rows a representative
+Scale: texts are read twice and shuffled once, to find those in shared buckets; about
+250 bytes a document are written and 25 rows of two numbers a representative
 shuffled. Copies are merged by a partial aggregate before any join. Joins are
 equi-joins that AQE may split at hot keys. Nothing is collected.
 """
@@ -35,10 +38,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm._store import components, stored
+from ledgerlake.llm._store import components, labelled_ends, merged, stored
 from ledgerlake.llm._text import Run, distinct, map_runs, mix, record, shingles, workers_find_package
 
 U64 = np.uint64
@@ -139,49 +143,116 @@ def _linked(percent: int):
     return task
 
 
-def verified(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) of doc_ids whose full shingle sets are similar enough."""
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id", "left_semi")
-    sets = stored(map_runs(texts, ["doc_id", "text"], _sets, "doc_id long, items binary"), "sets")
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("items").alias("y")), "b")
+    both = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("items").alias("y")), "b").join(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("x")), "a")
     return stored(both.select("a", "b", "x", "y").mapInArrow(_linked(percent), "a long, b long").distinct(), "links")
 
 
-def _near(n1: str, n2: str, percent: int):
-    differ = F.bit_count(F.col("s1").bitwiseXOR(F.col("t1"))) + F.bit_count(F.col("s2").bitwiseXOR(F.col("t2")))
-    return (F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent) & (differ <= SKETCH_BITS)
+def _differ():
+    """Sketch bits in which two documents differ."""
+    return F.bit_count(F.col("s1").bitwiseXOR(F.col("t1"))) + F.bit_count(F.col("s2").bitwiseXOR(F.col("t2")))
+
+
+def _near(percent: int):
+    """Whether a pair can be similar enough.
+
+    Shingles that no other member holds are outside any intersection, so a
+    pair shares at most ``most`` of them and the union has the lone ones of both
+    besides. That bound is exact; the sketch is far from any true link.
+    """
+    most = F.least(F.col("n") - F.col("lone"), F.col("n2") - F.col("lone2"))
+    return (most * 100 >= (most + F.col("lone") + F.col("lone2")) * percent) & (F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent) & (_differ() <= SKETCH_BITS)
+
+
+def _items(batches):
+    for batch in batches:
+        sizes = pa.compute.binary_length(batch.column(1)).to_numpy() // 8
+        values = np.frombuffer(b"".join(x.as_py() for x in batch.column(1)), dtype=np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(np.repeat(batch.column(0).to_numpy(), sizes))], names=["item", "doc_id"])
+
+
+def lone_items(sets: DataFrame) -> DataFrame:
+    """(rep, lone): how many of a document's shingles no other document of ``sets`` holds."""
+    items = sets.select("doc_id", "items").mapInArrow(_items, "item long, doc_id long")
+    once = items.groupBy("item").agg(F.count("*").alias("c"), F.min("doc_id").alias("rep")).where("c = 1")
+    return once.groupBy("rep").agg(F.count("*").alias("lone"))
+
+
+def _other(members: DataFrame):
+    return members.select("key", F.col("rep").alias("a"), F.col("n").alias("n2"), F.col("lone").alias("lone2"), F.col("s1").alias("t1"), F.col("s2").alias("t2"))
+
+
+def _best(pairs: DataFrame) -> DataFrame:
+    """For each b its likeliest partner: pairs are (a, b, differ)."""
+    return pairs.groupBy("b").agg(F.min(F.struct("differ", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
+
+
+def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components."""
+    return labelled_ends(pairs, groups).where("of_a <> of_b").drop("of_a", "of_b")
+
+
+def linked_groups(docs: DataFrame, heads: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(node, component) of the representatives ``heads`` (rep, n, s1, s2, bands) that have a link."""
+    keys = heads.select("rep", F.explode("bands").alias("key"))
+    mark = F.xxhash64("rep", "key")
+    shared = keys.groupBy("key").agg(F.count("*").alias("size"), F.min(mark).alias("head")).where("size > 1")
+    members = keys.join(shared, "key").select("key", "rep", (mark == F.col("head")).alias("head"))
+    members = stored(members.join(heads.select("rep", "n", "s1", "s2"), "rep"), "buckets")
+    texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text")
+    sets = stored(map_runs(texts.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), ["doc_id", "text"], _sets, "doc_id long, items binary"), "sets")
+    members = stored(members.join(lone_items(sets), "rep", "left").fillna(0, ["lone"]), "members")
+    # a star in each bucket, around a member taken at random: first each member's likeliest centre
+    star = members.where("NOT head").join(_other(members.where("head")), "key").where(_near(percent) & (F.col("rep") != F.col("a")))
+    star = stored(star.select("a", F.col("rep").alias("b"), _differ().alias("differ")).distinct(), "star")
+    tested = stored(_best(star), "first")
+    groups = stored(components(verified(tested, sets, percent)), "groups")
+    # then its likeliest centre of another component
+    second = stored(_best(_apart(star, groups)), "second")
+    sets = stored(sets.join(members.join(_opened(members, groups).select("key"), "key", "left_semi").select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), "open_sets")
+    groups = merged(groups, verified(second, sets, percent))
+    # what is left: buckets of several components, searched in blocks
+    labelled = _labelled(members, groups)
+    rest = stored(labelled.join(_opened(members, groups), "key"), "open_buckets")
+    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    base = rest.select("key", block.alias("block"), F.col("rep").alias("a"), F.col("component").alias("other"), F.col("n").alias("n2"), F.col("lone").alias("lone2"), F.col("s1").alias("t1"), F.col("s2").alias("t2"), "largest")
+    asked = rest.where("component <> largest").select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "rep", "component", "n", "lone", "s1", "s2")
+    cross = asked.join(base, ["key", "block"]).where((F.col("component") != F.col("other")) & ((F.col("other") == F.col("largest")) | (F.col("a") < F.col("rep"))) & _near(percent))
+    cross = cross.select("a", F.col("rep").alias("b"), _differ().alias("differ")).distinct()
+    for seen in (tested, second):
+        cross = cross.join(seen.select("a", "b"), ["a", "b"], "left_anti").join(seen.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
+    cross = stored(cross, "cross")
+    if cross.isEmpty():
+        return groups
+    likeliest = stored(_best(cross), "third")
+    groups = merged(groups, verified(likeliest, sets, percent))
+    last = stored(_apart(cross.join(likeliest, ["a", "b"], "left_anti"), groups).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "last")
+    if last.isEmpty():
+        return groups
+    return merged(groups, verified(last, sets, percent))
+
+
+def _labelled(members: DataFrame, groups: DataFrame) -> DataFrame:
+    return members.join(groups.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+
+
+def _opened(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """Buckets that hold several components: key, the largest one and the number of blocks."""
+    counts = _labelled(members, groups).groupBy("key", "component").agg(F.count("*").alias("c"))
+    opened = counts.groupBy("key").agg(F.sum("c").alias("size"), F.count("*").alias("groups"), F.max(F.struct("c", "component")).alias("top")).where("groups > 1")
+    return opened.select("key", F.col("top.component").alias("largest"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept."""
-    spark = docs.sparkSession
-    workers_find_package(spark)
+    workers_find_package(docs.sparkSession)
     signed = stored(map_runs(docs, ["doc_id", "text"], _sign, "doc_id long, n long, h1 long, h2 long, s1 long, s2 long, bands array<long>"), "signatures")
     full = signed.where("n > 0 AND doc_id IS NOT NULL")
-    reps = full.groupBy("h1", "h2", "n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
-    heads = stored(full.join(reps.select("h1", "h2", F.col("rep").alias("doc_id")), ["h1", "h2", "doc_id"], "left_semi").select(F.col("doc_id").alias("rep"), "n", "s1", "s2", F.posexplode("bands").alias("band", "key")).drop("band").distinct(), "bands")
-    shared = heads.groupBy("key").agg(F.min("rep").alias("center"), F.max("rep").alias("last")).where("center < last")
-    # rows of the buckets with several members; a member's own key is unique to its band by hashing
-    members = stored(heads.join(shared.select("key", "center"), "key"), "buckets")
-    hub = members.where("rep = center").select("key", F.col("rep").alias("a"), F.col("n").alias("n2"), F.col("s1").alias("t1"), F.col("s2").alias("t2"))
-    star = members.where("rep <> center").join(hub, "key").where(_near("n", "n2", percent)).select("a", F.col("rep").alias("b")).distinct()
-    star = stored(star, "star")
-    links = verified(star, docs, percent)
-    groups = stored(components(links), "groups")
-    labelled = members.join(groups.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    counts = labelled.groupBy("key", "component").agg(F.count("*").alias("c"))
-    opened = counts.groupBy("key").agg(F.sum("c").alias("size"), F.count("*").alias("groups"), F.max(F.struct("c", "component")).alias("top")).where("groups > 1")
-    opened = opened.select("key", F.col("top.component").alias("largest"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    rest = stored(labelled.join(opened, "key"), "open_buckets")
-    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    base = rest.select("key", block.alias("block"), F.col("rep").alias("a"), F.col("component").alias("other"), F.col("n").alias("n2"), F.col("s1").alias("t1"), F.col("s2").alias("t2"), "largest")
-    asked = rest.where("component <> largest").select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "rep", "component", "n", "s1", "s2")
-    cross = asked.join(base, ["key", "block"]).where((F.col("component") != F.col("other")) & ((F.col("other") == F.col("largest")) | (F.col("a") < F.col("rep"))) & _near("n", "n2", percent))
-    more = stored(cross.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct().join(star, ["a", "b"], "left_anti"), "cross")
-    if not more.isEmpty():
-        links = links.union(verified(more, docs, percent))
-        groups = stored(components(links), "groups")
+    reps = stored(full.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep")), "representatives")
+    heads = full.join(reps.withColumnRenamed("rep", "doc_id"), ["h1", "h2", "doc_id"], "left_semi").dropDuplicates(["doc_id", "h1", "h2"])
+    heads = stored(heads.select(F.col("doc_id").alias("rep"), "n", "s1", "s2", "bands"), "heads")
+    groups = linked_groups(docs, heads, percent)
     named = reps.join(groups.select(F.col("node").alias("rep"), "component"), "rep", "left").select("h1", "h2", F.coalesce("component", "rep").alias("component"))
     out = signed.join(named, ["h1", "h2"], "left")
     component = F.when(F.col("doc_id").isNull(), None).when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component"))
