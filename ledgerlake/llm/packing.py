@@ -40,7 +40,7 @@ from ledgerlake.llm._text import Run, map_runs, workers_find_package
 
 MAX_LENGTH = 1024
 END = 0
-RANK_BLOCK = 50_000
+RANK_BLOCK = 500
 CACHE_UNITS = 1_000_000
 _loaded: dict = {}
 # Second bytes and after of white space that is not ASCII, in UTF-8 (fixed values).
