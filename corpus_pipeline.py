@@ -23,6 +23,7 @@ from ledgerlake.llm._store import stored
 from ledgerlake.llm.queries import tokenizer_path
 
 KEEP = 0.8  # share of tokens that the mixture keeps
+NEAR_PERCENT = 80  # similarity of word shingles from which documents are near copies
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +32,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup.drop_near_duplicates(docs)
+    return near_dedup.drop_near_duplicates(docs, NEAR_PERCENT)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

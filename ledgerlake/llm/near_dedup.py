@@ -6,11 +6,11 @@
    signature are correlated, which lowers its variance, and long documents stop
    after a few ranks.
 2. Equal sets (by two 64-bit set hashes) become one representative, the smallest doc_id.
-3. Slots are banded (``BANDS`` of ``ROWS``). In each bucket every
+3. Slots are banded (``banding``: 25 bands of 5 at 85 percent, 32 of 4 at 80). In each bucket every
    representative is compared with one member taken at random: a star, linear in the
    bucket. A pair survives exact bounds (set sizes, and shingles that no
-   other candidate holds) and a 128-bit sketch of the signature (over six standard
-   deviations away from any true link).
+   other candidate holds) and a 128-bit sketch of the signature (``sketch_bits``, over six
+   standard deviations away from any true link).
 4. Each document's likeliest centre (by sketch) is verified on full shingle
    sets and union-find grouping (``_store.components``) merges the links;
    then its likeliest centre outside its group.
@@ -20,8 +20,9 @@
    apart. So a group of copies costs about two verifications a member however large
    it is, and no candidate of any bucket is left out.
 
-A linked pair of similarity 0.85 shares no band with probability
-(1 - 0.85 ** ROWS) ** BANDS, 4e-7.
+A linked pair at the threshold shares no band with probability
+(1 - (percent / 100) ** rows) ** bands, ``MISS`` at most: 4e-7 at 85 percent, 5e-8
+at 80. A percent for which no banding reaches that is refused.
 
 Defined results: null, empty and blank texts have an empty set and are linked
 with nothing; fewer words than a shingle give one shingle; a null doc_id has
@@ -47,12 +48,28 @@ from ledgerlake.llm._text import Run, distinct, map_runs, mix, record, shingles,
 
 U64 = np.uint64
 SHINGLE = 5
-SLOTS, BANDS, ROWS = 128, 25, 5
+SLOTS = 128
 PERCENT = 85
-SKETCH_BITS = 28  # differing sketch bits of a pair at the threshold: mean 9.6, deviation 3
+MISS = 1e-6
+DEVIATIONS = 6.25
 BLOCK = 1024
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """(bands, rows): the longest rows by which a pair at the threshold is missed with ``MISS`` at most."""
+    for rows in range(SLOTS, 0, -1):
+        bands = SLOTS // rows
+        if 0 < percent <= 100 and (1 - (percent / 100) ** rows) ** bands <= MISS:
+            return bands, rows
+    raise ValueError(f"{SLOTS} slots do not find pairs of {percent} percent")
+
+
+def sketch_bits(percent: int) -> int:
+    """Most differing sketch bits of a link; at 85 percent their mean is 9.6 and their deviation 3."""
+    p = (1 - percent / 100) / 2
+    return int(SLOTS * p + DEVIATIONS * (SLOTS * p * (1 - p)) ** 0.5)
+
+
 def super_minhash(doc: np.ndarray, value: np.ndarray, n_docs: int, m: int = SLOTS) -> np.ndarray:
     """Signatures (n_docs, m) of rank * 2**32 + fraction; ``value`` distinct per document."""
     out = np.full(n_docs * m, np.iinfo(np.uint64).max, dtype=U64)
@@ -98,7 +115,7 @@ def shingle_sets(run: Run) -> tuple[np.ndarray, np.ndarray]:
     return distinct(owner, value)
 
 
-def _sign(part: pa.RecordBatch, run: Run) -> pa.RecordBatch:
+def _sign(part: pa.RecordBatch, run: Run, n_bands: int, n_rows: int) -> pa.RecordBatch:
     doc, value = shingle_sets(run)
     counts = np.bincount(doc, minlength=run.n)
     cut = np.concatenate([[0], np.cumsum(counts)])
@@ -109,13 +126,13 @@ def _sign(part: pa.RecordBatch, run: Run) -> pa.RecordBatch:
 
     signature = super_minhash(doc, value, run.n)
     bits = np.packbits((signature & U64(1)).astype(bool), axis=1).view(np.int64)
-    bands = np.zeros((run.n, BANDS), dtype=U64)
-    for b in range(BANDS):
+    bands = np.zeros((run.n, n_bands), dtype=U64)
+    for b in range(n_bands):
         acc = np.full(run.n, b + 1, dtype=U64)
-        for t in range(ROWS):
-            acc = mix(acc * U64(0x9FB21C651E98DF25) + signature[:, b * ROWS + t])
+        for t in range(n_rows):
+            acc = mix(acc * U64(0x9FB21C651E98DF25) + signature[:, b * n_rows + t])
         bands[:, b] = acc
-    keys = pa.ListArray.from_arrays(np.arange(0, run.n * BANDS + 1, BANDS, dtype=np.int32), pa.array(bands.ravel().astype(np.int64)))
+    keys = pa.ListArray.from_arrays(np.arange(0, run.n * n_bands + 1, n_bands, dtype=np.int32), pa.array(bands.ravel().astype(np.int64)))
     return record(
         doc_id=part.column(0).cast(pa.int64()), n=counts.astype(np.int64), h1=total(mix(value + U64(0x1234567))), h2=total(mix(value ^ U64(0x5851F42D4C957F2D))),
         s1=np.ascontiguousarray(bits[:, 0]), s2=np.ascontiguousarray(bits[:, 1]), bands=keys,
@@ -162,7 +179,7 @@ def _near(percent: int):
     besides. That bound is exact; the sketch is far from any true link.
     """
     most = F.least(F.col("n") - F.col("lone"), F.col("n2") - F.col("lone2"))
-    return (most * 100 >= (most + F.col("lone") + F.col("lone2")) * percent) & (F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent) & (_differ() <= SKETCH_BITS)
+    return (most * 100 >= (most + F.col("lone") + F.col("lone2")) * percent) & (F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent) & (_differ() <= sketch_bits(percent))
 
 
 def _items(batches):
@@ -247,7 +264,8 @@ def _opened(members: DataFrame, groups: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept."""
     workers_find_package(docs.sparkSession)
-    signed = stored(map_runs(docs, ["doc_id", "text"], _sign, "doc_id long, n long, h1 long, h2 long, s1 long, s2 long, bands array<long>"), "signatures")
+    n_bands, n_rows = banding(percent)
+    signed = stored(map_runs(docs, ["doc_id", "text"], lambda part, run: _sign(part, run, n_bands, n_rows), "doc_id long, n long, h1 long, h2 long, s1 long, s2 long, bands array<long>"), "signatures")
     full = signed.where("n > 0 AND doc_id IS NOT NULL")
     reps = stored(full.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep")), "representatives")
     heads = full.join(reps.withColumnRenamed("rep", "doc_id"), ["h1", "h2", "doc_id"], "left_semi").dropDuplicates(["doc_id", "h1", "h2"])
