@@ -4,13 +4,14 @@ Stages, in order; each takes (spark, docs, sf_dir) and all but the last return
 documents with the input's columns:
 
 1. toxicity: documents that the classifier, fitted on the labelled ones among them, rejects go;
-2. near-dedup: the smallest doc_id of each group of near copies stays;
+2. near-dedup: the row of smallest doc_id of each group of near copies stays;
 3. personal data: spans are replaced in the text, and n_chars follows;
 4. mixing: documents are drawn so that sources, languages and topics meet their targets;
 5. packing: the documents' token pieces with their places in sequences.
 
-Null and empty texts pass all stages as empty documents; rows without doc_id leave in
-stage 2, where rows of equal doc_id become one. An empty table gives an empty result.
+Null and empty texts pass all stages as empty documents. Stage 2 decides by row: rows of
+equal doc_id stay if their texts are unlike, as do rows without doc_id that have no
+copy; these leave in stage 4. An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -27,11 +27,12 @@ at 80. A percent for which no banding reaches that is refused.
 Defined results: null, empty and blank texts have an empty set and are linked
 with nothing; fewer words than a shingle give one shingle; a null doc_id has
 null component and is not kept; rows of equal doc_id are one document for
-links; other columns are ignored. An empty table gives an empty result.
+links (``drop_near_duplicates`` decides by row instead); other columns are ignored. An empty table gives an empty result.
 
 Scale: texts are read twice and shuffled once, to find those in shared buckets; about
 250 bytes a document are written and 25 rows of two numbers a representative
-shuffled. Copies are merged by a partial aggregate before any join. Joins are
+shuffled; ``drop_near_duplicates`` reads them twice more and shuffles them once, the
+kept ones twice. Copies are merged by a partial aggregate before any join. Joins are
 equi-joins that AQE may split at hot keys. Nothing is collected.
 """
 
@@ -278,10 +279,28 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The document of smallest doc_id of each group, with all its columns.
+    """One row of each group of near copies, with all its columns, decided by each row's own text.
 
-    Documents linked with nothing stay; of rows of equal doc_id one stays; rows
-    without doc_id go.
+    The row of smallest doc_id stays, rows without doc_id counting as larger than all;
+    of several the smallest text, then the smallest other columns. So rows of equal doc_id
+    whose texts are unlike all stay. Blank texts are copies of nothing: only repeats
+    of the same doc_id and text become one.
     """
-    kept = near_duplicates(docs, percent).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    node = F.xxhash64("text")
+    blank = ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"), node.alias("node"), blank.alias("blank"),
+        F.col("doc_id").isNull().cast("int").alias("without"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
+    )
+    # a distinct text is a document of its own, so that links never pass through a doc_id
+    linked = near_duplicates(docs.select(node.alias("doc_id"), "text"), percent).where("n_shingles > 0")
+    of = linked.select(F.col("doc_id").alias("node"), F.col("component_id").alias("component")).distinct()
+    first = F.min(F.struct("without", "id")).alias("top")
+    nodes = rows.where("NOT blank").groupBy("node").agg(first).join(of, "node").select("node", "component", "top.without", "top.id")
+    nodes = stored(nodes, "nodes")
+    tops = nodes.groupBy("component").agg(first).select("component", "top.without", "top.id")
+    heads = stored(nodes.join(tops, ["component", "without", "id"]), "tops")
+    texts = rows.where("NOT blank").join(heads, ["node", "without", "id"]).select("row", "component", F.lit(None).cast("long").alias("id"))
+    blanks = rows.where("blank AND without = 0").select("row", F.col("node").alias("component"), "id")
+    smallest = F.min_by("row", F.struct(F.col("row.text"), F.to_json("row"))).alias("row")
+    return texts.unionByName(blanks).groupBy("component", "id").agg(smallest).unionByName(rows.where("blank AND without = 1").select(F.lit(None).cast("long").alias("component"), F.lit(None).cast("long").alias("id"), "row")).select("row.*")
