@@ -201,13 +201,17 @@ def _windows_of(buckets: int):
         keep = np.isin((w.doc << 33) | w.code, (d << 33) | code)
         doc, place, name, key = w.doc[keep], (w.place - w.first_word[w.doc])[keep], w.name[keep], w.key[keep]
         ids = _ids(part.column(0))
-        # within the run: the smallest id's first place stands for the window, larger ids are marked at once
-        order = np.lexsort((place, ids[doc], name))
+        # within the run: the first place in each row of the smallest id stands for the window, larger ids are marked at once
+        order = np.lexsort((place, doc, ids[doc], name))
         edge, n = rep.split(name[order])
         least = np.repeat(ids[doc[order[edge]]], n)
         state = np.where(ids[doc[order]] > least, rep.MARKED, rep.REPEATED).astype(np.uint8)
-        state[edge] = rep.OPEN
-        # further places of the smallest id follow from the first one when marks are applied
+        row = doc[order]
+        first = np.ones(len(order), dtype=bool)
+        first[1:] = row[1:] != row[:-1]
+        first[edge] = True
+        state[first & (state == rep.REPEATED)] = rep.OPEN
+        # further places in the same row follow from the first one when marks are applied
         sent = state != rep.REPEATED
         pick = order[sent]
         return rep.packed(part.column(2).to_numpy(), ids, doc[pick], name[pick], place[pick], state[sent], (key[pick] % U64(buckets)).astype(np.int64))
