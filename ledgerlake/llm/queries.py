@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import fingerprints, mixing, near_dedup, packing, pii, quality_rules, substring_dedup, suffix_dedup, toxicity, url_reputation
+from ledgerlake.llm import fingerprints, mixing, near_dedup, packing, periodic_runs, pii, quality_rules, substring_dedup, suffix_dedup, toxicity, url_reputation
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +71,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_quality(docs, crf)
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.planted(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return periodic_runs.digests(periodic_runs.find_runs(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_toxicity": op2_toxicity,
@@ -82,5 +87,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 ORACLE: dict[str, str] = {"op7_url_reputation": url_reputation.ORACLE}
