@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import fingerprints, mixing, near_dedup, packing, periodic_runs, pii, quality_rules, substring_dedup, suffix_dedup, toxicity, url_reputation
+from ledgerlake.llm import fingerprints, mixing, near_dedup, packing, periodic_runs, pii, quality_rules, substring_dedup, suffix_dedup, token_alignment, toxicity, url_reputation
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +76,14 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.find_runs(docs))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = token_alignment.align(docs, tokenizer_path(), public_tokenizers.path("piece_bpe_32k.model")).documents()
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_toxicity": op2_toxicity,
@@ -88,5 +96,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_rules": op10_quality_rules,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_token_alignment": op13_token_alignment,
 }
 ORACLE: dict[str, str] = {"op7_url_reputation": url_reputation.ORACLE}
