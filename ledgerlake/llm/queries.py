@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import fingerprints, mixing, near_dedup, packing, periodic_runs, pii, quality_rules, substring_dedup, suffix_dedup, token_alignment, toxicity, url_reputation
+from ledgerlake.llm import fingerprints, html_extraction, mixing, near_dedup, packing, periodic_runs, pii, quality_rules, substring_dedup, suffix_dedup, token_alignment, toxicity, url_reputation
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +71,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_quality(docs, crf)
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extraction.extract(pages, html_extraction.fit(pages))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = periodic_runs.planted(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return periodic_runs.digests(periodic_runs.find_runs(docs))
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_html_extraction": op11_html_extraction,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_token_alignment": op13_token_alignment,
 }
