@@ -16,7 +16,7 @@ def shingle_set(text: str | None) -> frozenset:
     return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4)) if len(words) >= 5 else frozenset([tuple(words)] if words else [])
 
 
-def near_brute(rows) -> dict:
+def near_brute(rows, percent: int = 85) -> dict:
     """doc_id -> (set size, component, kept) by comparing every pair that shares a shingle."""
     sets = {i: shingle_set(t) for i, t in rows}
     by = defaultdict(list)
@@ -37,7 +37,7 @@ def near_brute(rows) -> dict:
                 if (a, b) not in tested and find(a) != find(b):
                     tested.add((a, b))
                     both = len(sets[a] & sets[b])
-                    if 100 * both >= 85 * len(sets[a] | sets[b]):
+                    if 100 * both >= percent * len(sets[a] | sets[b]):
                         x, y = find(a), find(b)
                         root[max(x, y)] = min(x, y)
     return {i: (len(s), find(i), find(i) == i) for i, s in sets.items()}

@@ -74,7 +74,7 @@ def test_whole_pipeline_against_plain_versions_at_80(spark, tmp_path_factory, mo
     import corpus_pipeline
     import test_pipeline
 
-    def near(rows):
+    def near(rows, percent=80):
         rows = list(rows)
         return {i: (len(shingle_set(dict(rows)[i])), top, i == top) for i, top in brute(rows, 80).items()}
 

@@ -49,7 +49,7 @@ def test_stages_and_run(spark, pipeline, tmp_path_factory):
     first = rows_of(results[0])
     assert set(first) == kept
     second = rows_of(results[1])
-    assert set(second) == {i for i, (_, _, keep) in near_brute([(i, r.text) for i, r in first.items()]).items() if keep}
+    assert set(second) == {i for i, (_, _, keep) in near_brute([(i, r.text) for i, r in first.items()], pipeline.NEAR_PERCENT).items() if keep}
     assert all(second[i] == first[i] for i in second)
     scorer = pii.fit_scorer(results[1])
     third = rows_of(results[2])
@@ -80,4 +80,4 @@ def test_entry_registers_all(pipeline):
 
     found = set(entry.queries())
     assert "pipeline" in found
-    assert {int(n[2:].split("_")[0]) for n in found if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in found if n.startswith("op")} == set(range(1, 14))
