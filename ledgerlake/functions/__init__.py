@@ -4,7 +4,10 @@ from .calendar import (
     BR_HOLIDAYS_2024,
     business_days_between,
     business_days_exact,
+    easter_date,
+    holidays_between,
     is_business_day,
+    is_national_holiday,
     is_weekend,
     national_holidays,
     time_frame,

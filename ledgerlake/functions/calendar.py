@@ -54,6 +54,73 @@ def national_holidays(years: Iterable[int]) -> list[dt.date]:
     return sorted(out)
 
 
+def _whole(a: Column, b: int) -> Column:
+    """a // b of a non-negative whole number."""
+    return ((a - a % b) / b).cast("int")
+
+
+def easter_date(year: ColumnOrName) -> Column:
+    """Gregorian Easter Sunday of a year, by arithmetic on the year alone (any year from 1583 on).
+
+    The Sunday after the full moon of the church calendar, which is at most 28 days after 21 March.
+    """
+    y = as_col(year).cast("int")
+    golden, century = y % 19, _whole(y, 100)
+    moon = (golden * 19 + century - _whole(century, 4) - _whole(century * 8 + 13, 25) + 15) % 30
+    moon = moon - _whole(moon + _whole(golden, 11), 29)
+    return F.next_day(F.date_add(F.make_date(y, F.lit(3), F.lit(21)), moon), "Sunday")
+
+
+def _on_21_april(easter: Column) -> Column:
+    """Whether Good Friday is 21 April, itself a holiday: that day counts once."""
+    return (F.month(easter) == 4) & (F.dayofmonth(easter) == 23)
+
+
+def holidays_before(d: ColumnOrName) -> Column:
+    """National holidays on weekdays in the year of ``d``, before ``d``, by rule. The moveable ones are always on weekdays."""
+    c = as_col(d)
+    year = F.year(c)
+    easter = easter_date(year)
+    after = F.datediff(c, easter)
+    count = F.lit(0)
+    for month, day in FIXED_DATE_HOLIDAYS:
+        holiday = F.make_date(year, F.lit(month), F.lit(day))
+        count = count + ((holiday < c) & (F.weekday(holiday) < 5)).cast("int")
+    for offset in EASTER_OFFSETS:
+        count = count + (after > offset).cast("int")
+    return count - ((after > -2) & _on_21_april(easter)).cast("int")
+
+
+def _fixed_before(year: Column) -> Column:
+    """Fixed-date holidays on weekdays in all years before ``year``. Weekdays repeat every 400 years, so 400 sums say it for any year."""
+    sums = [0]
+    for y in range(2000, 2400):  # any 400 years that begin with a multiple of 400
+        sums.append(sums[-1] + sum(dt.date(y, m, k).weekday() < 5 for m, k in FIXED_DATE_HOLIDAYS))
+    table = F.array(*[F.lit(n) for n in sums[:400]])
+    return _whole(year, 400) * sums[400] + F.get(table, year % 400)
+
+
+def holidays_between(start: ColumnOrName, end: ColumnOrName) -> Column:
+    """National holidays on weekdays in [start, end), by rule; 0 if end <= start.
+
+    Closed form but for the years between the two, which are looked at for a Good Friday on 21 April.
+    """
+    s, e = as_col(start), as_col(end)
+    first, last = F.year(s), F.year(e)
+    years = F.when(last > first, F.sequence(first, last - 1)).otherwise(F.array().cast("array<int>"))
+    once = F.size(F.filter(years, lambda y: _on_21_april(easter_date(y))))
+    whole = (last - first) * len(EASTER_OFFSETS) + _fixed_before(last) - _fixed_before(first) - once
+    return F.when(e > s, holidays_before(e) - holidays_before(s) + whole).otherwise(F.when(e.isNotNull() & s.isNotNull(), F.lit(0))).cast("bigint")
+
+
+def is_national_holiday(d: ColumnOrName) -> Column:
+    """Whether a day is a national holiday, by rule."""
+    c = as_col(d)
+    easter = easter_date(F.year(c))
+    fixed = F.concat_ws("-", F.month(c), F.dayofmonth(c)).isin([f"{m}-{k}" for m, k in FIXED_DATE_HOLIDAYS])
+    return fixed | F.datediff(c, easter).isin(EASTER_OFFSETS)
+
+
 # A holiday list becomes an array literal; bound its size.
 MAX_HOLIDAYS = 20_000
 
@@ -109,14 +176,17 @@ def _holiday_array(holidays: Iterable[dt.date]) -> Column:
 
 
 def business_days_exact(
-    start: ColumnOrName, end: ColumnOrName, holidays: Iterable[dt.date] = BR_HOLIDAYS_2024
+    start: ColumnOrName, end: ColumnOrName, holidays: Iterable[dt.date] | None = BR_HOLIDAYS_2024
 ) -> Column:
     """Weekdays in [start, end) that are not holidays (per-row expression).
 
-    Fine for short holiday lists; for large tables prefer
-    ``with_business_days`` (calendar table + broadcast hash join).
+    ``holidays=None`` takes the national holidays by rule: no list, and no years outside of which
+    nothing is known. Lists are fine while short; for long ones and large tables
+    prefer ``with_business_days`` (calendar table + broadcast hash join).
     """
     s, e = as_col(start), as_col(end)
+    if holidays is None:
+        return (weekdays_between(s, e) - holidays_between(s, e)).cast("bigint")
     days = _checked(holidays)
     on_weekday_in_range = F.filter(
         _holiday_array(days), lambda h: (h >= s) & (h < e) & (F.weekday(h) < 5)
@@ -136,12 +206,14 @@ def _covered(d: Column, days: list[dt.date]) -> Column:
     return F.lit(True) if span is None else (d >= F.lit(span[0])) & (d <= F.lit(span[1]))
 
 
-def is_business_day(d: ColumnOrName, holidays: Iterable[dt.date] = BR_HOLIDAYS_2024) -> Column:
-    """Weekday that is no holiday; NULL outside the years of the list.
+def is_business_day(d: ColumnOrName, holidays: Iterable[dt.date] | None = BR_HOLIDAYS_2024) -> Column:
+    """Weekday that is no holiday; NULL outside the years of the list. ``holidays=None``: by rule, any year.
 
     Fine for short lists; ``with_business_days`` has the same flag from its calendar join.
     """
     c = as_col(d)
+    if holidays is None:
+        return (F.weekday(c) < 5) & ~is_national_holiday(c)
     days = _checked(holidays)
     span = _years(days)
     known = F.lit(True) if span is None else (c >= F.lit(span[0])) & (c < F.lit(span[1]))

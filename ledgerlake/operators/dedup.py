@@ -1,6 +1,11 @@
 """Latest-row-per-key deduplication (the intermediate layer's job).
 
-Written as aggregates, not a window, so that a key holding a third of all rows
+``latest_per_key`` ranks rows in a window and keeps the first; Spark limits the groups before
+the shuffle already, so each task sends at most one row a key and a hot key costs one row a task. One
+scan, one exchange. It needs a sort of each task's rows by the key.
+
+``dedup_latest`` gives the same rows without sorting the input, for few and very large groups.
+It is written as aggregates, not a window, so that a key holding a third of all rows
 never lands whole in one task. First the greatest ordering value of each key
 is found by a hash aggregate on that column alone (partially aggregated, no
 sort). Rows that hold it, about one a key, are then reduced by
@@ -11,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -37,3 +42,15 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) ->
     out += [F.col(f"_best.o{i}").alias(c) for i, c in enumerate(order_by)]
     out += [F.col(f"_best.p{i}").alias(c) for i, c in enumerate(rest)]
     return best.select(*out).select(*df.columns)
+
+
+def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """The same choice as ``dedup_latest`` by ``row_number() = 1``.
+
+    NULL keys form a group of their own; NULL ordering values come last; the other columns
+    decide ties, greatest first, so that equal input gives equal output.
+    """
+    keys, order_by = list(keys), list(order_by)
+    rest = [c for c in df.columns if c not in keys and c not in order_by]
+    order = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*[F.col(f"`{c}`").desc_nulls_last() for c in [*order_by, *rest]])
+    return df.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")

@@ -38,8 +38,20 @@ def mart_fin_daily_summary(stg_transactions: DataFrame, *, run_ts: dt.datetime |
     One shuffle (on the two group keys) after a map-side partial aggregate;
     the repeated ``count_if(is_approved)`` is computed once by Catalyst.
     """
+    return daily_summary_of(daily_summary_partials(stg_transactions), run_ts=run_ts)
+
+
+DAILY_SUMMARY_KEYS = ("summary_date", "payment_method")
+
+
+def daily_summary_partials(stg_transactions: DataFrame) -> DataFrame:
+    """M6's additive part: counts and sums by date and payment method.
+
+    Partials of disjoint transactions add up (``add_daily_partials``), so they can be kept
+    as state and extended by new transactions alone.
+    """
     zero = F.lit(0).cast("decimal(18,2)")
-    daily = stg_transactions.groupBy(
+    return stg_transactions.groupBy(
         F.col("transaction_date").alias("summary_date"), F.col("payment_method")
     ).agg(
         F.count(F.lit(1)).alias("total_transactions"),
@@ -54,7 +66,17 @@ def mart_fin_daily_summary(stg_transactions: DataFrame, *, run_ts: dt.datetime |
         F.count(_approved("mdr_rate_pct")).alias("approved_rate_n"),
         F.count_if(F.col("is_installment") & F.col("is_approved")).alias("installment_transactions"),
     )
-    out = daily.select(
+
+
+def add_daily_partials(partials: DataFrame) -> DataFrame:
+    """Partials of the same date and payment method, added up; the types stay."""
+    sums = [F.sum(f.name).cast(f.dataType).alias(f.name) for f in partials.schema.fields if f.name not in DAILY_SUMMARY_KEYS]
+    return partials.groupBy(*DAILY_SUMMARY_KEYS).agg(*sums)
+
+
+def daily_summary_of(partials: DataFrame, *, run_ts: dt.datetime | None = None) -> DataFrame:
+    """M6's columns from its additive part."""
+    out = partials.select(
         "summary_date",
         "payment_method",
         "total_transactions",
@@ -187,16 +209,24 @@ def merchant_metrics(stg_transactions: DataFrame, stg_merchants: DataFrame) -> D
 OPERATIONS_KEYS = ("merchant_id", "acquirer")
 
 
-def transaction_operations(stg_transactions: DataFrame) -> DataFrame:
-    """M9. Day x merchant x acquirer, plus the monthly roll-up of the same rows.
+OPERATIONS_SUMS = ("total_transactions", "approved_transactions", "denied_transactions", "chargeback_transactions", "_tpv", "_mdr")
 
-    ``granularity`` ('daily' / 'monthly') is what the aggregate-only row policy
-    filters on. Transactions are aggregated once, by day; months add up the daily
-    rows (every measure is a sum). A filter on one granularity removes the
-    other branch, and a date filter on the daily rows reaches the scan.
+
+def operations_daily(stg_transactions: DataFrame, *, since: dt.date | str | None = None,
+                     until: dt.date | str | None = None) -> DataFrame:
+    """Day x merchant x acquirer sums: all that M9 needs of the transactions, and additive.
+
+    ``since`` and ``until`` (exclusive) bound the days at the scan. The table can be stored and
+    added to; both grains of M9 come from it.
     """
     zero = F.lit(0).cast("decimal(18,2)")
-    daily = stg_transactions.groupBy(F.col("transaction_date").alias("period_start"), *OPERATIONS_KEYS).agg(
+    day = F.col("transaction_date")
+    rows = stg_transactions
+    if since is not None:
+        rows = rows.where(day >= F.lit(since).cast("date"))
+    if until is not None:
+        rows = rows.where(day < F.lit(until).cast("date"))
+    return rows.groupBy(day.alias("period_start"), *OPERATIONS_KEYS).agg(
         F.count(F.lit(1)).alias("total_transactions"),
         F.count_if(F.col("is_approved")).alias("approved_transactions"),
         F.count_if(F.col("status") == "denied").alias("denied_transactions"),
@@ -204,12 +234,12 @@ def transaction_operations(stg_transactions: DataFrame) -> DataFrame:
         F.sum(unscaled(_approved("amount_brl").otherwise(zero))).alias("_tpv"),
         F.sum(unscaled(_approved("mdr_amount_brl").otherwise(zero))).alias("_mdr"),
     )
-    sums = ("total_transactions", "approved_transactions", "denied_transactions", "chargeback_transactions", "_tpv", "_mdr")
-    month = F.date_trunc("month", F.col("period_start")).cast("date")
-    monthly = daily.groupBy(month.alias("period_start"), *OPERATIONS_KEYS).agg(*[F.sum(c).alias(c) for c in sums])
-    both = daily.withColumn("granularity", F.lit("daily")).unionByName(monthly.withColumn("granularity", F.lit("monthly")))
-    both = both.withColumns({"tpv_brl": from_unscaled("_tpv"), "mdr_revenue_brl": from_unscaled("_mdr")})
-    return both.select(
+
+
+def _operations(rows: DataFrame) -> DataFrame:
+    """M9's columns from summed rows with their granularity."""
+    rows = rows.withColumns({"tpv_brl": from_unscaled("_tpv"), "mdr_revenue_brl": from_unscaled("_mdr")})
+    return rows.select(
         "granularity",
         "period_start",
         *OPERATIONS_KEYS,
@@ -224,6 +254,41 @@ def transaction_operations(stg_transactions: DataFrame) -> DataFrame:
     )
 
 
+def _by_month(daily: DataFrame) -> DataFrame:
+    month = F.date_trunc("month", F.col("period_start")).cast("date")
+    return daily.groupBy(month.alias("period_start"), *OPERATIONS_KEYS).agg(*[F.sum(c).alias(c) for c in OPERATIONS_SUMS])
+
+
+def operations_periods(daily: DataFrame) -> DataFrame:
+    """M9, both grains, from the daily sums: every daily row counts for its day and for its month.
+
+    The rows are doubled after the daily aggregate, so the transactions are scanned and
+    shuffled once, whatever is asked of the result; bounds belong in ``operations_daily``.
+    """
+    day, month = F.col("period_start"), F.date_trunc("month", F.col("period_start")).cast("date")
+    period = F.inline(F.array(F.struct(F.lit("daily").alias("granularity"), day.alias("period")),
+                              F.struct(F.lit("monthly").alias("granularity"), month.alias("period"))))
+    doubled = daily.select(period, *OPERATIONS_KEYS, *OPERATIONS_SUMS)
+    return _operations(doubled.groupBy("granularity", F.col("period").alias("period_start"), *OPERATIONS_KEYS)
+                       .agg(*[F.sum(c).alias(c) for c in OPERATIONS_SUMS]))
+
+
+def operations_monthly(stg_transactions: DataFrame, **bounds) -> DataFrame:
+    """M9's months alone: transactions, added up by day, then by month."""
+    return _operations(_by_month(operations_daily(stg_transactions, **bounds)).withColumn("granularity", F.lit("monthly")))
+
+
+def transaction_operations(stg_transactions: DataFrame) -> DataFrame:
+    """M9. Day x merchant x acquirer, plus the monthly roll-up of the same rows.
+
+    ``granularity`` ('daily' / 'monthly') is what the aggregate-only row policy
+    filters on. This form is for readers of one grain: a filter on it removes the other branch, and a
+    date filter on the daily rows reaches the scan. For both grains see ``operations_periods``.
+    """
+    daily = operations_daily(stg_transactions)
+    return _operations(daily.withColumn("granularity", F.lit("daily")).unionByName(_by_month(daily).withColumn("granularity", F.lit("monthly"))))
+
+
 def chargeback_metrics(stg_transactions: DataFrame) -> DataFrame:
     """M10. Month x payment method x acquirer: contested share of transactions."""
     zero = F.lit(0).cast("decimal(18,2)")
@@ -296,6 +361,6 @@ def acquisition_cost(stg_customers: DataFrame, marketing_costs: DataFrame) -> Da
 
 def current_contract_per_customer(stg_contracts: DataFrame) -> DataFrame:
     """M13 applied: each customer's latest contract (by date, then id)."""
-    from .dedup import dedup_latest
+    from .dedup import latest_per_key
 
-    return dedup_latest(stg_contracts, ["customer_id"], ["contract_date", "contract_id"])
+    return latest_per_key(stg_contracts, ["customer_id"], ["contract_date", "contract_id"])

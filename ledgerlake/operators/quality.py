@@ -12,7 +12,7 @@ total_rows, status) in a small DataFrame.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -280,3 +280,43 @@ def fk_coverage_many(child: DataFrame, child_name: str,
         "total_rows",
         F.when(F.col("orphan_rows") > 0, "error").otherwise("pass").alias("status"),
     )
+
+
+def fk_coverage_all(refs: Sequence[tuple[DataFrame, str, str, str]], parents: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """All foreign keys of a schema at once: refs are (child, child name, fk, parent name), parents are name -> (table, pk).
+
+    Every table is scanned once, whatever it is child or parent of: a row gives one narrow row per key it
+    holds, (parent, key, role). One hash aggregate by (parent, key) counts them per foreign key and
+    notes whether the parent has the key, so there is no join, and a key that holds a third
+    of the rows is counted in the tasks before the only shuffle. Keys are compared as text; a NULL key
+    counts towards the total only. Every foreign key has a result row, also of an empty child.
+    """
+    names = list(parents)
+    tables: list[tuple[DataFrame, list[Column]]] = []
+
+    def role(df: DataFrame, parent: str, key: str, ref: int) -> None:
+        held = F.struct(F.lit(names.index(parent)).alias("parent"), F.col(f"`{key}`").cast("string").alias("key"), F.lit(ref).alias("ref"))
+        for known, roles in tables:
+            if known is df:
+                roles.append(held)
+                return
+        tables.append((df, [held]))
+
+    for name, (df, pk) in parents.items():
+        role(df, name, pk, -1)
+    for i, (df, _, fk, parent) in enumerate(refs):
+        role(df, parent, fk, i)
+    keys = None
+    for df, roles in tables:
+        part = df.select(F.inline(F.array(*roles)))
+        keys = part if keys is None else keys.unionByName(part)
+    per_key = keys.groupBy("parent", "key").agg(
+        F.max((F.col("ref") == -1).cast("int")).alias("_hit"), *[F.count_if(F.col("ref") == i).alias(f"_n{i}") for i in range(len(refs))])
+    orphan = F.col("key").isNotNull() & (F.col("_hit") == 0)
+    sums = per_key.agg(*[a for i in range(len(refs)) for a in (
+        F.coalesce(F.sum(F.when(orphan, F.col(f"_n{i}"))), F.lit(0)).cast("bigint").alias(f"_o{i}"),
+        F.coalesce(F.sum(f"_n{i}"), F.lit(0)).cast("bigint").alias(f"_t{i}"))])
+    rows = sums.select(F.inline(F.array(*[F.struct(
+        F.lit(child).alias("child_table"), F.lit(fk).alias("fk_column"), F.lit(parent).alias("parent_table"),
+        F.col(f"_o{i}").alias("orphan_rows"), F.col(f"_t{i}").alias("total_rows")) for i, (_, child, fk, parent) in enumerate(refs)])))
+    return rows.withColumn("status", F.when(F.col("orphan_rows") > 0, "error").otherwise("pass"))

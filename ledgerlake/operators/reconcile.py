@@ -84,31 +84,44 @@ def compare_row_counts(old: DataFrame, new: DataFrame, table_name: str, period:
     )
 
 
+def _digest(c: str, side: Column) -> list[Column]:
+    """Order-free digest of a column: the two halves of its rows' hashes, added for one side and taken off for the other.
+
+    Both sums are 0 if and only if (but for a chance of 2**-64) both sides hold the same values, each as often.
+    Halves of 32 bits cannot overflow a BIGINT below 2**31 rows a key.
+    """
+    h = F.xxhash64(F.col(c), F.col(c).isNull())
+    return [F.sum(side * F.shiftright(h, 32)).alias(f"_hi_{c}"), F.sum(side * h.bitwiseAND(F.lit(0xFFFFFFFF).cast("bigint"))).alias(f"_lo_{c}")]
+
+
 def compare_relations(a: DataFrame, b: DataFrame, keys: Sequence[str],
                       compare: Sequence[str] | None = None) -> DataFrame:
     """Per key: only_in_a / only_in_b / changed / same / duplicate_key.
 
-    Each side is first reduced to one row per key (count + the greatest
-    compared values), so a key repeated on both sides can never multiply
-    into all its pairs; such a key is reported as ``duplicate_key``. Then one
-    full outer join on the key with NULL-safe comparisons; a changed row lists
-    the differing columns in ``changed_columns``.
+    Rows of both sides meet in one hash aggregate by key, which counts them and adds up a digest of
+    each compared column (``_digest``): no values are shuffled twice, nothing is sorted or
+    joined, and rows are combined before the exchange, so a key repeated on both sides neither
+    multiplies into pairs nor fills a task; it is reported as ``duplicate_key``. ``changed_columns``
+    lists the columns whose values differ (of a repeated key: differ as a collection). A key with a NULL
+    part matches nothing on the other side, as in a join.
     """
     keys = list(keys)
     compare = list(compare) if compare is not None else [c for c in a.columns if c not in keys]
-
-    def per_key(df: DataFrame, side: str) -> DataFrame:
-        vals = F.max(F.struct(*[F.col(c).alias(c) for c in compare])) if compare else F.lit(None)
-        out = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"_n_{side}"), vals.alias("_v"))
-        return out.select(*keys, f"_n_{side}", *[F.col(f"_v.{c}").alias(f"_{side}_{c}") for c in compare])
-
-    j = per_key(a, "a").join(per_key(b, "b"), keys, "full_outer")
-    diffs = [F.when(~F.col(f"_a_{c}").eqNullSafe(F.col(f"_b_{c}")), F.lit(c)) for c in compare]
-    changed = F.concat_ws(",", *diffs) if diffs else F.lit("")
-    both = F.col("_n_a").isNotNull() & F.col("_n_b").isNotNull()
+    side = F.col("_side")
+    rows = a.select(*keys, *compare, F.lit(1).cast("bigint").alias("_side")).unionByName(
+        b.select(*keys, *compare, F.lit(-1).cast("bigint").alias("_side")))
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
+    apart = F.when(null_key, side).otherwise(F.lit(0).cast("bigint"))
+    digests = [d for c in compare for d in _digest(c, side)]
+    j = rows.groupBy(*keys, apart.alias("_apart")).agg(
+        F.count_if(side == 1).alias("_n_a"), F.count_if(side == -1).alias("_n_b"), *digests)
+    changed = F.concat_ws(",", *[F.when((F.col(f"_hi_{c}") != 0) | (F.col(f"_lo_{c}") != 0), F.lit(c)) for c in compare]) if compare else F.lit("")
+    both = (F.col("_n_a") > 0) & (F.col("_n_b") > 0)
     status = (
-        F.when(F.col("_n_a").isNull(), "only_in_b")
-        .when(F.col("_n_b").isNull(), "only_in_a")
+        F.when(F.col("_n_a") == 0, "only_in_b")
+        .when(F.col("_n_b") == 0, "only_in_a")
         .when((F.col("_n_a") > 1) | (F.col("_n_b") > 1), "duplicate_key")
         .when(changed != "", "changed")
         .otherwise("same")

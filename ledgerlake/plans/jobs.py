@@ -1,9 +1,8 @@
 """Batch jobs: ingest raw CSVs, build the marts behind a blocking check gate.
 
 ``ingest``: per table, typed FAILFAST scan -> load stamp -> partitioned/clustered
-write that observes rows and NULLs of REQUIRED columns -> rename into place if there
-are none -> audit row; the
-tables load as concurrent jobs. A failing table is recorded and the others
+write that observes rows and NULLs of REQUIRED columns -> commit as the table's new
+version if there are none -> audit row; the tables load as concurrent jobs. A failing table is recorded and the others
 continue; the job raises at the end. Only one metrics row per table
 reaches the driver.
 
@@ -13,6 +12,10 @@ whole plan) -> run the checks on the staged copy -> write the check results
 -> raise if any failed (the published mart is left untouched) -> publish by
 renaming the staged folder into place: the mart is written once, and a
 crash leaves either the old or the new mart, beside a folder to clean up.
+
+``publish_mart`` does the same on a versioned table: stage, check, then commit the staged
+write by one manifest. Readers never meet a missing or mixed mart, and an earlier
+version can be read or restored. ``refresh_window`` recomputes a window of days that way.
 """
 
 from __future__ import annotations
@@ -28,9 +31,9 @@ from ..operators.reconcile import CheckFailed, assert_passed
 from ..schemas import RAW_TABLES
 from ..sources.audit import append_audit, audit_row
 from ..sources.catalog import Catalog
-from ..session import scratch_path
 from ..sources.files import raise_required, read_typed_csv, with_loaded_at
-from ..sources.sinks import WriteResult, move_into_place, write_table
+from ..sources.sinks import WriteResult, incremental_window, move_into_place, write_table
+from ..sources.versions import NO_DAY, Manifest, Staged, VersionedTable
 
 
 class LoadFailed(RuntimeError):
@@ -47,13 +50,14 @@ def _load_one(spark: SparkSession, catalog: Catalog, csv_root: str, name: str, *
     started = _now()
     try:
         df = read_typed_csv(spark, f"{csv_root.rstrip('/')}/{name}", name)
-        # One pass over the CSV: it is parsed into a load folder while NULLs of the
-        # required columns are counted; only a clean load replaces the table.
-        loading = scratch_path(spark, f"load-{name}")
-        res = write_table(with_loaded_at(df, load_ts), loading, partition_by=spec.partition_by,
-                          cluster_by=spec.cluster_by, count_nulls=spec.required)
+        # One pass over the CSV: it is parsed into a staged write while NULLs of the
+        # required columns are counted; only a clean load becomes the table's next version.
+        table = catalog.versioned("raw", name)
+        staged = table.stage(with_loaded_at(df, load_ts), partition_by=spec.partition_by,
+                             cluster_by=spec.cluster_by, count_nulls=spec.required)
+        res = staged.result
         raise_required(name, res.nulls)
-        catalog.publish("raw", name, loading)
+        table.commit(staged, f"run {run_id}")
         row = audit_row(spark, run_id=run_id, pipeline_name=pipeline_name, step=f"load_{name}",
                         status="success", rows_processed=res.rows, started_at=started, finished_at=_now())
         return name, res.rows, row
@@ -106,3 +110,40 @@ def build_mart(spark: SparkSession, mart: DataFrame, *, name: str, publish_path:
             raise CheckFailed(f"{name}: {e}; not published") from e
     move_into_place(spark, staging_path, publish_path)
     return WriteResult(publish_path, staged.rows)
+
+
+def _gate(spark: SparkSession, name: str, staged: DataFrame, checks: Callable[[DataFrame], DataFrame] | None,
+          results_path: str | None) -> None:
+    if checks is None:
+        return
+    results = checks(staged)
+    if results_path:
+        results.write.mode("overwrite").parquet(results_path)
+        results = spark.read.parquet(results_path)
+    try:
+        assert_passed(results)
+    except CheckFailed as e:
+        raise CheckFailed(f"{name}: {e}; not published") from e
+
+
+def publish_mart(table: VersionedTable, mart: DataFrame, *, name: str,
+                 checks: Callable[[DataFrame], DataFrame] | None = None, results_path: str | None = None,
+                 partition_by: str | None = None, cluster_by: Sequence[str] = (), arrange: bool = True) -> Manifest:
+    """Stage the mart, run the checks on the staged rows, commit it as the next version.
+
+    A failing check leaves the table as it was and raises; the check results are
+    written first, if a path is given.
+    """
+    staged: Staged = table.stage(mart, partition_by=partition_by, cluster_by=cluster_by, arrange=arrange)
+    _gate(table.spark, name, table.staged(staged), checks, results_path)
+    return table.commit(staged, f"mart {name}")
+
+
+def refresh_window(table: VersionedTable, mart: DataFrame, date_col: str, start: dt.date | str, *, name: str,
+                   checks: Callable[[DataFrame], DataFrame] | None = None, results_path: str | None = None,
+                   cluster_by: Sequence[str] = (), arrange: bool = True) -> Manifest:
+    """S17 behind the gate: the window's days are staged, checked, and replace the old ones by one commit."""
+    first = str(start)
+    staged = table.stage(incremental_window(mart, date_col, start), partition_by=date_col, cluster_by=cluster_by, arrange=arrange)
+    _gate(table.spark, name, table.staged(staged), checks, results_path)
+    return table.commit_days(staged, lambda d: d != NO_DAY and d >= first, f"mart {name} from {first}")

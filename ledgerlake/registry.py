@@ -17,13 +17,14 @@ from pyspark.sql import functions as F
 from .edge import to_edge
 from . import functions as fn
 from .operators import governance, marts, quality, reconcile, staging
-from .plans import dashboard, jobs, model
+from .plans import dashboard, jobs, model, semantic
 from .schemas import RAW_TABLES, TRANSACTIONS
 from .session import configure, scratch_path
 from .sources import audit, files, sinks
 from .sources.catalog import Catalog
 from .streaming import incremental
 from .sources.testviews import AS_OF, TestCatalog
+from .sources.versions import VersionedTable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 BUILDERS: dict[str, Callable[["Models"], DataFrame]] = {}  # the same queries over any Models
@@ -98,6 +99,10 @@ class Models:
     def operations(self) -> DataFrame:
         return marts.transaction_operations(self.transactions)
 
+    @cached_property
+    def operations_daily(self) -> DataFrame:
+        return marts.operations_daily(self.transactions)
+
     @cached_property
     def merchant_metrics(self) -> DataFrame:
         return marts.merchant_metrics(self.transactions, self.merchants)
@@ -162,7 +167,24 @@ def _merchant_metrics(m: Models) -> DataFrame:
 @register("transaction_operations")
 def _transaction_operations(m: Models) -> DataFrame:
     """M9: day and month x merchant x acquirer operations."""
-    return marts.transaction_operations(m.transactions)
+    return marts.operations_periods(m.operations_daily)
+
+
+@register("operations_window")
+def _operations_window(m: Models) -> DataFrame:
+    """Both grains of a window of days; the bounds reach the scan of the transactions."""
+    return marts.operations_periods(marts.operations_daily(m.transactions, since="2000-01-15", until="2000-07-10"))
+
+
+@register("operations_mart")
+def _operations_mart(m: Models) -> DataFrame:
+    """The daily sums stored as a versioned mart, both grains read back from it, from a given day on."""
+    table = VersionedTable(m.spark, _scratch(m, "operations"))
+    jobs.publish_mart(table, sinks.spread(m.operations_daily, "period_start"), name="operations_daily", partition_by="period_start", arrange=False)
+    return marts.operations_periods(table.read().where(F.col("period_start") >= F.lit(OPERATIONS_SINCE).cast("date")))
+
+
+OPERATIONS_SINCE = "2000-10-01"
 
 
 @register("chargeback_metrics")
@@ -266,6 +288,19 @@ def _business_days_calendar(m: Models) -> DataFrame:
     )
 
 
+@register("business_days_rule")
+def _business_days_rule(m: Models) -> DataFrame:
+    """F18/F19 by rule, without a list of holidays: contract terms moved over three centuries."""
+    years = (F.col("term_months") * 7 + F.col("days_past_due")) % 300 - 100
+    moved = m.contracts.select("contract_id", *[F.add_months(c, (years * 12).cast("int")).alias(c) for c in ("contract_date", "maturity_date")])
+    return moved.select(
+        "contract_id", "contract_date",
+        fn.holidays_between("contract_date", "maturity_date").alias("holidays"),
+        fn.business_days_exact("contract_date", "maturity_date", None).alias("business_days"),
+        fn.is_business_day("contract_date", None).alias("starts_on_business_day"),
+    )
+
+
 @register("monthly_to_annual")
 def _monthly_to_annual(m: Models) -> DataFrame:
     """compounded annual rate, 6 decimals."""
@@ -417,10 +452,9 @@ def _compare_relations(m: Models) -> DataFrame:
 def _fk_coverage(m: Models) -> DataFrame:
     """Orphan foreign keys behind every join of the marts and explores."""
     t, c, mer, ctr = m.transactions, m.customers, m.merchants, m.contracts
-    return (quality.fk_coverage_many(t, "transactions", [("merchant_id", mer, "merchants", "merchant_id"),
-                                                         ("customer_id", c, "customers", "customer_id")])
-            .unionByName(quality.fk_coverage(ctr, "credit_contracts", "customer_id", c, "customers", "customer_id"))
-            .unionByName(quality.fk_coverage(mer, "merchants", "customer_id", c, "customers", "customer_id")))
+    refs = [(t, "transactions", "merchant_id", "merchants"), (t, "transactions", "customer_id", "customers"),
+            (ctr, "credit_contracts", "customer_id", "customers"), (mer, "merchants", "customer_id", "customers")]
+    return quality.fk_coverage_all(refs, {"merchants": (mer, "merchant_id"), "customers": (c, "customer_id")})
 
 
 # --- governance -------------------------------------------------------------------
@@ -596,17 +630,45 @@ def _npl_rules(m: Models) -> DataFrame:
 @register("granted_fields")
 def _granted_fields(m: Models) -> DataFrame:
     """Contracts and exposure by product as each department may read them; a column without a grant is gone."""
+    # The contracts are summed once; what each department may see is decided on the sums' columns.
+    sums = m.contracts.groupBy("product_type").agg(F.count("*").alias("contracts"), F.sum("outstanding_balance_brl").cast("decimal(28,2)").alias("exposure_brl"))
+    may = {d: governance.visible_columns(sums.columns, {"exposure_brl": model.RISK}, governance.Principal.of(d)) for d in DEPARTMENTS}
+    shown = [F.struct(F.lit(d).alias("department"), *[(F.col(c) if c in may[d] else F.lit(None).cast(sums.schema[c].dataType)).alias(c) for c in sums.columns])
+             for d in DEPARTMENTS]
+    return sums.select(F.inline(F.array(*shown)))
+
+
+@register("explore_refusals")
+def _explore_refusals(m: Models) -> DataFrame:
+    """Every department asks two explores for their counts; the portfolio's refuses whoever lacks its grant."""
+    asks = {"credit_contracts": "credit_contracts.contract_count", "merchant_performance": "merchant_performance.merchant_count"}
     out = None
     for d in DEPARTMENTS:
-        visible = governance.select_granted(m.contracts.select("product_type", "outstanding_balance_brl"),
-                                            {"outstanding_balance_brl": model.RISK}, governance.Principal.of(d))
-        money = F.sum("outstanding_balance_brl") if "outstanding_balance_brl" in visible.columns else F.lit(None).cast("decimal(28,2)")
-        part = visible.groupBy("product_type").agg(F.count("*").alias("contracts"), money.cast("decimal(28,2)").alias("exposure_brl"))
-        part = part.select(F.lit(d).alias("department"), "product_type", "contracts", "exposure_brl")
-        out = part if out is None else out.unionByName(part)
+        for explore, measure in asks.items():
+            try:
+                answer = model.EXPLORES[explore].query(m, [measure], principal=governance.Principal.of(d)).toDF("answer")
+                part = answer.select(F.lit(d).alias("department"), F.lit(explore).alias("explore"), F.lit(False).alias("refused"), F.col("answer").cast("double").alias("answer"))
+            except governance.AccessDenied:
+                part = m.spark.range(1).select(F.lit(d).alias("department"), F.lit(explore).alias("explore"), F.lit(True).alias("refused"), F.lit(None).cast("double").alias("answer"))
+            out = part if out is None else out.unionByName(part)
     return out
 
 
+@register("refined_view")
+def _refined_view(m: Models) -> DataFrame:
+    """Q20: a view refined by a new dimension, a new measure and a replaced one, asked beside the plain one."""
+    plain = model.DAILY_FINANCIAL_SUMMARY
+    card = lambda: F.col("payment_method").isin("credit_card", "debit_card")
+    refined = plain.extend(
+        dimensions=[semantic.Dimension("channel", lambda: F.when(card(), "card").otherwise("transfer"))],
+        measures=[semantic.Measure("card_tpv_brl", "sum", lambda: F.when(card(), F.col("total_tpv_brl")).otherwise(F.lit(0).cast("decimal(18,2)"))),
+                  semantic.Measure("total_transactions", "sum", "approved_transactions")])
+    fields = ["summary_year", "channel", "total_tpv_brl", "card_tpv_brl", "total_transactions"]
+    of_refined = semantic.Explore("refined", refined).query(m, fields, principal=FINANCE)
+    of_plain = semantic.Explore("plain", plain).query(m, ["summary_year", "total_tpv_brl", "total_transactions"], principal=FINANCE)
+    return of_refined.withColumn("view", F.lit("refined")).unionByName(of_plain.withColumn("view", F.lit("plain")), allowMissingColumns=True)
+
+
 @register("masked_by_tag")
 def _masked_by_tag(m: Models) -> DataFrame:
     """Columns tagged restricted are masked, others pass."""
@@ -725,25 +787,84 @@ def _ingest_roundtrip(m: Models) -> DataFrame:
 
 @register("incremental_write")
 def _incremental_write(m: Models) -> DataFrame:
-    """The mart stored, then its window recomputed from transactions that lost every fifth day."""
-    path = _scratch(m, "incremental")
-    sinks.write_table(m.daily_summary, path, partition_by="summary_date")
-    fewer = marts.mart_fin_daily_summary(m.transactions.where(F.dayofmonth("transaction_date") % 5 != 0))
-    sinks.write_incremental(fewer, path, "summary_date", INCREMENTAL_START)
-    return m.spark.read.parquet(path).select(*m.daily_summary.columns)
+    """The mart stored, then its window recomputed from transactions that lost every fifth day, as one commit."""
+    table = VersionedTable(m.spark, _scratch(m, "incremental"))
+    table.overwrite(sinks.spread(m.daily_summary, "summary_date"), partition_by="summary_date", arrange=False)
+    table.replace_window(sinks.spread(_fewer_days(m), "summary_date"), "summary_date", INCREMENTAL_START, arrange=False)
+    return table.read()
+
+
+def _fewer_days(m: Models) -> DataFrame:
+    return marts.mart_fin_daily_summary(m.transactions.where(F.dayofmonth("transaction_date") % 5 != 0))
+
+
+def _content(df: DataFrame, label: str) -> DataFrame:
+    return df.agg(F.count("*").alias("rows"), F.sum("total_transactions").alias("transactions"),
+                  F.sum("total_tpv_brl").cast("decimal(28,2)").alias("tpv_brl")).select(F.lit(label).alias("step"), "rows", "transactions", "tpv_brl")
+
+
+@register("mart_gate")
+def _mart_gate(m: Models) -> DataFrame:
+    """Three attempts to publish the daily mart and what the table holds after each.
+
+    The whole mart passes its check against staging; the mart that lost every fifth day of the month is blocked,
+    and so is its window; the window of the whole mart passes again.
+    """
+    table = VersionedTable(m.spark, _scratch(m, "gated-mart"))
+    stg = m.transactions
+
+    def checks(staged: DataFrame, since: str | None = None) -> DataFrame:
+        return reconcile.tpv_daily_reconciliation(staged, stg if since is None else sinks.incremental_window(stg, "transaction_date", since))
+
+    def attempt(step: str, publish: Callable[[], object]) -> DataFrame:
+        try:
+            publish()
+            verdict = "published"
+        except reconcile.CheckFailed:
+            verdict = "blocked"
+        return _content(table.read(), step).withColumns({"verdict": F.lit(verdict), "versions": F.lit(len(table.versions())).cast("bigint")})
+
+    whole, fewer = (sinks.spread(d, "summary_date") for d in (m.daily_summary, _fewer_days(m)))
+    name, kw = "mart_fin_daily_summary", {"arrange": False}
+    window = lambda s: checks(s, INCREMENTAL_START)
+    steps = [
+        attempt("whole", lambda: jobs.publish_mart(table, whole, name=name, checks=checks, partition_by="summary_date", **kw)),
+        attempt("lost_days", lambda: jobs.publish_mart(table, fewer, name=name, checks=checks, partition_by="summary_date", **kw)),
+        attempt("lost_window", lambda: jobs.refresh_window(table, fewer, "summary_date", INCREMENTAL_START, name=name, checks=window, **kw)),
+        attempt("whole_window", lambda: jobs.refresh_window(table, whole, "summary_date", INCREMENTAL_START, name=name, checks=window, **kw)),
+    ]
+    out = steps[0]
+    for s in steps[1:]:
+        out = out.unionByName(s)
+    return out
+
+
+@register("table_versions")
+def _table_versions(m: Models) -> DataFrame:
+    """Every version of a table that was loaded, refreshed for a window, expired and rolled back, as read today."""
+    table = VersionedTable(m.spark, _scratch(m, "versions"))
+    table.overwrite(sinks.spread(m.daily_summary, "summary_date"), partition_by="summary_date", arrange=False)
+    table.replace_window(sinks.spread(_fewer_days(m), "summary_date"), "summary_date", INCREMENTAL_START, arrange=False)
+    table.expire_before(OPERATIONS_SINCE)
+    table.rollback(1)
+    table.vacuum()
+    out = None
+    for v, label in enumerate(("1 overwrite", "2 window", "3 expired", "4 rollback"), start=1):
+        part = _content(table.read(v), label)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @register("streaming_daily_summary")
 def _streaming_daily_summary(m: Models) -> DataFrame:
-    """Structured Streaming refresh of the daily summary, read back."""
-    landing, mart, ckpt = (_scratch(m, n) for n in ("landing", "stream-mart", "stream-ckpt"))
+    """Structured Streaming refresh of the daily summary: additive state of the days, read back as the mart."""
+    landing, state, ckpt = (_scratch(m, n) for n in ("landing", "stream-state", "stream-ckpt"))
     incremental.land(m.cat.transactions.select(*[f.name for f in TRANSACTIONS.fields]), landing)
-    q = incremental.start_refresh(m.spark, landing, mart, ckpt, max_files_per_trigger=25)
+    q = incremental.start_additive_refresh(m.spark, landing, state, ckpt, max_files_per_trigger=25)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    cols = marts.mart_fin_daily_summary(m.transactions).columns
-    return m.spark.read.parquet(mart).select(*cols)
+    return incremental.read_summary(VersionedTable(m.spark, state))
 
 
 # --- further inventory items ------------------------------------------------------

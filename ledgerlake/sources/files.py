@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,6 +112,61 @@ def jdbc_options(url: str, table: str, *, partition_column: str | None = None,
     return opts | dict(extra or {})
 
 
+ROWS_PER_READ = 1_000_000
+MAX_READS = 2_000  # connections that one scan opens over its life, not at once
+
+
+@dataclass(frozen=True)
+class SourceStats:
+    """What a source says about a numeric or date column: least and greatest value, rows, rows without a value."""
+
+    low: int | dt.date | dt.datetime | None
+    high: int | dt.date | dt.datetime | None
+    rows: int
+    nulls: int = 0
+
+
+def stats_query(table: str, column: str) -> str:
+    """S3: one row of statistics, computed by the source from its index or catalog."""
+    return f"SELECT MIN({column}) AS low, MAX({column}) AS high, COUNT(*) AS row_count, COUNT(*) - COUNT({column}) AS nulls FROM {table}"
+
+
+def plan_ranges(column: str, stats: SourceStats, *, rows_per_read: int = ROWS_PER_READ, max_reads: int = MAX_READS) -> list[str]:
+    """S3: predicates that cut a table into ranges of about ``rows_per_read`` rows.
+
+    Every row fulfils exactly one of them: ranges are half-open, the first and the last are open-ended (rows
+    that came after the statistics are read too), and rows without a value have one of their own.
+    A table of one read, or of one value, gives a single predicate.
+    """
+    if stats.rows <= 0 or stats.low is None:
+        return ["1 = 1"]
+    reads = min(max_reads, max(1, -(-(stats.rows - stats.nulls) // rows_per_read)))
+    low, high = stats.low, stats.high
+    if isinstance(low, dt.datetime):
+        unit, text = dt.timedelta(seconds=1), lambda v: f"TIMESTAMP '{v:%Y-%m-%d %H:%M:%S}'"
+    elif isinstance(low, dt.date):
+        unit, text = dt.timedelta(days=1), lambda v: f"DATE '{v:%Y-%m-%d}'"
+    else:
+        unit, text = 1, str
+    steps = (high - low) // unit + 1
+    reads = min(reads, steps)
+    cuts = [(steps * k) // reads for k in range(1, reads)]
+    marks = [text(low + unit * c) for c in cuts]
+    if not marks:
+        return ["1 = 1"]
+    ranges = [f"{column} < {marks[0]}", *[f"{column} >= {a} AND {column} < {b}" for a, b in zip(marks[:-1], marks[1:], strict=True)], f"{column} >= {marks[-1]}"]
+    return [*ranges, f"{column} IS NULL"]
+
+
+def read_jdbc_ranges(spark: SparkSession, url: str, table: str, column: str, *, properties: Mapping[str, str] | None = None,
+                     rows_per_read: int = ROWS_PER_READ, stats: SourceStats | None = None) -> DataFrame:
+    """S3: the whole table as one task per range, planned from the source's own statistics (needs a reachable database)."""
+    if stats is None:
+        row = spark.read.format("jdbc").options(url=url, query=stats_query(table, column), **dict(properties or {})).load().first()
+        stats = SourceStats(*row)
+    return spark.read.jdbc(url, table, predicates=plan_ranges(column, stats, rows_per_read=rows_per_read), properties=dict(properties or {}))
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, **kw) -> DataFrame:
     """S3: full-table scan of a relational source (needs a reachable database)."""
     return spark.read.format("jdbc").options(**jdbc_options(url, table, **kw)).load()

@@ -61,6 +61,15 @@ def clustered(df: DataFrame, partition_by: str | None, cluster_by: Sequence[str]
     return out.sortWithinPartitions(*keys)
 
 
+def spread(df: DataFrame, partition_by: str) -> DataFrame:
+    """Layout for few bytes in many day folders (a daily mart, a micro-batch).
+
+    Such a write costs by the folder, not by the byte, but AQE would coalesce it by bytes into one task
+    that creates every file in turn; here the days are dealt over all cores. Pass ``arrange=False`` on.
+    """
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, partition_by)
+
+
 def write_table(df: DataFrame, path: str, *, mode: str = "overwrite", partition_by: str | None = None,
                 cluster_by: Sequence[str] = (), dynamic: bool = False, fmt: str = "parquet",
                 num_partitions: int | None = None, count_nulls: Sequence[str] = (),

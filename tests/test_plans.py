@@ -13,7 +13,7 @@ from ledgerlake.sources import sinks
 
 SF = "/root/testdata/sf0.001"
 WRITES = {"csv_roundtrip", "partitioned_sink_roundtrip", "audit_append", "quarantine_split", "streaming_daily_summary",
-          "ingest_roundtrip", "incremental_write"}
+          "ingest_roundtrip", "incremental_write", "operations_mart", "mart_gate", "table_versions"}
 
 
 def _plan(df) -> str:
