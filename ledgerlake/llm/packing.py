@@ -11,7 +11,8 @@ takes the r-th slot for that length.
 Tokenising uses that white space followed by a word is a token boundary's
 unit: the tokenizer's splitting pattern never looks back, so a unit's ids do
 not depend on its surroundings. Each task encodes distinct units once. Texts
-with white space other than ASCII's are encoded whole.
+with white space other than ASCII's are encoded whole. The tokenizer is used as its file
+has it: the string of a special token in a text becomes that token.
 
 Defined results: a null or empty text is the single id 0; a document's last
 piece may be short, all others are MAX_LENGTH; ids and ranks are
@@ -55,7 +56,6 @@ class Units:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.clear()
 
     def clear(self) -> None:

@@ -18,7 +18,6 @@ from ledgerlake.llm.queries import QUERIES, tokenizer_path
 @pytest.fixture(scope="module")
 def tokenizer():
     t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
     return t
 
 
@@ -69,3 +68,12 @@ def test_empty_repeated_and_null_ids(spark, no_docs):
     assert p.pack(no_docs, tokenizer_path()).count() == 0
     rows = p.pack(spark.createDataFrame([(None, "a b"), (None, "a b"), (4, "c")], "doc_id long, text string"), tokenizer_path()).collect()
     assert len(rows) == 3 and len({(r.sequence_id, r.offset) for r in rows}) == 3
+
+
+def test_special_strings_as_the_tokenizer_file_has_them(spark):
+    """The contract's call, on whole texts."""
+    plain = Tokenizer.from_file(tokenizer_path())
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y  <|endoftext|>\n<|endoftext|>", "<|endoftext", " <|endoftext|> a"]
+    rows = p.pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), tokenizer_path(), with_ids=True).collect()
+    assert {r.doc_id: r.ids for r in rows} == {i: [*plain.encode(t, add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
+    assert [64, 220, 50256, 275, 0] in [r.ids for r in rows]

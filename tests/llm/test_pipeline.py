@@ -58,7 +58,6 @@ def test_stages_and_run(spark, pipeline, tmp_path_factory):
     weighed = {r.doc_id: r for r in mixing.weigh(results[2], pipeline.KEEP).collect()}
     assert set(rows_of(results[3])) == {i for i, r in weighed.items() if r.chosen}
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
     pack_brute(results[4].collect(), [(r.doc_id, r.text) for r in results[3].collect()], tokenizer)
     whole = sorted(map(tuple, pipeline.run(spark, SF).collect()))
     assert whole == sorted(map(tuple, results[4].collect()))
