@@ -10,7 +10,7 @@ takes the r-th slot for that length.
 
 Tokenising uses that white space followed by a word is a token boundary's
 unit: the tokenizer's splitting pattern never looks back, so a unit's ids do
-not depend on its surroundings. Each task encodes distinct units once. Texts
+not depend on its surroundings. A worker encodes distinct units once, up to ``CACHE_UNITS``. Texts
 with white space other than ASCII's are encoded whole. The tokenizer is used as its file
 has it: the string of a special token in a text becomes that token.
 
@@ -133,14 +133,16 @@ def units(run: Run) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc, start, end
 
 
+def _units(tokenizer: str) -> Units:
+    """One for all tasks of a worker: units met in one task are known in the next."""
+    if tokenizer not in _loaded:
+        _loaded[tokenizer] = Units(tokenizer)
+    return _loaded[tokenizer]
+
+
 def pieces(docs: DataFrame, tokenizer: str, max_length: int = MAX_LENGTH, with_ids: bool = False) -> DataFrame:
     """Every document's pieces: doc_id, start, length, ids_crc32, doc_tokens, and ids if asked for."""
 
-    def setup() -> Units:
-        if tokenizer not in _loaded:
-            _loaded[tokenizer] = Units(tokenizer)
-        return _loaded[tokenizer]
-
     def cut(part: pa.RecordBatch, run: Run, known: Units) -> pa.RecordBatch:
         ids, counts = known.encode(run)
         begin = np.concatenate([[0], np.cumsum(counts)])
@@ -160,7 +162,7 @@ def pieces(docs: DataFrame, tokenizer: str, max_length: int = MAX_LENGTH, with_i
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
-    return map_runs(docs, ["doc_id", "text"], cut, schema, setup=setup)
+    return map_runs(docs, ["doc_id", "text"], cut, schema, setup=lambda: _units(tokenizer))
 
 
 def shortest_pack_first(histogram: dict[int, int], max_length: int = MAX_LENGTH) -> list[tuple[int, list[int]]]:
