@@ -32,6 +32,7 @@ from ledgerlake.llm._text import Run, map_runs, record, shingles
 
 U64 = np.uint64
 FIT_DOCUMENTS = 4000
+CHAIN = 64  # lines of a chain in the fit
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 MIN_CONTENT_SHARE = 0.3
 _SYMBOL = np.zeros(256, dtype=bool)
@@ -167,8 +168,8 @@ def fit_crf(docs: DataFrame, labels: DataFrame, bound: int = FIT_DOCUMENTS, roun
     """Weights of the field from at most ``bound`` labelled documents.
 
     The likelihood of the chains is climbed by its gradient (forward-backward),
-    on lines labelled by their document's quality. Tasks send the features of at
-    most 32 lines a document (a fit sample, not a decision).
+    on lines labelled by their document's quality. Every line of a sampled document counts; long
+    documents are cut into chains of ``CHAIN`` lines, which bounds the fit's memory.
     """
     order = F.xxhash64(F.col("doc_id").cast("string"), F.lit("crf"))
     good = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
@@ -179,12 +180,15 @@ def fit_crf(docs: DataFrame, labels: DataFrame, bound: int = FIT_DOCUMENTS, roun
         lines = Lines(run)
         counts = np.bincount(lines.doc, minlength=run.n)
         begin = np.cumsum(counts) - counts
-        rows = [np.round(lines.features[b : b + min(c, 32)], 4).astype(np.float32).tobytes() for b, c in zip(begin, counts, strict=True)]
+        rows = [np.round(lines.features[b : b + c], 4).astype(np.float32).tobytes() for b, c in zip(begin, counts, strict=True)]
         return record(doc_id=part.column(0), quality=part.column(2), rows=pa.array(rows, pa.binary()))
 
     kind = sample.schema["quality"].dataType.simpleString()
     got = map_runs(sample, ["doc_id", "text", "quality"], lines_of, f"doc_id {sample.schema['doc_id'].dataType.simpleString()}, quality {kind}, rows binary").collect()
-    chains = [(np.frombuffer(r.rows, np.float32).reshape(-1, N_FEATURES).astype(float), 0 if r.quality else 1) for r in sorted(got, key=lambda r: (str(r.doc_id), bytes(r.rows))) if r.rows]
+    chains = []
+    for r in sorted(got, key=lambda r: (str(r.doc_id), bytes(r.rows))):
+        x = np.frombuffer(r.rows, np.float32).reshape(-1, N_FEATURES).astype(float)
+        chains += [(x[k : k + CHAIN], 0 if r.quality else 1) for k in range(0, len(x), CHAIN)]
     if len({y for _, y in chains}) < 2:
         return prior_crf()
     # Padded chains; label 1 is boilerplate and labels are constant within a document

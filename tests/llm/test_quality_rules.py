@@ -77,3 +77,26 @@ def test_fit_learns_junk_lines(spark, bound):
 
 def test_fit_without_labels(docs, spark):
     assert q.fit_crf(docs, spark.createDataFrame([], "doc_id long, quality int")) == q.prior_crf()
+
+
+def test_late_lines_are_learnt(spark):
+    """Junk that only stands after line 300 of bad documents shapes the fit as junk at their top does."""
+    import random
+
+    from ledgerlake.llm import quality_rules as q
+
+    r = random.Random(5)
+    prose = lambda: " ".join(r.choice(["some", "plain", "words", "of", "text", "that", "people", "read"]) for _ in range(14)) + "."
+    rows, labels = [], []
+    for i in range(60):
+        lines = [prose() for _ in range(310)]
+        if i % 2:
+            lines[302:] = ["$$$ ### 123 %%% |||"] * 40
+        rows.append((i, "\n".join(lines)))
+        labels.append((i, 1 - i % 2))
+    docs, known = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int")
+    crf = q.fit_crf(docs, known, rounds=30)
+    symbols = q.FEATURES.index("symbols")
+    assert crf["w"][symbols] > 0.2
+    cut = spark.createDataFrame([(i, "\n".join(t.split("\n")[:300])) for i, t in rows], "doc_id long, text string")
+    assert abs(q.fit_crf(cut, known, rounds=30)["w"][symbols]) < 0.05  # without them nothing tells
