@@ -295,3 +295,22 @@ def test_refused_explore_and_granted_columns(spark):
     assert {d for (d, e), no in rows.items() if no} == {"finance", "sales", "marketing"} and not any(no for (d, e), no in rows.items() if e == "merchant_performance")
     plan = initial(QUERIES["granted_fields"](spark, SF))
     assert plan.count("Scan parquet") == 1  # summed once for all departments
+
+
+def test_portfolio_sketches_merge(spark):
+    m = Models(spark, SF)
+    # halves that share customers, and a quarter of the contracts twice
+    parts = [marts.portfolio_partials(m.contracts.where(c), m.customers) for c in ("days_past_due < 60", "days_past_due >= 60", "days_past_due > 200")]
+    merged = marts.merge_portfolio_partials(parts[0].unionByName(parts[1]).unionByName(parts[2]), ["product_type"])
+    got = {r.product_type: (r.total_contracts, r.total_customers) for r in marts.portfolio_estimates(merged).collect()}
+    rows = marts.enriched_contracts(m.contracts, m.customers).where("is_active or is_npl").groupBy("product_type").agg(
+        F.count_distinct("contract_id").alias("k"), F.count_distinct("customer_id").alias("c")).collect()
+    assert set(got) == {r.product_type for r in rows} and len(rows) > 2
+    for r in rows:
+        assert abs(got[r.product_type][0] - r.k) <= 0.03 * r.k + 1 and abs(got[r.product_type][1] - r.c) <= 0.03 * r.c + 1
+    whole = {tuple(r)[:5]: r for r in marts.portfolio_estimates(marts.portfolio_partials(m.contracts, m.customers)).collect()}
+    for r in m.portfolio.collect():
+        e = whole[tuple(r[k] for k in marts.PORTFOLIO_KEYS)]
+        assert (e.total_outstanding_brl, e.npl_rate_pct, e.total_expected_loss_brl) == (r.total_outstanding_brl, r.npl_rate_pct, r.total_expected_loss_brl)
+    plan = initial(marts.portfolio_partials(m.contracts, m.customers))
+    assert "Expand" not in plan
