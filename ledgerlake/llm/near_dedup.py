@@ -15,7 +15,8 @@
    sets and union-find grouping (``_store.components``) merges the links;
    then its likeliest centre outside its group.
 5. Exact rest: buckets that still hold several groups are searched in blocks:
-   members outside the bucket's largest group, against all its members; again the
+   members outside the bucket's largest group, against all its members, as far as a second
+   exact bound, from parity sketches of the full sets, leaves room for a link; again the
    likeliest pair of each is verified first, then all whose ends are still
    apart. So a group of copies costs about two verifications a member however large
    it is, and no candidate of any bucket is left out.
@@ -54,6 +55,7 @@ PERCENT = 85
 MISS = 1e-6
 DEVIATIONS = 6.25
 BLOCK = 1024
+ODD_WORDS = 16  # of 64 bits, in a parity sketch of a shingle set
 
 
 def banding(percent: int) -> tuple[int, int]:
@@ -144,7 +146,11 @@ def _sets(part: pa.RecordBatch, run: Run) -> pa.RecordBatch:
     doc, value = shingle_sets(run)
     cut = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=run.n))])
     rows = [value[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
-    return record(doc_id=part.column(0).cast(pa.int64()), items=pa.array(rows, pa.binary()))
+    odd = np.zeros((run.n, ODD_WORDS), dtype=U64)
+    bit = value % U64(64 * ODD_WORDS)
+    np.bitwise_xor.at(odd, (doc, (bit >> U64(6)).astype(np.int64)), U64(1) << (bit & U64(63)))
+    odds = pa.ListArray.from_arrays(np.arange(0, run.n * ODD_WORDS + 1, ODD_WORDS, dtype=np.int32), pa.array(odd.ravel().astype(np.int64)))
+    return record(doc_id=part.column(0).cast(pa.int64()), items=pa.array(rows, pa.binary()), odd=odds)
 
 
 def _linked(percent: int):
@@ -183,6 +189,19 @@ def _near(percent: int):
     return (most * 100 >= (most + F.col("lone") + F.col("lone2")) * percent) & (F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent) & (_differ() <= sketch_bits(percent))
 
 
+def _odd_near(percent: int):
+    """Whether the parities of two sets leave room for a link.
+
+    A bit in which the parity sketches differ needs an element that only one of the sets holds, so
+    the differing bits are at most the size of the symmetric difference, which a link bounds by
+    (100 - percent) / (100 + percent) of both sizes. No link is lost, whatever the sets.
+    """
+    differing = F.lit(0)
+    for k in range(ODD_WORDS):
+        differing = differing + F.bit_count(F.get("odd", F.lit(k)).bitwiseXOR(F.get("odd2", F.lit(k))))
+    return differing * (100 + percent) <= (F.col("held") + F.col("held2")) * (100 - percent)
+
+
 def _items(batches):
     for batch in batches:
         sizes = pa.compute.binary_length(batch.column(1)).to_numpy() // 8
@@ -219,7 +238,7 @@ def linked_groups(docs: DataFrame, heads: DataFrame, percent: int = PERCENT) ->
     members = keys.join(shared, "key").select("key", "rep", (mark == F.col("head")).alias("head"))
     members = stored(members.join(heads.select("rep", "n", "s1", "s2"), "rep"), "buckets")
     texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text")
-    sets = stored(map_runs(texts.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), ["doc_id", "text"], _sets, "doc_id long, items binary"), "sets")
+    sets = stored(map_runs(texts.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), ["doc_id", "text"], _sets, "doc_id long, items binary, odd array<long>"), "sets")
     members = stored(members.join(lone_items(sets), "rep", "left").fillna(0, ["lone"]), "members")
     # a star in each bucket, around a member taken at random: first each member's likeliest centre
     star = members.where("NOT head").join(_other(members.where("head")), "key").where(_near(percent) & (F.col("rep") != F.col("a")))
@@ -232,11 +251,12 @@ def linked_groups(docs: DataFrame, heads: DataFrame, percent: int = PERCENT) ->
     groups = merged(groups, verified(second, sets, percent))
     # what is left: buckets of several components, searched in blocks
     labelled = _labelled(members, groups)
-    rest = stored(labelled.join(_opened(members, groups), "key"), "open_buckets")
+    odd = sets.select(F.col("doc_id").alias("rep"), "odd", F.expr("length(items) div 8").alias("held"))
+    rest = stored(labelled.join(_opened(members, groups), "key").join(odd, "rep"), "open_buckets")
     block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    base = rest.select("key", block.alias("block"), F.col("rep").alias("a"), F.col("component").alias("other"), F.col("n").alias("n2"), F.col("lone").alias("lone2"), F.col("s1").alias("t1"), F.col("s2").alias("t2"), "largest")
-    asked = rest.where("component <> largest").select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "rep", "component", "n", "lone", "s1", "s2")
-    cross = asked.join(base, ["key", "block"]).where((F.col("component") != F.col("other")) & ((F.col("other") == F.col("largest")) | (F.col("a") < F.col("rep"))) & _near(percent))
+    base = rest.select("key", block.alias("block"), F.col("rep").alias("a"), F.col("component").alias("other"), F.col("n").alias("n2"), F.col("lone").alias("lone2"), F.col("s1").alias("t1"), F.col("s2").alias("t2"), "largest", F.col("odd").alias("odd2"), F.col("held").alias("held2"))
+    asked = rest.where("component <> largest").select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "rep", "component", "n", "lone", "s1", "s2", "odd", "held")
+    cross = asked.join(base, ["key", "block"]).where((F.col("component") != F.col("other")) & ((F.col("other") == F.col("largest")) | (F.col("a") < F.col("rep"))) & _near(percent) & _odd_near(percent))
     cross = cross.select("a", F.col("rep").alias("b"), _differ().alias("differ")).distinct()
     for seen in (tested, second):
         cross = cross.join(seen.select("a", "b"), ["a", "b"], "left_anti").join(seen.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
