@@ -798,6 +798,11 @@ def _fewer_days(m: Models) -> DataFrame:
     return marts.mart_fin_daily_summary(m.transactions.where(F.dayofmonth("transaction_date") % 5 != 0))
 
 
+def _with_month(mart: DataFrame) -> DataFrame:
+    """A daily mart of few rows a day is kept by month."""
+    return mart.withColumn("summary_month", F.date_trunc("month", "summary_date").cast("date"))
+
+
 def _content(df: DataFrame, label: str) -> DataFrame:
     return df.agg(F.count("*").alias("rows"), F.sum("total_transactions").alias("transactions"),
                   F.sum("total_tpv_brl").cast("decimal(28,2)").alias("tpv_brl")).select(F.lit(label).alias("step"), "rows", "transactions", "tpv_brl")
@@ -824,14 +829,13 @@ def _mart_gate(m: Models) -> DataFrame:
             verdict = "blocked"
         return _content(table.read(), step).withColumns({"verdict": F.lit(verdict), "versions": F.lit(len(table.versions())).cast("bigint")})
 
-    whole, fewer = (sinks.spread(d, "summary_date") for d in (m.daily_summary, _fewer_days(m)))
-    name, kw = "mart_fin_daily_summary", {"arrange": False}
+    whole, fewer, name = _with_month(m.daily_summary), _with_month(_fewer_days(m)), "mart_fin_daily_summary"
     window = lambda s: checks(s, INCREMENTAL_START)
     steps = [
-        attempt("whole", lambda: jobs.publish_mart(table, whole, name=name, checks=checks, partition_by="summary_date", **kw)),
-        attempt("lost_days", lambda: jobs.publish_mart(table, fewer, name=name, checks=checks, partition_by="summary_date", **kw)),
-        attempt("lost_window", lambda: jobs.refresh_window(table, fewer, "summary_date", INCREMENTAL_START, name=name, checks=window, **kw)),
-        attempt("whole_window", lambda: jobs.refresh_window(table, whole, "summary_date", INCREMENTAL_START, name=name, checks=window, **kw)),
+        attempt("whole", lambda: jobs.publish_mart(table, whole, name=name, checks=checks, partition_by="summary_month")),
+        attempt("lost_days", lambda: jobs.publish_mart(table, fewer, name=name, checks=checks, partition_by="summary_month")),
+        attempt("lost_window", lambda: jobs.refresh_window(table, fewer, "summary_month", INCREMENTAL_START, name=name, checks=window)),
+        attempt("whole_window", lambda: jobs.refresh_window(table, whole, "summary_month", INCREMENTAL_START, name=name, checks=window)),
     ]
     out = steps[0]
     for s in steps[1:]:
@@ -843,8 +847,8 @@ def _mart_gate(m: Models) -> DataFrame:
 def _table_versions(m: Models) -> DataFrame:
     """Every version of a table that was loaded, refreshed for a window, expired and rolled back, as read today."""
     table = VersionedTable(m.spark, _scratch(m, "versions"))
-    table.overwrite(sinks.spread(m.daily_summary, "summary_date"), partition_by="summary_date", arrange=False)
-    table.replace_window(sinks.spread(_fewer_days(m), "summary_date"), "summary_date", INCREMENTAL_START, arrange=False)
+    table.overwrite(_with_month(m.daily_summary), partition_by="summary_month")
+    table.replace_window(_with_month(_fewer_days(m)), "summary_month", INCREMENTAL_START)
     table.expire_before(OPERATIONS_SINCE)
     table.rollback(1)
     table.vacuum()
