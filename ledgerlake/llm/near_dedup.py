@@ -13,7 +13,8 @@
    standard deviations away from any true link).
 4. Each document's likeliest centre (by sketch) is verified on full shingle
    sets and union-find grouping (``_store.components``) merges the links;
-   then its likeliest centre outside its group.
+   then its likeliest centre outside its group; in buckets that still hold several groups,
+   ``STARS`` further stars around random members of the largest one.
 5. Exact rest: buckets that still hold several groups are searched in blocks:
    members outside the bucket's largest group, against all its members, as far as a second
    exact bound, from parity sketches of the full sets, leaves room for a link; again the
@@ -55,6 +56,8 @@ PERCENT = 85
 MISS = 1e-6
 DEVIATIONS = 6.25
 BLOCK = 1024
+FILTER_BITS = 1 << 26  # of the bitmap of documents in shared buckets
+STARS = 4  # further stars in buckets that still hold several groups
 ODD_WORDS = 16  # of 64 bits, in a parity sketch of a shingle set
 
 
@@ -230,6 +233,23 @@ def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     return labelled_ends(pairs, groups).where("of_a <> of_b").drop("of_a", "of_b")
 
 
+def _maybe(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``texts`` whose doc_id can be among ``ids``, told by a bitmap of hashed ids.
+
+    The bitmap has ``FILTER_BITS`` bits whatever the corpus (8 MB, so it may be broadcast); a text that no bucket
+    shares is then not shuffled. An exact join follows: a full bitmap costs its effect, never a row.
+    """
+
+    def hashed(c: str):
+        return F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(FILTER_BITS))
+
+    part, bit = F.expr("_h div 32768"), F.expr("_h % 32768")
+    held = ids.select(hashed("rep").alias("_h")).groupBy(part.alias("_part")).agg(F.bitmap_construct_agg(bit).alias("_bits"))
+    marked = texts.withColumn("_h", hashed("doc_id")).withColumn("_part", part).join(F.broadcast(held), "_part")
+    byte = F.conv(F.hex(F.expr("substring(_bits, int(_h % 32768 div 8) + 1, 1)")), 16, 10).cast("int")
+    return marked.where(byte.bitwiseAND(F.expr("shiftleft(1, int(_h % 8))")) != 0).select(*texts.columns)
+
+
 def linked_groups(docs: DataFrame, heads: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(node, component) of the representatives ``heads`` (rep, n, s1, s2, bands) that have a link."""
     keys = heads.select("rep", F.explode("bands").alias("key"))
@@ -238,6 +258,7 @@ def linked_groups(docs: DataFrame, heads: DataFrame, percent: int = PERCENT) ->
     members = keys.join(shared, "key").select("key", "rep", (mark == F.col("head")).alias("head"))
     members = stored(members.join(heads.select("rep", "n", "s1", "s2"), "rep"), "buckets")
     texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text")
+    texts = _maybe(texts, members.select("rep"))
     sets = stored(map_runs(texts.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), ["doc_id", "text"], _sets, "doc_id long, items binary, odd array<long>"), "sets")
     members = stored(members.join(lone_items(sets), "rep", "left").fillna(0, ["lone"]), "members")
     # a star in each bucket, around a member taken at random: first each member's likeliest centre
@@ -249,16 +270,29 @@ def linked_groups(docs: DataFrame, heads: DataFrame, percent: int = PERCENT) ->
     second = stored(_best(_apart(star, groups)), "second")
     sets = stored(sets.join(members.join(_opened(members, groups).select("key"), "key", "left_semi").select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), "open_sets")
     groups = merged(groups, verified(second, sets, percent))
-    # what is left: buckets of several components, searched in blocks
-    labelled = _labelled(members, groups)
+    # buckets of several components: further stars, each around a random member of the bucket's largest one
     odd = sets.select(F.col("doc_id").alias("rep"), "odd", F.expr("length(items) div 8").alias("held"))
-    rest = stored(labelled.join(_opened(members, groups), "key").join(odd, "rep"), "open_buckets")
+    members = stored(members.join(_opened(members, groups).select("key"), "key", "left_semi").join(odd, "rep"), "open_members")
+    tried = [tested, second]
+    for k in range(STARS):
+        labelled = stored(_labelled(members, groups).join(_opened(members, groups), "key"), "open_buckets")
+        mark = F.xxhash64("rep", "key", F.lit(k))
+        centre = labelled.where("component = largest").groupBy("key").agg(F.min_by(F.struct("rep", "n", "lone", "s1", "s2", "odd", "held"), mark).alias("c"))
+        around = centre.select("key", F.col("c.rep").alias("a"), F.col("c.n").alias("n2"), F.col("c.lone").alias("lone2"), F.col("c.s1").alias("t1"), F.col("c.s2").alias("t2"), F.col("c.odd").alias("odd2"), F.col("c.held").alias("held2"))
+        pairs = labelled.where("component <> largest").join(around, "key").where(_near(percent) & _odd_near(percent))
+        near = stored(_best(pairs.select("a", F.col("rep").alias("b"), _differ().alias("differ"))), "more")
+        if near.isEmpty():
+            break
+        groups = merged(groups, verified(near, sets, percent))
+        tried.append(near)
+    # what is left is searched in blocks
+    rest = stored(_labelled(members, groups).join(_opened(members, groups), "key"), "open_buckets")
     block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     base = rest.select("key", block.alias("block"), F.col("rep").alias("a"), F.col("component").alias("other"), F.col("n").alias("n2"), F.col("lone").alias("lone2"), F.col("s1").alias("t1"), F.col("s2").alias("t2"), "largest", F.col("odd").alias("odd2"), F.col("held").alias("held2"))
     asked = rest.where("component <> largest").select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "rep", "component", "n", "lone", "s1", "s2", "odd", "held")
     cross = asked.join(base, ["key", "block"]).where((F.col("component") != F.col("other")) & ((F.col("other") == F.col("largest")) | (F.col("a") < F.col("rep"))) & _near(percent) & _odd_near(percent))
     cross = cross.select("a", F.col("rep").alias("b"), _differ().alias("differ")).distinct()
-    for seen in (tested, second):
+    for seen in tried:
         cross = cross.join(seen.select("a", "b"), ["a", "b"], "left_anti").join(seen.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
     cross = stored(cross, "cross")
     if cross.isEmpty():
