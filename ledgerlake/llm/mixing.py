@@ -11,7 +11,7 @@ Targets by default flatten the observed shares (share ** temperature) of the
 ``MAX_SOURCES`` largest sources and ``MAX_LANGS`` languages; all others, and
 nulls, are one category each; topics are flattened within their language. So the cells that reach the driver are bounded by
 these parameters. Topics come from spherical k-means over hashed words,
-fitted on at most ``FIT_DOCUMENTS`` documents and applied to all.
+fitted on all documents that have words.
 
 Defined results: tokens are words and at least 1 a document, so that an empty
 or null text keeps its chance; null source or language is its category;
@@ -19,12 +19,15 @@ rows of equal doc_id share a draw; an empty table gives an empty result; an
 unreachable target (a category without tokens) is left out and the others
 renormalised. ``mix`` keeps all columns; ``probabilities`` drops other ones.
 
-Scale: one pass over the texts that writes 50 bytes a document; sums per cell are
+Scale: one pass over the texts that writes a vector of 512 bytes a document before compression;
+the topics' starts and rounds read these, at most 23 times, and shuffle a few thousand sums a task. Sums per cell are
 partial aggregates; the probability table (bounded as above) is broadcast.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,62 +38,108 @@ from ledgerlake.llm._text import Run, map_runs, record
 
 U64 = np.uint64
 MAX_SOURCES, MAX_LANGS, TOPICS = 64, 32, 8
-FIT_DOCUMENTS = 2000
 DIMENSIONS = 256
+SCALE = 16384  # steps of a vector's unit length, so that sums of vectors are exact
 TEMPERATURE = {"source": 0.7, "lang": 0.8, "topic": 0.8}
 KEEP = 0.5
 OTHER = "(other)"
 
 
 def _vectors(run: Run) -> tuple[np.ndarray, np.ndarray]:
-    """Unit vectors of hashed lower-cased word counts (square roots), and word counts."""
+    """Unit vectors of hashed lower-cased word counts (square roots) in steps of 1 / SCALE, and word counts."""
     doc, start, end = run.words()
     at = (run.hashes(start, end, lower=True) >> U64(56)).astype(np.int64)
     x = np.sqrt(np.bincount(doc * DIMENSIONS + at, minlength=run.n * DIMENSIONS).reshape(run.n, DIMENSIONS))
-    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9), np.bincount(doc, minlength=run.n)
+    return np.rint(x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9) * SCALE).astype(np.int16), np.bincount(doc, minlength=run.n)
 
 
-def fit_topics(docs: DataFrame, topics: int = TOPICS, bound: int = FIT_DOCUMENTS, rounds: int = 15) -> np.ndarray:
-    """Topic centres (topics, DIMENSIONS) from the ``bound`` documents of smallest hashed id."""
-    order = F.xxhash64(F.col("doc_id").cast("string"), F.lit("topics"))
-    picked = docs.where("doc_id IS NOT NULL").select("doc_id").orderBy(order, "doc_id").limit(bound).distinct()
+def vectors(docs: DataFrame) -> DataFrame:
+    """doc_id, source, lang, n_tokens and x, the vector's bytes, of every document."""
 
     def rows(part: pa.RecordBatch, run: Run) -> pa.RecordBatch:
-        x, _ = _vectors(run)
-        return record(doc_id=part.column(0).cast(pa.string()), x=pa.array([v.astype(np.float32).tobytes() for v in x], pa.binary()))
+        x, n = _vectors(run)
+        return record(doc_id=part.column(0), source=part.column(2), lang=part.column(3), n_tokens=np.maximum(n, 1).astype(np.int64), x=pa.array([v.tobytes() for v in x], pa.binary()))
+
+    kinds = {c: docs.schema[c].dataType.simpleString() for c in ("doc_id", "source", "lang")}
+    return map_runs(docs, ["doc_id", "text", "source", "lang"], rows, f"doc_id {kinds['doc_id']}, source {kinds['source']}, lang {kinds['lang']}, n_tokens long, x binary")
+
+
+def _unpacked(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(v.as_buffer() for v in column), np.int16).reshape(len(column), DIMENSIONS)
+
+
+def _far(centres: np.ndarray):
+    """Of each batch of (x, u): the document that a draw by squared distance to the centres takes first."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = _unpacked(batch.column(0))
+            away = np.maximum(1 - (x @ centres.T / SCALE).max(axis=1), 0) if len(centres) else np.ones(len(x))
+            wait = -np.log(batch.column(1).to_numpy()) / np.maximum(np.where(x.any(axis=1), away, 0), 1e-12)
+            first = np.lexsort([*x.T[::-1], wait])[:1] if len(x) else []
+            found = [k for k in first if x[k].any() and away[k] > 1e-6]
+            yield record(wait=wait[found], x=pa.array([x[k].tobytes() for k in found], pa.binary()))
+
+    return task
+
+
+def _sums(centres: np.ndarray):
+    """Of each task's documents (x): per topic and dimension the sum of vectors, in whole steps."""
 
-    got = sorted((r.doc_id, bytes(r.x)) for r in map_runs(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id"), ["doc_id", "text"], rows, "doc_id string, x binary").collect())
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(centres), DIMENSIONS), np.int64)
+        for batch in batches:
+            x = _unpacked(batch.column(0))
+            own = (x @ centres.T).argmax(axis=1)
+            for k in range(len(centres)):
+                total[k] += x[own == k].sum(axis=0, dtype=np.int64)
+        cell = np.flatnonzero(total)
+        yield record(cell=cell.astype(np.int32), total=total.ravel()[cell])
+
+    return task
+
+
+def fit_topics(found: DataFrame, topics: int = TOPICS, rounds: int = 15) -> np.ndarray:
+    """Topic centres (topics, DIMENSIONS) of all documents of ``vectors`` that have words.
+
+    Each start is drawn by squared distance to those before it (k-means++); the draw is a race of waiting
+    times from hashes of doc_id, so it depends on neither partitions nor order. A round sums whole
+    numbers per topic, which add up alike in any order; only these sums reach the driver.
+    """
+    u = (F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("topics")), F.lit(1 << 53)) + 1) / F.lit(float((1 << 53) + 1))
+    drawn = found.select("x", u.alias("u"))
+    chosen = np.zeros((0, DIMENSIONS))
+    for _ in range(topics):
+        top = drawn.mapInArrow(_far(chosen), "wait double, x binary").orderBy("wait", "x").limit(1).collect()
+        if not top:
+            break
+        chosen = np.vstack([chosen, np.frombuffer(bytes(top[0].x), np.int16) / SCALE])
     centres = np.zeros((topics, DIMENSIONS))
     centres[np.arange(topics), np.arange(topics)] = 1.0
-    if not got:
-        return centres
-    x = np.stack([np.frombuffer(v, np.float32) for _, v in got]).astype(float)
-    # spread-out start: each centre is the vector least like those before it
-    chosen = [0]
-    like = x @ x[0]
-    for _ in range(min(topics, len(x)) - 1):
-        chosen.append(int(like.argmin()))
-        like = np.maximum(like, x @ x[chosen[-1]])
-    centres[: len(chosen)] = x[chosen]
-    for _ in range(rounds):
-        own = (x @ centres.T).argmax(axis=1)
-        for k in range(topics):
-            total = x[own == k].sum(axis=0)
-            if np.linalg.norm(total) > 0:
-                centres[k] = total / np.linalg.norm(total)
-    return np.round(centres, 6)
+    centres[: len(chosen)] = chosen
+    for _ in range(rounds if len(chosen) else 0):
+        total = np.zeros(topics * DIMENSIONS)
+        for r in found.select("x").mapInArrow(_sums(centres), "cell int, total long").groupBy("cell").agg(F.sum("total").alias("total")).collect():  # topics * DIMENSIONS at most
+            total[r.cell] = r.total
+        total = total.reshape(topics, DIMENSIONS)
+        size = np.linalg.norm(total, axis=1, keepdims=True)
+        moved = np.round(np.where(size > 0, total / np.maximum(size, 1e-300), centres), 6)
+        if (moved == centres).all():
+            break
+        centres = moved
+    return centres
 
 
-def measure(docs: DataFrame, centres: np.ndarray) -> DataFrame:
-    """doc_id, source, lang, topic and n_tokens of every document."""
+def measure(found: DataFrame, centres: np.ndarray) -> DataFrame:
+    """doc_id, source, lang, topic and n_tokens of every document of ``vectors``."""
 
-    def rows(part: pa.RecordBatch, run: Run) -> pa.RecordBatch:
-        x, n = _vectors(run)
-        topic = (x @ centres.T).argmax(axis=1)
-        return record(doc_id=part.column(0), source=part.column(2), lang=part.column(3), topic=topic.astype(np.int32), n_tokens=np.maximum(n, 1).astype(np.int64))
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            topic = (_unpacked(batch.column(4)) @ centres.T).argmax(axis=1)
+            yield record(doc_id=batch.column(0), source=batch.column(1), lang=batch.column(2), topic=topic.astype(np.int32), n_tokens=batch.column(3))
 
-    kinds = {c: docs.schema[c].dataType.simpleString() for c in ("doc_id", "source", "lang")}
-    return map_runs(docs, ["doc_id", "text", "source", "lang"], rows, f"doc_id {kinds['doc_id']}, source {kinds['source']}, lang {kinds['lang']}, topic int, n_tokens long")
+    kinds = {c: found.schema[c].dataType.simpleString() for c in ("doc_id", "source", "lang")}
+    return found.select("doc_id", "source", "lang", "n_tokens", "x").mapInArrow(task, f"doc_id {kinds['doc_id']}, source {kinds['source']}, lang {kinds['lang']}, topic int, n_tokens long")
 
 
 def _reachable(goal: np.ndarray, most: np.ndarray) -> np.ndarray:
@@ -198,7 +247,8 @@ def chosen(seed: str = "mixing"):
 
 def weigh(docs: DataFrame, keep: float = KEEP, targets: dict[str, dict[str, float]] | None = None) -> DataFrame:
     """Per document: doc_id, source, lang, topic, n_tokens, probability, chosen."""
-    measured = stored(measure(docs, fit_topics(docs)), "measured")
+    found = stored(vectors(docs), "vectors")
+    measured = stored(measure(found, fit_topics(found)), "measured")
     return probabilities(measured, keep, targets).withColumn("chosen", chosen())
 
 

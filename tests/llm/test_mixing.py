@@ -59,3 +59,23 @@ def test_given_targets(spark):
     out = m.weigh(frame, keep=0.1, targets={"source": {"a": 0.5, "b": 0.5}})
     got = {r.source: r.e for r in out.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("probability")).alias("e")).collect()}
     assert got["a"] == pytest.approx(got["b"], rel=1e-4) and sum(got.values()) == pytest.approx(0.1 * 6000, rel=1e-4)
+
+
+def test_topics_come_from_all_documents(spark):
+    """A word field that none of the first thousands of documents (by hash) has gets a topic of its own."""
+    rows = [(i, " ".join(f"{'ab'[i % 2]}{(i * 7 + k) % 9}" for k in range(12)), "s", "en") for i in range(6000)]
+    order = {r[0]: h for r, h in zip(rows, (r.h for r in spark.createDataFrame([(r[0],) for r in rows], "doc_id long").select(F.xxhash64(F.col("doc_id").cast("string"), F.lit("topics")).alias("h")).collect()), strict=True)}
+    late = set(sorted(order, key=order.get)[2500:])
+    rows = [(i, " ".join(f"late{(i + k) % 9}" for k in range(12)) if i in late and i % 3 == 0 else t, s, g) for i, t, s, g in rows]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    topic = {r.doc_id: r.topic for r in m.weigh(frame).collect()}
+    held = {i for i, t, _, _ in rows if t.startswith("late")}
+    assert not {topic[i] for i in held} & {topic[i] for i in topic if i not in held}
+    # neither partitions nor the order of rows matter, and every document with words counts in the sums
+    again = m.vectors(frame.orderBy(F.desc("text")).repartition(7))
+    centres = m.fit_topics(again)
+    assert {r.doc_id: r.topic for r in m.measure(again, centres).collect()} == topic
+    x = {r.doc_id: np.frombuffer(bytes(r.x), np.int16).astype(float) for r in again.collect()}
+    for k in set(topic.values()):
+        total = sum(x[i] for i in topic if topic[i] == k)
+        assert np.abs(total / np.linalg.norm(total) - centres[k]).max() < 1e-3
