@@ -9,8 +9,7 @@ kind's calibrated threshold; secrets of an unmistakable form (``SURE``) are adde
 without asking. Base spans always stay; added ones never overlap them. No span is too
 long to be found whole.
 
-The trees are fitted (``fit_scorer``) on candidates of at most ``FIT_DOCUMENTS`` documents,
-those of smallest hashed id among documents that can hold a span. Base
+The trees are fitted (``fit_scorer``) on all candidates of all documents with an id. Base
 matches and secrets by ``SECRET`` are positive, as are other spellings of them (``name [at] host``, a
 secret's value under another name or bare); other candidates are negative. A third of the documents sets each kind's
 threshold: the lowest probability at and above which ``PRECISION`` of the
@@ -21,7 +20,8 @@ points, end exclusive; every row gives one row, repeated rows alike; without
 candidates to learn from only base spans and sure secrets are found. Other columns pass through
 ``redact`` untouched and are dropped by ``find_pii``.
 
-Scale: one pass, no shuffle; the model is a few KB. Documents that no pattern or
+Scale: one pass to find, no shuffle; the model is a few KB. The fit takes another pass over the texts, which writes
+some 120 bytes a distinct candidate; each level of each tree reads those and shuffles sums per bin (``_boost.fit_rows``). Documents that no pattern or
 generator can match are told from their bytes (``_marked``) and never decoded.
 """
 
@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +37,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import _boost
+from ledgerlake.llm._store import stored
 from ledgerlake.llm._text import Run, map_runs, record
 
-FIT_DOCUMENTS = 4000
-FIT_CANDIDATES = 100_000
 PRECISION = 0.98
+STEPS = 100_000  # of a probability, where thresholds are set
 KINDS = ("email", "ip", "card", "phone", "secret")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -168,52 +169,76 @@ def examples(text: str) -> tuple[list[list[float]], list[int], list[str]]:
     return x, y, kinds
 
 
-def fit_scorer(docs: DataFrame, bound: int = FIT_DOCUMENTS, precision: float = PRECISION, candidates_bound: int = FIT_CANDIDATES) -> dict:
-    """The trees and each kind's threshold, from at most ``bound`` documents and ``candidates_bound`` of their candidates, by hash."""
-    order = F.xxhash64(F.col("doc_id").cast("string"), F.lit("pii"))
-    picked = docs.where(F.col("text").rlike(POSSIBLE) & F.col("doc_id").isNotNull()).select("doc_id").orderBy(order, "doc_id").limit(bound)
-    sample = docs.select("doc_id", "text").join(F.broadcast(picked.distinct()), "doc_id").where(F.col("text").isNotNull())
+def candidate_rows(docs: DataFrame) -> DataFrame:
+    """Examples of all documents with an id: part (of three, by doc_id), x (float32 features), y and kind."""
 
     def rows_of(part: pa.RecordBatch, run: Run) -> pa.RecordBatch | None:
         keep, xs, ys, ks = [], [], [], []
-        for i, doc_id in enumerate(part.column(0).to_pylist()):
+        ids = part.column(0)
+        for i in np.flatnonzero(_marked(run)):
+            if not ids[i].is_valid:
+                continue
             x, y, kinds = examples(run.text(i))
-            part_of = int(hashlib.md5(str(doc_id).encode()).hexdigest(), 16) % 3
-            keep += [part_of] * len(x)
-            xs += [np.array(r, np.float32).tobytes() for r in x]
+            keep += [int(hashlib.md5(str(ids[i].as_py()).encode()).hexdigest(), 16) % 3] * len(x)
+            xs += x
             ys += y
-            ks += kinds
-        return record(part=pa.array(keep, pa.int32()), x=pa.array(xs, pa.binary()), y=pa.array(ys, pa.int32()), kind=pa.array(ks, pa.string())) if xs else None
+            ks += [KINDS.index(k) for k in kinds]
+        if not xs:
+            return None
+        return record(part=pa.array(keep, pa.int32()), x=pa.array([v.tobytes() for v in np.array(xs, np.float32)], pa.binary()), y=pa.array(ys, pa.int32()), kind=pa.array(ks, pa.int32()))
+
+    return map_runs(docs, ["doc_id", "text"], rows_of, "part int, x binary, y int, kind int")
 
-    rows = map_runs(sample, ["doc_id", "text"], rows_of, "part int, x binary, y int, kind string")
-    got = sorted(rows.orderBy(F.xxhash64("part", "x", "y", "kind"), "part", "x", "y", "kind").limit(candidates_bound).collect(), key=lambda r: (r.part, r.kind, bytes(r.x), r.y))
+
+def fit_scorer(docs: DataFrame, precision: float = PRECISION) -> dict:
+    """The trees and each kind's threshold, from all candidates of all documents with an id."""
+    # equal examples become one with a weight
+    rows = stored(candidate_rows(docs).groupBy("part", "x", "y", "kind").agg(F.count("*").alias("w")), "candidates")
     model: dict = {"trees": None, "threshold": {}}
-    if len(got) < 50 or len({r.y for r in got}) < 2:
-        return model
-    x, y, part = np.array([np.frombuffer(r.x, np.float32) for r in got], dtype=float), np.array([r.y for r in got]), np.array([r.part for r in got])
-    if min((part > 0).sum(), (part == 0).sum()) == 0:
+    sizes = {(r.held, r.y): r.w for r in rows.groupBy((F.col("part") == 0).alias("held"), "y").agg(F.sum("w").alias("w")).collect()}
+    total = {k: sum(w for key, w in sizes.items() if key[1] == k) for k in (0, 1)}
+    if sum(total.values()) < 50 or min(total.values()) == 0 or min(sum(w for key, w in sizes.items() if key[0] == held) for held in (True, False)) == 0:
         return model
-    model["trees"] = _boost.fit(x[part > 0], y[part > 0].astype(float))
-    p = _boost.predict(model["trees"], x)
-    for kind in KINDS:
-        held = np.array([r.kind == kind for r in got]) & (part == 0)
-        order = np.argsort(-p[held], kind="stable")
-        good = np.cumsum(y[held][order]) / np.arange(1, held.sum() + 1)
-        last = np.flatnonzero(good >= precision)
+    trees = model["trees"] = _boost.fit_rows(rows.where("part > 0").select("x", "y", "w"))
+
+    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield record(kind=batch.column(1), y=batch.column(2), w=batch.column(3), step=np.rint(_boost.predict(trees, _boost.matrix(batch.column(0))) * STEPS).astype(np.int32))
+
+    held = rows.where("part = 0").select("x", "kind", "y", "w").mapInArrow(steps, "kind int, y int, w long, step int")
+    ranked = held.groupBy("kind", "step").agg(F.sum("w").alias("all"), F.sum(F.col("w") * F.col("y")).alias("good")).orderBy("kind", F.desc("step")).collect()  # len(KINDS) * STEPS at most
+    for k, kind in enumerate(KINDS):
+        step, every, good = (np.array([r[c] for r in ranked if r.kind == k], dtype=float) for c in ("step", "all", "good"))
+        last = np.flatnonzero(np.cumsum(good) >= precision * np.cumsum(every))
         if len(last):
             # halfway to the next candidate below, where the examples leave the choice
-            ranked = np.append(p[held][order], 0.0)
-            model["threshold"][kind] = max(0.5, float(ranked[last[-1]] + ranked[last[-1] + 1]) / 2)
+            step = np.append(step, 0.0)
+            model["threshold"][kind] = max(0.5, float(step[last[-1]] + step[last[-1] + 1]) / 2 / STEPS)
     return model
 
 
+def _scored(found: list[list[tuple[str, int, int]]], texts: list[str], model: dict) -> list[np.ndarray]:
+    """The trees' probabilities of each text's candidates, for all texts in one call."""
+    rows = [features(k, *_context(text, s, e)) for text, some in zip(texts, found, strict=True) for k, s, e in some]
+    p = _boost.predict(model["trees"], np.array(rows, dtype=np.float32).astype(float)) if rows else np.zeros(0)
+    return np.split(p, np.cumsum([len(f) for f in found])[:-1])
+
+
 def all_spans(text: str, model: dict) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """Base spans, and all spans: base ones plus the candidates that pass."""
+    return spans_of([text], model)[0]
+
+
+def spans_of(texts: list[str], model: dict) -> list[tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]]:
+    """``all_spans`` of several texts, whose candidates are scored together."""
+    found = [[c for c in candidates(text) if c[0] in model["threshold"]] if model["trees"] else [] for text in texts]
+    return [_passing(text, f, p, model) for text, f, p in zip(texts, found, _scored(found, texts, model) if texts else [], strict=True)]
+
+
+def _passing(text: str, found: list[tuple[str, int, int]], p: np.ndarray, model: dict) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     base, sure = base_spans(text), sure_spans(text)
-    found = [c for c in candidates(text) if c[0] in model["threshold"]] if model["trees"] else []
     if not found and not sure:
         return base, base
-    p = _boost.predict(model["trees"], np.array([features(k, *_context(text, s, e)) for k, s, e in found], dtype=np.float32).astype(float)) if found else []
     taken = sorted((s, e) for _, s, e in base)
     ends = np.maximum.accumulate([e for _, e in taken]) if taken else np.zeros(0, int)
     starts = np.array([s for s, _ in taken])
@@ -278,8 +303,8 @@ def find_pii(docs: DataFrame, model: dict) -> DataFrame:
     def find(part: pa.RecordBatch, run: Run) -> pa.RecordBatch:
         counts = np.zeros((4, run.n), dtype=np.int64)
         digest, spans = [empty] * run.n, [""] * run.n
-        for i in np.flatnonzero(_marked(run)):
-            base, every = all_spans(run.text(i), model)
+        marked = np.flatnonzero(_marked(run))
+        for i, (base, every) in zip(marked, spans_of([run.text(i) for i in marked], model), strict=True):
             for k, _, _ in base:
                 counts[KINDS.index(k), i] += 1
             digest[i], spans[i] = hashlib.sha256(written(base).encode()).hexdigest(), written(every)
@@ -291,7 +316,10 @@ def find_pii(docs: DataFrame, model: dict) -> DataFrame:
 
 def redacted(text: str, model: dict) -> str:
     """The text with each stretch covered by spans replaced by its first kind's name."""
-    _, spans = all_spans(text, model)
+    return _replaced(text, all_spans(text, model)[1])
+
+
+def _replaced(text: str, spans: list[tuple[str, int, int]]) -> str:
     out, done = [], 0
     merged: list[list] = []
     for k, s, e in sorted(spans, key=lambda t: (t[1], -t[2])):
@@ -314,8 +342,8 @@ def redact(docs: DataFrame, model: dict) -> DataFrame:
         marked = np.flatnonzero(_marked(run))
         if len(marked):
             new = text.to_pylist()
-            for i in marked:
-                new[i] = redacted(new[i], model)
+            for i, (_, spans) in zip(marked, spans_of([new[i] for i in marked], model), strict=True):
+                new[i] = _replaced(new[i], spans)
             text = pa.array(new, text.type)
         columns = list(part.columns)
         columns[names.index("text")] = text

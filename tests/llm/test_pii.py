@@ -129,3 +129,29 @@ def test_candidates_take_linear_time():
         p.sure_spans(text)
         p.GENERATORS[0][1].findall(text)
         p.GENERATORS[-1][1].findall(text)
+
+
+def test_fit_on_all_rows(spark, monkeypatch):
+    """The trees of ``fit_rows`` are those of ``fit`` where values need no rounding; neither order nor partitions matter."""
+    rng = np.random.default_rng(4)
+    x = np.column_stack([rng.integers(0, 12, 3000), rng.integers(0, 5, 3000), rng.integers(0, 200, 3000)]).astype(np.float32)
+    y = ((x[:, 0] > 6) ^ (x[:, 1] > 2) ^ (rng.random(3000) < 0.05)).astype(int)
+    rows = spark.createDataFrame([(x[i].tobytes(), int(y[i]), 1) for i in range(3000)], "x binary, y int, w long")
+    got = _boost.fit_rows(rows.repartition(5), trees=12)
+    assert got == _boost.fit_rows(rows.orderBy("x").coalesce(2), trees=12)
+    merged = rows.unionByName(rows).groupBy("x", "y").agg(__import__("pyspark").sql.functions.sum("w").alias("w"))
+    assert merged.count() < 6000 and _boost.fit_rows(merged, trees=2) == _boost.fit_rows(rows.unionByName(rows), trees=2)
+    p = _boost.predict(got, x.astype(float))
+    assert ((p > 0.5) == y).mean() > 0.9
+    assert np.abs(p - _boost.predict(_boost.fit(x.astype(float), y.astype(float), trees=12), x.astype(float))).mean() < 0.05
+
+
+def test_every_candidate_counts(spark):
+    """A form that few documents hold, whatever their ids' hashes, is learnt and sets the threshold."""
+    rows = [(i, f"plain words {i % 900} only 10.{i % 200}.3.4 or 1999.{i % 300}.7") for i in range(6000)]
+    rows += [(10**6 + i, f"see joe{i}.roe@host{i % 40}.example.org there") for i in range(30)]
+    model = p.fit_scorer(spark.createDataFrame(rows, "doc_id long, text string"))
+    n = p.candidate_rows(spark.createDataFrame(rows, "doc_id long, text string")).groupBy("kind").count().collect()
+    assert {r.kind: r["count"] for r in n}[p.KINDS.index("email")] == 30 * 4
+    assert "email" in model["threshold"]
+    assert any(k == "email" for k, _, _ in p.all_spans("see jane5.doe [at] host7.example.org there", model)[1])
