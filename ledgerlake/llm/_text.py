@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 U64 = np.uint64
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 SLICE_DOCS = 1024  # so that a document's number within a run fits DOC_BITS
 DOC_BITS = 10
 
@@ -159,17 +159,18 @@ def workers_find_package(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
-def map_runs(docs: DataFrame, columns: list[str], fn: Callable, schema: str, setup: Callable | None = None) -> DataFrame:
+def map_runs(docs: DataFrame, columns: list[str], fn: Callable, schema: str, setup: Callable | None = None, limit: int = SLICE_BYTES) -> DataFrame:
     """``fn(batch, run[, state])`` -> columns of ``schema`` for every run of documents.
 
     Only ``columns`` (with ``text`` among them) are read; other columns of the
-    input, whatever their names, are left out. ``setup()`` is called once a task.
+    input, whatever their names, are left out. ``setup()`` is called once a task;
+    ``limit`` is the bytes of text of a run.
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = (setup(),) if setup else ()
         for batch in batches:
-            for part, run in slices(batch):
+            for part, run in slices(batch, limit=limit):
                 out = fn(part, run, *state)
                 if out is not None:
                     yield out

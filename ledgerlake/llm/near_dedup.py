@@ -57,6 +57,7 @@ MISS = 1e-6
 DEVIATIONS = 6.25
 BLOCK = 1024
 FILTER_BITS = 1 << 26  # of the bitmap of documents in shared buckets
+SIGN_BYTES = 1 << 19  # of texts signed at a time: the walks take some 50 bytes a byte of text
 STARS = 4  # further stars in buckets that still hold several groups
 ODD_WORDS = 16  # of 64 bits, in a parity sketch of a shingle set
 
@@ -320,7 +321,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept."""
     workers_find_package(docs.sparkSession)
     n_bands, n_rows = banding(percent)
-    signed = stored(map_runs(docs, ["doc_id", "text"], lambda part, run: _sign(part, run, n_bands, n_rows), "doc_id long, n long, h1 long, h2 long, s1 long, s2 long, bands array<long>"), "signatures")
+    signed = stored(map_runs(docs, ["doc_id", "text"], lambda part, run: _sign(part, run, n_bands, n_rows), "doc_id long, n long, h1 long, h2 long, s1 long, s2 long, bands array<long>", limit=SIGN_BYTES), "signatures")
     full = signed.where("n > 0 AND doc_id IS NOT NULL")
     reps = stored(full.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep")), "representatives")
     heads = full.join(reps.withColumnRenamed("rep", "doc_id"), ["h1", "h2", "doc_id"], "left_semi").dropDuplicates(["doc_id", "h1", "h2"])
