@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -770,8 +771,9 @@ def _retention_layers(m: Models) -> DataFrame:
 def _ingest_roundtrip(m: Models) -> DataFrame:
     """The ingest job over CSVs of all raw tables, read back through the catalog."""
     csv, names = _scratch(m, "ingest-csv"), list(RAW_TABLES)
-    for name in names:
-        sinks.write_csv(getattr(m.cat, name).select(*[f.name for f in RAW_TABLES[name].schema.fields]), f"{csv}/{name}")
+    frames = [getattr(m.cat, name).select(*[f.name for f in RAW_TABLES[name].schema.fields]) for name in names]
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(sinks.write_csv, frames, [f"{csv}/{name}" for name in names]))
     lake = Catalog(m.spark, root=_scratch(m, "lake"))
     path = _scratch(m, "ingest-audit")
     jobs.ingest(m.spark, lake, csv, audit_path=path, run_id="fixture-run", load_ts=dt.datetime(2001, 8, 1))
@@ -808,6 +810,9 @@ def _content(df: DataFrame, label: str) -> DataFrame:
                   F.sum("total_tpv_brl").cast("decimal(28,2)").alias("tpv_brl")).select(F.lit(label).alias("step"), "rows", "transactions", "tpv_brl")
 
 
+GATE_COLUMNS = ("transaction_date", "payment_method", "status", "amount_brl", "mdr_rate_pct", "mdr_amount_brl", "net_amount_brl", "is_approved", "is_chargeback", "is_installment")
+
+
 @register("mart_gate")
 def _mart_gate(m: Models) -> DataFrame:
     """Three attempts to publish the daily mart and what the table holds after each.
@@ -816,7 +821,11 @@ def _mart_gate(m: Models) -> DataFrame:
     and so is its window; the window of the whole mart passes again.
     """
     table = VersionedTable(m.spark, _scratch(m, "gated-mart"))
-    stg = m.transactions
+    # All attempts and their checks read the transactions: they are joined and staged once.
+    held, path = Models(m.spark, as_of=m.as_of, cat=m.cat), _scratch(m, "gated-transactions")
+    stg = m.transactions.select(*GATE_COLUMNS)
+    stg.write.parquet(path)
+    held.transactions = stg = m.spark.read.schema(stg.schema).parquet(path)
 
     def checks(staged: DataFrame, since: str | None = None) -> DataFrame:
         return reconcile.tpv_daily_reconciliation(staged, stg if since is None else sinks.incremental_window(stg, "transaction_date", since))
@@ -829,7 +838,7 @@ def _mart_gate(m: Models) -> DataFrame:
             verdict = "blocked"
         return _content(table.read(), step).withColumns({"verdict": F.lit(verdict), "versions": F.lit(len(table.versions())).cast("bigint")})
 
-    whole, fewer, name = _with_month(m.daily_summary), _with_month(_fewer_days(m)), "mart_fin_daily_summary"
+    whole, fewer, name = _with_month(held.daily_summary), _with_month(_fewer_days(held)), "mart_fin_daily_summary"
     window = lambda s: checks(s, INCREMENTAL_START)
     steps = [
         attempt("whole", lambda: jobs.publish_mart(table, whole, name=name, checks=checks, partition_by="summary_month")),
