@@ -28,10 +28,22 @@ class WriteResult:
 
 
 def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite") -> bool:
-    """CSV with header; an empty input is skipped (returns False)."""
-    if df.isEmpty():
+    """CSV with header; an empty input is skipped (returns False).
+
+    An overwrite computes the input once: rows are counted as they are written beside ``path``, and moved there if there are any.
+    """
+    if mode != "overwrite":
+        if df.isEmpty():
+            return False
+        df.write.mode(mode).option("header", True).csv(path)
+        return True
+    staged, obs = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:12]}", Observation(f"csv-{uuid.uuid4().hex}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.option("header", True).csv(staged)
+    if not int(obs.get["rows"]):
+        _, folder, fs = _file_system(df.sparkSession, staged)
+        fs.delete(folder, True)
         return False
-    df.write.mode(mode).option("header", True).csv(path)
+    move_into_place(df.sparkSession, staged, path)
     return True
 
 

@@ -314,3 +314,37 @@ def test_portfolio_sketches_merge(spark):
         assert (e.total_outstanding_brl, e.npl_rate_pct, e.total_expected_loss_brl) == (r.total_outstanding_brl, r.npl_rate_pct, r.total_expected_loss_brl)
     plan = initial(marts.portfolio_partials(m.contracts, m.customers))
     assert "Expand" not in plan
+
+
+def test_gate_and_csv_compute_their_input_once(spark, tmp_dir, monkeypatch):
+    """The gate's attempts read staged transactions, and a CSV's input runs once, empty or not."""
+    from pyspark.sql import functions as F
+
+    from ledgerlake import registry
+    from ledgerlake.sources import sinks
+
+    m, reads = registry.Models(spark, "/root/testdata/sf0.001"), spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    raw = m.cat.transactions
+    n = raw.count()
+
+    class Counted:
+        def __getattr__(self, name):
+            return raw.mapInArrow(seen, raw.schema) if name == "transactions" else getattr(m.cat, name)
+
+    got = {r.step: (r.verdict, r.rows) for r in registry.BUILDERS["mart_gate"](registry.Models(spark, cat=Counted())).collect()}
+    assert [got[s][0] for s in ("whole", "lost_days", "lost_window", "whole_window")] == ["published", "blocked", "blocked", "published"]
+    assert reads.value == n
+    reads.value = 0
+    path = f"{tmp_dir}/csv"
+    counted = raw.mapInArrow(seen, raw.schema)
+    assert sinks.write_csv(counted, path) and reads.value == n
+    assert not sinks.write_csv(raw.where(F.lit(False)), path)
+    assert spark.read.option("header", True).csv(path).count() == n
+    assert not sinks.write_csv(raw.where("amount_brl < 0"), f"{tmp_dir}/none")
+    assert [p.name for p in __import__("pathlib").Path(tmp_dir).iterdir()] == ["csv"]
