@@ -350,12 +350,16 @@ def drop_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # a distinct text is a document of its own, so that links never pass through a doc_id
     linked = near_duplicates(docs.select(node.alias("doc_id"), "text"), percent).where("n_shingles > 0")
     of = linked.select(F.col("doc_id").alias("node"), F.col("component_id").alias("component")).distinct()
-    first = F.min(F.struct("without", "id")).alias("top")
-    nodes = rows.where("NOT blank").groupBy("node").agg(first).join(of, "node").select("node", "component", "top.without", "top.id")
+    counted = rows.where("NOT blank").groupBy("node", "without", "id").agg(F.count("*").alias("rows"))
+    nodes = counted.groupBy("node").agg(F.min(F.struct("without", "id", "rows")).alias("top")).join(of, "node").select("node", "component", "top.*")
     nodes = stored(nodes, "nodes")
-    tops = nodes.groupBy("component").agg(first).select("component", "top.without", "top.id")
+    tops = nodes.groupBy("component").agg(F.min(F.struct("without", "id")).alias("top")).select("component", "top.without", "top.id")
     heads = stored(nodes.join(tops, ["component", "without", "id"]), "tops")
-    texts = rows.where("NOT blank").join(heads, ["node", "without", "id"]).select("row", "component", F.lit(None).cast("long").alias("id"))
+    # a group that has one such row keeps it as it is; only the others' rows are compared
+    alone = heads.groupBy("component").agg((F.sum("rows") == 1).alias("alone"))
+    heads = stored(heads.join(alone, "component").select("node", "without", "id", "component", "alone"), "heads")
+    texts = rows.where("NOT blank").join(heads, ["node", "without", "id"]).select("row", "component", F.lit(None).cast("long").alias("id"), "alone")
     blanks = rows.where("blank AND without = 0").select("row", F.col("node").alias("component"), "id")
     smallest = F.min_by("row", F.struct(F.col("row.text"), F.to_json("row"))).alias("row")
-    return texts.unionByName(blanks).groupBy("component", "id").agg(smallest).unionByName(rows.where("blank AND without = 1").select(F.lit(None).cast("long").alias("component"), F.lit(None).cast("long").alias("id"), "row")).select("row.*")
+    compared = texts.where("NOT alone").drop("alone").unionByName(blanks).groupBy("component", "id").agg(smallest)
+    return compared.select("row").unionByName(texts.where("alone").select("row")).unionByName(rows.where("blank AND without = 1").select("row")).select("row.*")

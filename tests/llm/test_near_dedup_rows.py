@@ -32,3 +32,14 @@ def test_ties_have_one_result(spark):
     want = sorted([(5, min(COPIED, NEAR), "z" if NEAR < COPIED else "x"), (None, CLEAN, "p")], key=str)
     assert kept(spark, rows, 1) == want
     assert kept(spark, rows[::-1], 4) == want
+
+
+def test_rows_without_rivals_are_not_compared(spark):
+    """Only groups of several rows write texts, and their JSON, to the last grouping."""
+    words = [" ".join(f"w{i}x{j}" for j in range(30)) for i in range(12)]
+    rows = [(i, w, "a") for i, w in enumerate(words)] + [(3, words[3], "b"), (50, words[4], "a"), (51, "", "a"), (51, "", "b"), (None, " ", "c")]
+    out = n.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    expected = [(i, w, "a") for i, w in enumerate(words)] + [(51, "", "a"), (None, " ", "c")]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(expected, key=str)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Union") and any("Filter" in line and "alone" in line for line in plan.splitlines())
