@@ -31,10 +31,11 @@ with nothing; fewer words than a shingle give one shingle; a null doc_id has
 null component and is not kept; rows of equal doc_id are one document for
 links (``drop_near_duplicates`` decides by row instead); other columns are ignored. An empty table gives an empty result.
 
-Scale: texts are read twice and shuffled once, to find those in shared buckets; about
+Scale: texts are read twice; those in shared buckets are shuffled once, and their sets
+with the pairs that ask for them. About
 250 bytes a document are written and 25 rows of two numbers a representative
-shuffled; ``drop_near_duplicates`` reads them twice more and shuffles them once, the
-kept ones twice. Copies are merged by a partial aggregate before any join. Joins are
+shuffled; ``drop_near_duplicates`` reads the texts three times more and shuffles them once, those
+of groups with several rows to choose from twice. Copies are merged by a partial aggregate before any join. Joins are
 equi-joins that AQE may split at hot keys. Nothing is collected.
 """
 
@@ -172,7 +173,8 @@ def _linked(percent: int):
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) of doc_ids whose full shingle sets are similar enough."""
+    """The pairs (a, b) of doc_ids whose full shingle sets are similar enough; other documents' sets are not shuffled."""
+    sets = _maybe(sets.select("doc_id", "items"), pairs.select("a").union(pairs.select("b")))
     both = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("items").alias("y")), "b").join(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("x")), "a")
     return stored(both.select("a", "b", "x", "y").mapInArrow(_linked(percent), "a long, b long").distinct(), "links")
 
@@ -234,33 +236,38 @@ def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     return labelled_ends(pairs, groups).where("of_a <> of_b").drop("of_a", "of_b")
 
 
-def _maybe(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``texts`` whose doc_id can be among ``ids``, told by a bitmap of hashed ids.
+def _maybe(rows: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
+    """The ``rows`` whose ``column`` can be among ``ids`` (one column), told by a bitmap of hashed ids.
 
-    The bitmap has ``FILTER_BITS`` bits whatever the corpus (8 MB, so it may be broadcast); a text that no bucket
-    shares is then not shuffled. An exact join follows: a full bitmap costs its effect, never a row.
+    The bitmap has ``FILTER_BITS`` bits whatever the corpus (8 MB, so it may be broadcast); rows that
+    no id asks for are then not shuffled. An exact join follows: a full bitmap costs its effect, never a row.
+    That join must not be a semi-join, which Spark moves below this one, to where all rows still are.
     """
 
     def hashed(c: str):
         return F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(FILTER_BITS))
 
     part, bit = F.expr("_h div 32768"), F.expr("_h % 32768")
-    held = ids.select(hashed("rep").alias("_h")).groupBy(part.alias("_part")).agg(F.bitmap_construct_agg(bit).alias("_bits"))
-    marked = texts.withColumn("_h", hashed("doc_id")).withColumn("_part", part).join(F.broadcast(held), "_part")
+    held = ids.select(hashed(ids.columns[0]).alias("_h")).groupBy(part.alias("_part")).agg(F.bitmap_construct_agg(bit).alias("_bits"))
+    marked = rows.withColumn("_h", hashed(column)).withColumn("_part", part).join(F.broadcast(held), "_part")
     byte = F.conv(F.hex(F.expr("substring(_bits, int(_h % 32768 div 8) + 1, 1)")), 16, 10).cast("int")
-    return marked.where(byte.bitwiseAND(F.expr("shiftleft(1, int(_h % 8))")) != 0).select(*texts.columns)
+    return marked.where(byte.bitwiseAND(F.expr("shiftleft(1, int(_h % 8))")) != 0).select(*rows.columns)
+
+
+def _asked(rows: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
+    """The ``rows`` whose ``column`` is among ``ids`` (one column)."""
+    return _maybe(rows, ids, column).join(ids.select(F.col(ids.columns[0]).alias(column)).distinct(), column)
 
 
 def linked_groups(docs: DataFrame, heads: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(node, component) of the representatives ``heads`` (rep, n, s1, s2, bands) that have a link."""
     keys = heads.select("rep", F.explode("bands").alias("key"))
     mark = F.xxhash64("rep", "key")
-    shared = keys.groupBy("key").agg(F.count("*").alias("size"), F.min(mark).alias("head")).where("size > 1")
-    members = keys.join(shared, "key").select("key", "rep", (mark == F.col("head")).alias("head"))
+    shared = stored(keys.groupBy("key").agg(F.count("*").alias("size"), F.min(mark).alias("head")).where("size > 1"), "shared")
+    members = _maybe(keys, shared.select("key"), "key").join(shared, "key").select("key", "rep", (mark == F.col("head")).alias("head"))
     members = stored(members.join(heads.select("rep", "n", "s1", "s2"), "rep"), "buckets")
     texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text")
-    texts = _maybe(texts, members.select("rep"))
-    sets = stored(map_runs(texts.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), ["doc_id", "text"], _sets, "doc_id long, items binary, odd array<long>"), "sets")
+    sets = stored(map_runs(_asked(texts, members.select("rep")), ["doc_id", "text"], _sets, "doc_id long, items binary, odd array<long>"), "sets")
     members = stored(members.join(lone_items(sets), "rep", "left").fillna(0, ["lone"]), "members")
     # a star in each bucket, around a member taken at random: first each member's likeliest centre
     star = members.where("NOT head").join(_other(members.where("head")), "key").where(_near(percent) & (F.col("rep") != F.col("a")))
@@ -269,11 +276,11 @@ def linked_groups(docs: DataFrame, heads: DataFrame, percent: int = PERCENT) ->
     groups = stored(components(verified(tested, sets, percent)), "groups")
     # then its likeliest centre of another component
     second = stored(_best(_apart(star, groups)), "second")
-    sets = stored(sets.join(members.join(_opened(members, groups).select("key"), "key", "left_semi").select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), "open_sets")
     groups = merged(groups, verified(second, sets, percent))
     # buckets of several components: further stars, each around a random member of the bucket's largest one
+    members = stored(members.join(_opened(members, groups).select("key"), "key", "left_semi"), "open")
     odd = sets.select(F.col("doc_id").alias("rep"), "odd", F.expr("length(items) div 8").alias("held"))
-    members = stored(members.join(_opened(members, groups).select("key"), "key", "left_semi").join(odd, "rep"), "open_members")
+    members = stored(members.join(_maybe(odd, members.select("rep"), "rep"), "rep"), "open_members")
     tried = [tested, second]
     for k in range(STARS):
         labelled = stored(_labelled(members, groups).join(_opened(members, groups), "key"), "open_buckets")

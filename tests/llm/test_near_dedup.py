@@ -103,3 +103,13 @@ def test_components_of_a_long_chain(spark):
     r.shuffle(edges)
     out = {x.node: x.component for x in components(spark.createDataFrame(edges, "a long, b long").repartition(7)).collect()}
     assert out == {**{x: min(names) for x in names}, 2 * 10**6: 2 * 10**6, 3 * 10**6: 2 * 10**6}
+
+
+def test_only_asked_texts_reach_the_shuffle(spark):
+    """The bitmap must work below the exact join's shuffle; above it, all texts are shuffled."""
+    texts = spark.range(500).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    ids = spark.range(0, 500, 100).selectExpr("id AS rep")
+    asked = n._asked(texts, ids.union(ids))
+    assert sorted(r.doc_id for r in asked.collect()) == [0, 100, 200, 300, 400]
+    joins = [line for line in asked._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join " in line]
+    assert "_part" not in joins[0] and "_part" in joins[1]
