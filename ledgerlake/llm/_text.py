@@ -21,6 +21,8 @@ U64 = np.uint64
 SLICE_BYTES = 1 << 20
 SLICE_DOCS = 1024  # so that a document's number within a run fits DOC_BITS
 DOC_BITS = 10
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 * SLICE_BYTES  # of an Arrow batch on its way to a worker, besides its last row
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -157,6 +159,18 @@ def workers_find_package(spark: SparkSession) -> None:
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    bound_batches(spark)
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Batches to Python workers hold ``BATCH_BYTES``, not Spark's 64 MB or 10,000 rows.
+
+    Such a batch lies in the executor's direct memory, grown by doubling, and again in the worker;
+    every task here works on runs of ``SLICE_BYTES`` or row by row, so more at a time gains nothing.
+    A session that has a setting of its own keeps it.
+    """
+    if spark.conf.get(BATCH_CONF, None) is None:
+        spark.conf.set(BATCH_CONF, f"{BATCH_BYTES}b")
 
 
 def map_runs(docs: DataFrame, columns: list[str], fn: Callable, schema: str, setup: Callable | None = None, limit: int = SLICE_BYTES) -> DataFrame:

@@ -10,7 +10,8 @@ takes the r-th slot for that length.
 
 Tokenising uses that white space followed by a word is a token boundary's
 unit: the tokenizer's splitting pattern never looks back, so a unit's ids do
-not depend on its surroundings. A worker encodes distinct units once, up to ``CACHE_UNITS``. Texts
+not depend on its surroundings. A worker encodes distinct units once, up to ``CACHE_UNITS``, and keeps them in arrays
+(some 40 bytes a unit; they stay with the worker after the stage). Texts
 with white space other than ASCII's are encoded whole. The tokenizer is used as its file
 has it: the string of a special token in a text becomes that token.
 
@@ -59,12 +60,12 @@ class Units:
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[int, int] = {}
+        self.keys, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # hashes of units, ascending, and their numbers
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 1
         self.start, self.length, self.count = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), 1
         self.ids[0], self.length[0] = END, 1  # unit 0 closes a document
 
-    def _add(self, key: int, ids: list[int]) -> None:
+    def _add(self, ids: list[int]) -> None:
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         if self.count == len(self.start):
@@ -72,7 +73,6 @@ class Units:
         self.ids[self.used : self.used + len(ids)] = ids
         self.start[self.count], self.length[self.count] = self.used, len(ids)
         self.used += len(ids)
-        self.place[key] = self.count
         self.count += 1
 
     def encode(self, run: Run) -> tuple[np.ndarray, np.ndarray]:
@@ -82,14 +82,18 @@ class Units:
         doc, start, end = units(run)
         key = run.hashes(start, end)
         uniq, first, inverse = np.unique(key, return_index=True, return_inverse=True)
-        place = np.array([self.place.get(k, -1) for k in uniq.tolist()], dtype=np.int64)
-        new = np.flatnonzero(place < 0)
+        at = np.searchsorted(self.keys, uniq)
+        known = np.append(self.keys, np.uint64(0))[at] == uniq
+        known[at == len(self.keys)] = False
+        place = np.append(self.place, np.int32(0))[at].astype(np.int64)
+        new = np.flatnonzero(~known)
         for a in range(0, len(new), 8192):
             some = new[a : a + 8192]
             texts = [run.data[start[i] : end[i]].tobytes().decode("utf-8", "replace") for i in first[some]]
             for k, got in zip(some, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
                 place[k] = self.count
-                self._add(int(uniq[k]), got.ids)
+                self._add(got.ids)
+        self.keys, self.place = np.insert(self.keys, at[new], uniq[new]), np.insert(self.place, at[new], place[new])
         unit = np.insert(place[inverse], np.searchsorted(doc, np.arange(run.n), side="right"), 0)
         owner = np.sort(np.concatenate([doc, np.arange(run.n)]))
         size = self.length[unit]
