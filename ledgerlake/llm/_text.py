@@ -8,6 +8,7 @@ than the bound is a run of its own; nothing is ever cut or skipped.
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -173,6 +174,14 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_CONF, f"{BATCH_BYTES}b")
 
 
+def give_back() -> None:
+    """What a task has freed goes back to the system: Spark reuses its workers, and stages that need little would hold it on."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+    if trim is not None:
+        trim(0)
+
+
 def map_runs(docs: DataFrame, columns: list[str], fn: Callable, schema: str, setup: Callable | None = None, limit: int = SLICE_BYTES) -> DataFrame:
     """``fn(batch, run[, state])`` -> columns of ``schema`` for every run of documents.
 
@@ -188,6 +197,8 @@ def map_runs(docs: DataFrame, columns: list[str], fn: Callable, schema: str, set
                 out = fn(part, run, *state)
                 if out is not None:
                     yield out
+        batch = part = run = out = None
+        give_back()
 
     workers_find_package(docs.sparkSession)
     return docs.select(*columns).mapInArrow(task, schema)

@@ -41,3 +41,18 @@ def test_known_units_are_arrays():
     again = [known.encode(Run(pa.array(texts[k : k + 20]))) for k in range(0, 60, 20)]
     assert known.count == count
     assert all((a[0] == b[0]).all() and (a[1] == b[1]).all() for a, b in zip(first, again, strict=True))
+
+
+def test_tasks_give_freed_memory_back(spark, tmp_path, monkeypatch):
+    docs = spark.range(8).select(F.col("id").alias("doc_id"), F.lit("x y").alias("text")).repartition(2)
+    mark = str(tmp_path / "given")
+
+    def counted() -> None:
+        with open(mark, "a") as f:
+            f.write("x")
+
+    _text.give_back()
+    monkeypatch.setattr(_text, "give_back", counted)
+    assert sum(r.n for r in _text.map_runs(docs, ["doc_id", "text"], lambda part, run: _text.record(n=np.array([run.n])), "n long").collect()) == 8
+    with open(mark) as f:
+        assert len(f.read()) >= 1
