@@ -9,8 +9,10 @@ text is first divided into regions that can be sorted apart:
 2. For each shared gram, the stretch of text that covers its windows goes to the gram's
    bucket: all equal windows meet there. Stretches of equal content are
    repeats at once; one of them stands for all.
-3. A bucket's distinct stretches form one text whose suffixes are sorted in two
-   stages: those smaller than their successor are sorted directly, by LENGTH
+3. A bucket's distinct stretches form texts of up to ``PART`` bytes, whole grams each.
+   A gram with more is divided by longer grams, as the corpus was by short ones: equal
+   windows have equal ones again, and those that occur once rule out theirs.
+   A text's suffixes are sorted in two stages: those smaller than their successor are sorted directly, by LENGTH
    bytes; the others are induced from them by scanning the first-byte buckets.
    Neighbours in suffix order with a common prefix of LENGTH bytes are
    repeated windows.
@@ -26,13 +28,14 @@ remains is decoded with replacement of broken characters; an empty table gives a
 
 Scale: see ``_repeats``; grams and stretches travel packed, hot ones once a
 run of documents. Texts are shuffled twice, to meet their shared grams and their
-marks. A bucket is sorted in parts of about ``PART`` bytes, whole grams each, so memory
-follows the largest group of distinct stretches around one gram.
+marks. What is sorted at once is bounded by ``PART``, however many distinct stretches one
+gram has; they are held besides, each byte once.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,19 +52,19 @@ PART = 1 << 18
 STRETCHES = "bucket int, rows binary, starts binary, sizes binary, keys binary, state binary, bytes binary"
 
 
-def windows(run: Run) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and document of each window, and the start of the gram that represents it."""
+def windows(run: Run, length: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and document of each window, and the start of the gram of ``length`` bytes that represents it."""
     n = len(run.data)
     size = np.diff(run.offsets)
     none = np.zeros(0, np.int64)
     if n < LENGTH or (size < LENGTH).all():
         return none, none, none
     s, (_, down) = run.sums(), powers(n)
-    grams = n - GRAM + 1
+    grams = n - length + 1
     bits = U64(max(int(grams).bit_length(), 1))
-    value = (mix((s[GRAM:] - s[:-GRAM]) * down[:grams]) >> bits << bits) | np.arange(grams, dtype=U64)
-    # least of LENGTH - GRAM + 1 neighbouring grams, by doubling
-    width, span = LENGTH - GRAM + 1, 1
+    value = (mix((s[length:] - s[:-length]) * down[:grams]) >> bits << bits) | np.arange(grams, dtype=U64)
+    # least of LENGTH - length + 1 neighbouring grams, by doubling
+    width, span = LENGTH - length + 1, 1
     least = value
     while 2 * span <= width:
         least = np.minimum(least[:-span], least[span:])
@@ -154,11 +157,12 @@ def suffix_order(text: np.ndarray, depth: int = LENGTH) -> np.ndarray:
     chosen = np.flatnonzero(small)
     # what follows a 0 belongs to another part and must not decide
     zero = np.flatnonzero(text == 0)
-    rows = view[chosen].copy()
+    rows = view[chosen]
     room = zero[np.searchsorted(zero, chosen)] - chosen if len(chosen) else chosen
     short = np.flatnonzero(room < depth)
-    if len(short):
-        rows[short] = np.where(np.arange(depth)[None] < room[short][:, None], rows[short], 0)
+    for k in range(0, len(short), 8192):
+        some = short[k : k + 8192]
+        rows[some] = np.where(np.arange(depth)[None] < room[some][:, None], rows[some], 0)
     direct = chosen[np.argsort(rows.view(f"S{depth}").ravel(), kind="stable")]
     del rows
     # stage two: scan the buckets of first bytes upwards, each inducing the larger suffixes before its own
@@ -213,58 +217,109 @@ def repeated_starts(text: np.ndarray, live: np.ndarray, length: int = LENGTH) ->
     return hit
 
 
-def _covered(table: pa.Table) -> pa.Table:
-    """(row, start, end) of repeated byte ranges among a bucket's stretches."""
-
-    def joined(name: str, kind: type) -> np.ndarray:
-        return np.frombuffer(b"".join(x.as_py() for x in table.column(name)), dtype=kind)
+def _one_of_each(raw: np.ndarray, at: np.ndarray, size: np.ndarray, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``some`` stretches have the content of another of them; one of each content.
 
-    row, start, size, key, state = joined("rows", np.int64), joined("starts", np.uint32).astype(np.int64), joined("sizes", np.uint32).astype(np.int64), joined("keys", U64), joined("state", np.uint8)
-    raw = np.frombuffer(b"".join(_unpacked_bytes(x.as_py()) for x in table.column("bytes")), dtype=np.uint8)
-    sent = np.flatnonzero(state != rep.MARKED)
-    at = np.zeros(len(row), np.int64)
-    at[sent] = np.cumsum(size[sent]) - size[sent]
-    whole = state != rep.OPEN  # of equal content within a run
-    known: dict[bytes, int] = {}
+    Contents that share a hash by chance both stay.
+    """
+    known: dict[int, int] = {}
+    again = np.zeros(len(at), dtype=bool)
     distinct = []
-    for i in sent.tolist():
+    for i in some.tolist():
         content = raw[at[i] : at[i] + size[i]].tobytes()
-        j = known.setdefault(content, i)
-        if j == i:
-            distinct.append(i)
+        j = known.setdefault(hash(content), i)
+        if j != i and raw[at[j] : at[j] + size[j]].tobytes() == content:
+            again[i] = again[j] = True
         else:
-            whole[i] = whole[j] = True
-    del known
-    rows, starts, ends = [row[whole]], [start[whole]], [(start + size)[whole]]
-    distinct = np.array(distinct, dtype=np.int64)
-    distinct = distinct[np.argsort(key[distinct], kind="stable")]
+            distinct.append(i)
+    return again, np.array(distinct, dtype=np.int64)
+
+
+def _divided(raw: np.ndarray, at: np.ndarray, size: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Stretches around grams of ``length`` bytes that several places hold: stretch they are part of, start in it, size, key."""
+    found: list[tuple[np.ndarray, ...]] = [(np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, U64))]
+    total = np.concatenate([[0], np.cumsum(size)])
+    i = 0
+    while i < len(at):
+        j = max(int(np.searchsorted(total, total[i] + PART, side="right")) - 1, i + 1)
+        run = Run(pa.array([raw[a : a + n].tobytes() for a, n in zip(at[i:j].tolist(), size[i:j].tolist(), strict=True)], pa.binary()))
+        start, doc, gram = windows(run, length)
+        edge, n = rep.split(gram)
+        begin, doc, gram = start[edge], doc[edge], gram[edge]
+        found.append(((i + doc).astype(np.int32), (begin - run.offsets[doc]).astype(np.int32), (n - 1 + LENGTH).astype(np.int32), run.hashes(gram, gram + length)))
+        i = j
+    owner, begin, n, key = (np.concatenate(x) for x in zip(*found, strict=True))
+    shared = rep.repeated(key, np.full(len(key), rep.OPEN, np.uint8))
+    return owner[shared].astype(np.int64), begin[shared].astype(np.int64), n[shared].astype(np.int64), key[shared]
+
+
+def _in_parts(raw: np.ndarray, at: np.ndarray, size: np.ndarray, key: np.ndarray, length: int = GRAM) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of distinct stretches ``raw[at : at + size]`` with the keys of their grams of ``length`` bytes: (stretch, start, end) of repeated ranges."""
+    order = np.argsort(key, kind="stable")
     # groups of one gram with a single distinct stretch still may repeat within it
-    edge, n = rep.split(key[distinct])
-    total = np.add.reduceat(size[distinct], edge) if len(edge) else edge
-    parts, begin, held = [], 0, 0
-    for g in range(len(edge)):
-        held += int(total[g])
-        if held >= PART or g == len(edge) - 1:
-            parts.append(distinct[edge[begin] : edge[g] + n[g]])
-            begin, held = g + 1, 0
-    for members in parts:
-        length = size[members] + 1
-        text = np.zeros(int(length.sum()), np.uint8)
+    edge, n = rep.split(key[order])
+    total = np.add.reduceat(size[order], edge) if len(edge) else edge
+    parts, large, held = [], [], PART
+    for e, k, bytes_ in zip(edge.tolist(), n.tolist(), total.tolist(), strict=True):
+        members = order[e : e + k]
+        if bytes_ > PART and k > 1 and length < LENGTH:
+            large.append(members)
+        elif held + bytes_ > PART:
+            parts.append([members])
+            held = bytes_
+        else:
+            parts[-1].append(members)
+            held += bytes_
+    for part in parts:
+        members = np.concatenate(part)
+        room = size[members] + 1
+        text = np.zeros(int(room.sum()), np.uint8)
         live = np.zeros(len(text), dtype=bool)
-        base = np.cumsum(length) - length
+        base = np.cumsum(room) - room
         for b, i in zip(base.tolist(), members.tolist(), strict=True):
             text[b : b + size[i]] = raw[at[i] : at[i] + size[i]] + 1  # UTF-8 has no byte 255
             live[b : b + size[i] - LENGTH + 1] = True
         hit = np.flatnonzero(repeated_starts(text, live))
         if len(hit):
             owner = np.searchsorted(base, hit, side="right") - 1
-            i = members[owner]
             joint = np.concatenate([[True], (hit[1:] != hit[:-1] + 1) | (owner[1:] != owner[:-1])])
             first = np.flatnonzero(joint)
             last = np.concatenate([first[1:], [len(hit)]]) - 1
-            rows.append(row[i[first]])
-            starts.append(start[i[first]] + hit[first] - base[owner[first]])
-            ends.append(start[i[first]] + hit[last] - base[owner[first]] + LENGTH)
+            yield members[owner[first]], hit[first] - base[owner[first]], hit[last] - base[owner[first]] + LENGTH
+    longer = (length + LENGTH + 1) // 2
+    for members in large:
+        owner, begin, n, sub = _divided(raw, at[members], size[members], longer)
+        owner = members[owner]
+        again, distinct = _one_of_each(raw, at[owner] + begin, n, np.arange(len(owner)))
+        yield owner[again], begin[again], (begin + n)[again]
+        for i, a, b in _in_parts(raw, (at[owner] + begin)[distinct], n[distinct], sub[distinct], longer):
+            i = distinct[i]
+            yield owner[i], begin[i] + a, begin[i] + b
+
+
+def _covered(table: pa.Table) -> pa.Table:
+    """(row, start, end) of repeated byte ranges among a bucket's stretches."""
+
+    def joined(name: str, kind: type) -> np.ndarray:
+        return np.frombuffer(b"".join(x.as_py() for x in table.column(name)), dtype=kind)
+
+    row, start, size, key, state = joined("rows", np.int64), joined("starts", np.uint32).astype(np.int64), joined("sizes", np.uint32).astype(np.int64), joined("keys", U64), joined("state", np.uint8)
+    sent = np.flatnonzero(state != rep.MARKED)
+    at = np.zeros(len(row), np.int64)
+    at[sent] = np.cumsum(size[sent]) - size[sent]
+    raw, filled = np.zeros(int(size[sent].sum()), np.uint8), 0
+    for x in table.column("bytes"):
+        some = np.frombuffer(_unpacked_bytes(x.as_py()), np.uint8)
+        raw[filled : filled + len(some)] = some
+        filled += len(some)
+    again, distinct = _one_of_each(raw, at, size, sent)
+    whole = (state != rep.OPEN) | again  # of equal content within a run, or elsewhere
+    rows, starts, ends = [row[whole]], [start[whole]], [(start + size)[whole]]
+    for i, a, b in _in_parts(raw, at[distinct], size[distinct], key[distinct]):
+        i = distinct[i]
+        rows.append(row[i])
+        starts.append(start[i] + a)
+        ends.append(start[i] + b)
     return pa.table({"row": np.concatenate(rows), "start": np.concatenate(starts), "end": np.concatenate(ends)})
 
 
@@ -272,7 +327,7 @@ def repeated_ranges(rows: DataFrame) -> DataFrame:
     """(row, start, end): byte ranges of strings of LENGTH bytes that start elsewhere too."""
     spark = rows.sparkSession
     workers_find_package(spark)
-    buckets = rep.bucket_count(spark)
+    buckets = rep.bucket_count(spark) // 2  # a run sends a row a bucket: of half as many, larger ones, less is lost to small rows
     shared = rep.resolve(map_runs(rows, ["text", "row"], _grams_of(buckets), rep.PACKED), lambda ids, key, state: rep.repeated(key, state))
     candidates = rep.attached(rows, shared, "at").where(F.col("marks").isNotNull())
     return map_runs(candidates, ["text", "row", "marks"], _stretches_of(buckets), STRETCHES).groupBy("bucket").applyInArrow(_covered, "row long, start long, end long")
