@@ -2,7 +2,8 @@
 
 ``ingest``: per table, typed FAILFAST scan -> load stamp -> partitioned/clustered
 write that observes rows and NULLs of REQUIRED columns -> commit as the table's new
-version if there are none -> audit row; the tables load as concurrent jobs. A failing table is recorded and the others
+version if there are none -> audit row; the tables load as concurrent jobs. A large day-partitioned
+table is written in passes, still one version, and a pass's shuffle files go when it ends. A failing table is recorded and the others
 continue; the job raises at the end. Only one metrics row per table
 reaches the driver.
 
@@ -29,9 +30,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.reconcile import CheckFailed, assert_passed
 from ..schemas import RAW_TABLES
+from ..session import shuffles_freed
 from ..sources.audit import append_audit, audit_row
 from ..sources.catalog import Catalog
-from ..sources.files import raise_required, read_typed_csv, with_loaded_at
+from ..sources.files import csv_passes, raise_required, read_typed_csv, with_loaded_at
 from ..sources.sinks import WriteResult, incremental_window, move_into_place, write_table
 from ..sources.versions import NO_DAY, Manifest, Staged, VersionedTable
 
@@ -49,12 +51,14 @@ def _load_one(spark: SparkSession, catalog: Catalog, csv_root: str, name: str, *
     spec = RAW_TABLES[name]
     started = _now()
     try:
-        df = read_typed_csv(spark, f"{csv_root.rstrip('/')}/{name}", name)
+        path = f"{csv_root.rstrip('/')}/{name}"
+        passes = csv_passes(spark, path) if spec.partition_by else [[path]]  # other tables' files cover disjoint key ranges
         # One pass over the CSV: it is parsed into a staged write while NULLs of the
         # required columns are counted; only a clean load becomes the table's next version.
         table = catalog.versioned("raw", name)
-        staged = table.stage(with_loaded_at(df, load_ts), partition_by=spec.partition_by,
-                             cluster_by=spec.cluster_by, count_nulls=spec.required)
+        staged = table.stage([with_loaded_at(read_typed_csv(spark, some, name), load_ts) for some in passes],
+                             partition_by=spec.partition_by, cluster_by=spec.cluster_by, count_nulls=spec.required,
+                             compression="zstd")
         res = staged.result
         raise_required(name, res.nulls)
         table.commit(staged, f"run {run_id}")
@@ -80,7 +84,7 @@ def ingest(spark: SparkSession, catalog: Catalog, csv_root: str, tables: Sequenc
     run_id = run_id or str(uuid.uuid4())
     load_ts = load_ts or _now()
     names = list(tables or RAW_TABLES)
-    with ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(names)))) as pool:
+    with shuffles_freed(spark), ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(names)))) as pool:
         results = list(pool.map(lambda n: _load_one(spark, catalog, csv_root, n, run_id=run_id,
                                                     load_ts=load_ts, pipeline_name=pipeline_name), names))
     batch = results[0][2]

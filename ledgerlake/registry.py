@@ -20,7 +20,7 @@ from . import functions as fn
 from .operators import governance, marts, quality, reconcile, staging
 from .plans import dashboard, jobs, model, semantic
 from .schemas import RAW_TABLES, TRANSACTIONS
-from .session import configure, scratch_path
+from .session import configure, scratch_path, shuffles_freed
 from .sources import audit, files, sinks
 from .sources.catalog import Catalog
 from .streaming import incremental
@@ -771,9 +771,14 @@ def _retention_layers(m: Models) -> DataFrame:
 def _ingest_roundtrip(m: Models) -> DataFrame:
     """The ingest job over CSVs of all raw tables, read back through the catalog."""
     csv, names = _scratch(m, "ingest-csv"), list(RAW_TABLES)
-    frames = [getattr(m.cat, name).select(*[f.name for f in RAW_TABLES[name].schema.fields]) for name in names]
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        list(pool.map(sinks.write_csv, frames, [f"{csv}/{name}" for name in names]))
+    frames = {name: getattr(m.cat, name).select(*[f.name for f in RAW_TABLES[name].schema.fields]) for name in names}
+
+    def write(name: str) -> bool:
+        return sinks.write_csv(frames[name], f"{csv}/{name}", compression="gzip")
+
+    with shuffles_freed(m.spark), ThreadPoolExecutor(max_workers=4) as pool:
+        write("transactions")  # chargebacks are made of the same join, whose shuffle need not lie on disk twice
+        list(pool.map(write, [name for name in names if name != "transactions"]))
     lake = Catalog(m.spark, root=_scratch(m, "lake"))
     path = _scratch(m, "ingest-audit")
     jobs.ingest(m.spark, lake, csv, audit_path=path, run_id="fixture-run", load_ts=dt.datetime(2001, 8, 1))

@@ -7,7 +7,7 @@ guesses types); every raw table has its ``StructType`` in ``schemas``.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import RAW_TABLES
+from .sinks import _file_system
 
 CORRUPT_COLUMN = "_corrupt_record"
 
@@ -32,7 +33,35 @@ def _whole_rows(df: DataFrame) -> DataFrame:
     return df.where(F.xxhash64(*[F.col(c) for c in df.columns if c != CORRUPT_COLUMN]) >= F.lit(-(1 << 63)))
 
 
-def read_typed_csv(spark: SparkSession, path: str, table: str, *, mode: str = "FAILFAST",
+PASS_BYTES = 1 << 30  # of text that a load takes in at once, a core
+PACKED_TEXT = 6  # bytes of text that a byte of a compressed file stands for, about
+_PACKED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate")
+
+
+def csv_passes(spark: SparkSession, path: str, pass_bytes: int | None = None) -> list[list[str]]:
+    """The files of a CSV folder in passes of ``pass_bytes`` of text: what a load shuffles at once follows the cluster, not the table.
+
+    A folder of one pass, or of more than plain files, is given as it is.
+    """
+    limit = pass_bytes or PASS_BYTES * spark.sparkContext.defaultParallelism
+    _, folder, fs = _file_system(spark, path)
+    if not fs.exists(folder):
+        return [[path]]
+    found = sorted((s for s in fs.listStatus(folder) if not s.getPath().getName().startswith(("_", "."))), key=lambda s: s.getPath().getName())
+    if any(s.isDirectory() or set(s.getPath().getName()) & set("*?[]{}\\") for s in found):
+        return [[path]]
+    passes, held = [], limit
+    for s in found:
+        name, size = str(s.getPath()), s.getLen() * (PACKED_TEXT if s.getPath().getName().endswith(_PACKED) else 1)
+        if held + size > limit:
+            passes.append([])
+            held = 0
+        passes[-1].append(name)
+        held += size
+    return passes if len(passes) > 1 else [[path]]
+
+
+def read_typed_csv(spark: SparkSession, path: str | Sequence[str], table: str, *, mode: str = "FAILFAST",
                    schema: T.StructType | None = None) -> DataFrame:
     """Header skipped, fixed schema; in FAILFAST any bad row fails the read."""
     return _whole_rows(
@@ -40,7 +69,7 @@ def read_typed_csv(spark: SparkSession, path: str, table: str, *, mode: str = "F
         .option("mode", mode)
         .option("multiLine", False)
         .schema(schema or RAW_TABLES[table].schema)
-        .csv(path)
+        .csv(path if isinstance(path, str) else list(path))
     )
 
 

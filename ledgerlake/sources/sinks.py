@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 MAX_RECORDS_PER_FILE = 5_000_000
+PACKED_RECORDS_PER_FILE = 1_000_000  # of a compressed CSV file, which one task reads
 
 
 @dataclass(frozen=True)
@@ -27,18 +28,19 @@ class WriteResult:
     nulls: dict[str, int] = field(default_factory=dict)  # of the columns asked for
 
 
-def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite") -> bool:
-    """CSV with header; an empty input is skipped (returns False).
+def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite", compression: str | None = None) -> bool:
+    """CSV with header, compressed if a codec is named; an empty input is skipped (returns False).
 
     An overwrite computes the input once: rows are counted as they are written beside ``path``, and moved there if there are any.
     """
+    packed = {"compression": compression, "maxRecordsPerFile": PACKED_RECORDS_PER_FILE} if compression else {}
     if mode != "overwrite":
         if df.isEmpty():
             return False
-        df.write.mode(mode).option("header", True).csv(path)
+        df.write.mode(mode).option("header", True).options(**packed).csv(path)
         return True
     staged, obs = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:12]}", Observation(f"csv-{uuid.uuid4().hex}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.option("header", True).csv(staged)
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.option("header", True).options(**packed).csv(staged)
     if not int(obs.get["rows"]):
         _, folder, fs = _file_system(df.sparkSession, staged)
         fs.delete(folder, True)
@@ -85,7 +87,7 @@ def spread(df: DataFrame, partition_by: str) -> DataFrame:
 def write_table(df: DataFrame, path: str, *, mode: str = "overwrite", partition_by: str | None = None,
                 cluster_by: Sequence[str] = (), dynamic: bool = False, fmt: str = "parquet",
                 num_partitions: int | None = None, count_nulls: Sequence[str] = (),
-                arrange: bool = True) -> WriteResult:
+                arrange: bool = True, compression: str | None = None) -> WriteResult:
     """Write a table and return the rows written.
 
     The row count, and NULLs of ``count_nulls``, are observed during the write (no second scan). With
@@ -99,6 +101,8 @@ def write_table(df: DataFrame, path: str, *, mode: str = "overwrite", partition_
     laid_out = clustered(df, partition_by, cluster_by, num_partitions) if arrange else df
     out = laid_out.observe(obs, F.count(F.lit(1)).alias("rows"), *nulls)
     writer = out.write.mode(mode).format(fmt).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+    if compression:
+        writer = writer.option("compression", compression)
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     if partition_by:
